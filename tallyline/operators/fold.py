@@ -18,8 +18,8 @@ from tallyline.functions import slices
 from tallyline.functions.script import CURRENT, FOLDS, Path, Script
 from tallyline.operators.accumulate import first_success
 from tallyline.operators.evaluate import route_and_evaluate
-from tallyline.operators.route import OVERRIDDEN, input_columns
-from tallyline.session import new_run_dir, null_on_error
+from tallyline.operators.route import OVERRIDDEN, input_columns, join_definitions, may_override
+from tallyline.session import new_run_dir, null_on_error, stored
 from tallyline.sources.definitions import DefinitionSet
 
 #: Arrival numbers per segment of a scan.
@@ -67,25 +67,22 @@ def running_slice_values(
 ) -> DataFrame:
     """The value of a slice after each counted order, in arrival order.
 
-    Building this runs jobs when some script needs the general fold, as the number of
-    rounds depends on the data.
+    Building this runs jobs: the counted orders are stored, as the scans read them twice, and a general
+    fold takes a number of rounds that depends on the data.
     """
     evaluated = route_and_evaluate(orders, definitions, folds=True)
-    general_inputs = tuple(input_columns(definitions).values()) if _has_general(definitions) else ()
+    general = _has_general(definitions)
+    general_inputs = tuple(input_columns(definitions).values()) if general else ()
     winners = first_success(evaluated, definitions, carry=("operand", OVERRIDDEN, *general_inputs))
-    rows = winners.join(_facts(definitions), "def_ord") if not definitions.small else winners.join(
-        F.broadcast(_facts(definitions)), "def_ord"
-    )
-    scanned = _scan(rows.where(F.col("fold") != GENERAL), definitions, segment)
-    if not general_inputs and not _has_general(definitions):
+    facts = definitions.table.select("def_ord", "ref_name", "slice_seconds", "fold", "script_id")
+    rows = stored(join_definitions(winners, facts, "def_ord", definitions), "counted")
+    overrides = may_override(orders, definitions)
+    scanned = _scan(rows.where(F.col("fold") != GENERAL), definitions, segment, overrides)
+    if not general:
         return scanned
     return scanned.unionByName(_rounds(rows.where(F.col("fold") == GENERAL), definitions, segment, round_size))
 
 
-def _facts(definitions: DefinitionSet) -> DataFrame:
-    return definitions.table.select("def_ord", "ref_name", "slice_seconds", "fold", "script_id")
-
-
 def _has_general(definitions: DefinitionSet) -> bool:
     kinds = {s.fold for s in definitions.scripts if s.runs}
     return "general" in kinds or (definitions.repeated_refs and len(kinds) > 1)
@@ -97,11 +94,11 @@ def _result(rows: DataFrame) -> DataFrame:
     return rows.withColumn("slice_key", key).select(*_RESULT)
 
 
-def _scan(rows: DataFrame, definitions: DefinitionSet, segment: int) -> DataFrame:
+def _scan(rows: DataFrame, definitions: DefinitionSet, segment: int, overrides: bool) -> DataFrame:
     # An order that brings its own `current` does not build on the slice: a new epoch starts with it.
     group = list(SLICE)
-    if definitions.reads_current:
-        rows = running(rows, SLICE, {"epoch": ("sum", F.col(OVERRIDDEN).cast("int"))}, segment)
+    if overrides:
+        rows = stored(running(rows, SLICE, {"epoch": ("sum", F.col(OVERRIDDEN).cast("int"))}, segment), "epochs")
         group.append("epoch")
     else:
         rows = rows.withColumn("epoch", F.lit(0).cast("bigint"))

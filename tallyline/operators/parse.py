@@ -22,19 +22,22 @@ _JSON_OPTIONS = {
 }
 
 
-def field_schema(definitions: DefinitionSet) -> T.StructType:
+def field_schema(definitions: DefinitionSet) -> T.DataType:
     """Only the order fields that some definition reads; all others are skipped while parsing.
 
-    Script inputs keep their JSON type, dimension values are read as text.
+    Script inputs keep their JSON type, dimension values are read as text.  Names that differ in case
+    only cannot stand side by side in a struct, so then all fields are kept as a map.
     """
     inputs = definitions.input_names
     text_only = [n for n in definitions.dimension_names if n not in inputs]
+    if len({n.lower() for n in (*inputs, *text_only)}) < len(inputs) + len(text_only):
+        return T.MapType(T.StringType(), T.VariantType())
     return T.StructType(
         [T.StructField(n, T.VariantType()) for n in inputs] + [T.StructField(n, T.StringType()) for n in text_only]
     )
 
 
-def parse_messages(messages: DataFrame, fields: T.StructType) -> DataFrame:
+def parse_messages(messages: DataFrame, fields: T.DataType) -> DataFrame:
     """Add the parsed order and ``fail_reason`` to every message in column ``value``.
 
     Other columns (such as ``arrival_seq``) are kept.  ``fail_reason`` is NULL for a good order.

@@ -63,13 +63,19 @@ def input_columns(definitions: DefinitionSet) -> dict[tuple[Path, str], str]:
 OVERRIDDEN = f"{RESERVED}overridden"
 
 
+def may_override(orders: DataFrame, definitions: DefinitionSet) -> bool:
+    """Whether an order can bring a field called ``current`` that some script reads."""
+    kind = orders.schema["fields"].dataType
+    return definitions.reads_current and (isinstance(kind, T.MapType) or CURRENT in kind.fieldNames())
+
+
 def _bind_inputs(orders: DataFrame, definitions: DefinitionSet) -> DataFrame:
     """Script inputs as columns, read once per order and before it fans out.
 
     An order field called ``current`` takes the place of the slice value.
     """
-    current, current_kind = _leaf(orders, CURRENT)
-    overridden = current.isNotNull() if definitions.reads_current else F.lit(False)
+    current, _ = _leaf(orders, CURRENT)
+    overridden = current.isNotNull() if may_override(orders, definitions) else F.lit(False)
     columns = {}
     for (path, wanted), name in input_columns(definitions).items():
         value = _input_value(orders, path, wanted)

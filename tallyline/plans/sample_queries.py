@@ -7,9 +7,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tallyline.functions import slices
+from tallyline.functions.text import as_input
 from tallyline.operators import window_values
 from tallyline.operators.accumulate import counted_flags, slice_totals
 from tallyline.operators.evaluate import route_and_evaluate
@@ -19,6 +20,7 @@ from tallyline.operators.route import pair_by_event, route, with_legacy_keys
 from tallyline.plans import sample_definitions as samples
 from tallyline.plans.backfill import backfill_messages, backfill_orders
 from tallyline.plans.options import JobOptions
+from tallyline.schemas import SLICE_UPDATE
 from tallyline.session import new_run_dir, prepare, prepare_streaming
 from tallyline.sources import feeds
 from tallyline.sources.definitions import (
@@ -280,7 +282,7 @@ def parse_valid_orders(spark: SparkSession, folder: str) -> DataFrame:
         "event_type_code",
         "event_epoch_ms",
         fields["userId"].alias("user_id"),
-        F.try_variant_get(fields["amount"], "$", "double").alias("amount"),
+        as_input(fields["amount"], T.VariantType(), "double").alias("amount"),
         F.schema_of_variant(fields["amount"]).isin("STRING").alias("amount_is_text"),
     )
 
@@ -350,7 +352,7 @@ def _run(rows: DataFrame, folder: str, checkpoint: str, mode: str) -> DataFrame:
     writer = to_parquet(rows, folder, mode).option("checkpointLocation", checkpoint)
     query = writer.trigger(availableNow=True).start()
     query.awaitTermination()
-    return read_parquet(rows.sparkSession, folder, rows)
+    return read_parquet(rows.sparkSession, folder, rows.schema)
 
 
 def _event_stream(spark: SparkSession, folder: str) -> DataFrame:
@@ -411,9 +413,7 @@ def stream_dedupe_restart(spark: SparkSession, folder: str) -> DataFrame:
     later = messages.withColumn("arrival_seq", F.col("arrival_seq") + feeds.REDELIVERY_OFFSET)
     later.write.mode("append").parquet(f"{run}/messages")
     job.run_available()
-    columns = _definitions(spark, known)
-    shape = backfill_messages(messages, columns).updates
-    return read_parquet(spark, f"{run}/out", shape)
+    return read_parquet(spark, f"{run}/out", SLICE_UPDATE)
 
 
 QUERIES: dict[str, Query] = {

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from tallyline.functions import slices
 from tallyline.functions.script import CURRENT, FOLDS, Script, compile_script
 from tallyline.functions.text import as_text
+from tallyline.session import stored
 
 ONLINE = "ONLINE"
 DEFAULT_SCRIPT = "current + 1"
@@ -231,8 +232,8 @@ class DefinitionSet:
 
     @classmethod
     def _stored(cls, spark: SparkSession, definitions: DataFrame) -> DefinitionSet:
-        """A snapshot too large to hold: a checkpointed table, with only its distinct names read here."""
-        definitions = definitions.checkpoint()
+        """A snapshot too large to hold: a stored table, with only its distinct names read here."""
+        definitions = stored(definitions, "definitions")
         types = F.to_json(F.transform(F.array_sort(F.map_entries("field_types")), lambda e: e))
         keyed = definitions.withColumn("types_text", types)
         scripts = _distinct(keyed.select("acc_script", "types_text"))
@@ -304,7 +305,8 @@ class DefinitionSet:
         ]
 
     def same_as(self, other: DefinitionSet) -> bool:
-        return self.small and other.small and self.rows == other.rows
+        """The same definitions in the same order."""
+        return self.small and other.small and [r[1:] for r in self.rows] == [r[1:] for r in other.rows]
 
 
 def _fold_code(folds: set[str]) -> int:

@@ -112,7 +112,7 @@ def event_messages(events: DataFrame) -> DataFrame:
     text_amount = F.concat(F.lit("{"), user, F.lit(","), _property("amount", amount, text=True), F.lit("}"))
     irregular = {
         0: F.lit(""),
-        1: F.lit(" 　\t"),
+        1: F.lit(" \u3000\t"),
         2: F.lit("{ not json"),
         3: message(order_id=None),
         4: message(more='"channel":"web"'),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from tallyline import schemas
@@ -49,6 +49,6 @@ def to_parquet(rows: DataFrame, folder: str, mode: str) -> DataStreamWriter:
     return rows.writeStream.outputMode(mode).foreachBatch(write)
 
 
-def read_parquet(spark: SparkSession, folder: str, rows: DataFrame) -> DataFrame:
-    """What ``to_parquet`` wrote, with the columns of ``rows``."""
-    return spark.read.schema(rows.schema).parquet(folder).select(*rows.columns)
+def read_parquet(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
+    """What ``to_parquet`` wrote."""
+    return spark.read.schema(schema).parquet(folder).select(*schema.fieldNames())
