@@ -88,17 +88,27 @@ def _bind_inputs(orders: DataFrame, definitions: DefinitionSet) -> DataFrame:
 def pair_by_event(orders: DataFrame, definitions: DefinitionSet) -> DataFrame:
     """Orders joined with the definitions that accept their event type, dimensions not yet checked.
 
-    The event type is an equality key, so this is a hash join.  A definition without event types has
-    the key ``*``; orders carry that second key only when such a definition exists.
+    The event type is an equality key, so this is a hash join.  A definition without event types is
+    listed under every known code and under ``*``, the key of all other orders, so each order has one
+    key.  Where the codes are too many to list, orders carry ``*`` as a second key instead.
     """
     code = F.col("event_type_code")
+    known = definitions.event_codes
     named = orders.where(~is_blank(code))
-    if not definitions.any_event and definitions.event_codes is not None:
+    typed_key = F.concat(F.lit("="), code)
+    if known is None:
+        keyed = _bind_inputs(named, definitions)
+        both = F.explode(F.array(typed_key, F.lit("*")))
+        keyed = keyed.withColumn("route_key", both if definitions.any_event else typed_key)
+    elif definitions.any_event:
+        # Never an empty list: a key that is the same for all orders would not be a join key.
+        listed = code.isin(*known or ("",))
+        key = F.when(listed, typed_key).otherwise(F.lit("*"))
+        keyed = _bind_inputs(named, definitions).withColumn("route_key", key)
+    else:
         # Known codes as a plain filter, which reaches a columnar scan.
-        named = named.where(code.isin(*definitions.event_codes) if definitions.event_codes else F.lit(False))
-    bound = _bind_inputs(named, definitions)
-    keys = [F.concat(F.lit("="), code)] + ([F.lit("*")] if definitions.any_event else [])
-    keyed = bound.withColumn("route_key", F.explode(F.array(*keys)) if len(keys) > 1 else keys[0])
+        wanted = orders.where(code.isin(*known)) if known else orders.where(F.lit(False))
+        keyed = _bind_inputs(wanted.where(~is_blank(code)), definitions).withColumn("route_key", typed_key)
     table = definitions.table.withColumn("route_key", F.explode("route_keys")).drop("route_keys")
     return join_definitions(keyed, table, "route_key", definitions).drop("route_key")
 

@@ -5,6 +5,7 @@ Each query takes a session and a table folder, reads whole tables and returns a
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
@@ -44,8 +45,16 @@ MID_SECOND = 1705363200
 NOW_SECOND = 1706186096
 
 
+_snapshots: dict[str, DefinitionSet] = {}
+
+
 def _definitions(spark: SparkSession, rows: Iterable[Mapping]) -> DefinitionSet:
-    return DefinitionSet.of_rows(prepare(spark), rows)
+    """A snapshot of these definitions, read once per session."""
+    identity = spark.sparkContext.applicationId + json.dumps(list(rows))
+    found = _snapshots.get(identity)
+    if found is None or found.spark is not spark:
+        found = _snapshots[identity] = DefinitionSet.of_rows(prepare(spark), rows)
+    return found
 
 
 def _named(spark: SparkSession, *names: str) -> DefinitionSet:
@@ -53,7 +62,7 @@ def _named(spark: SparkSession, *names: str) -> DefinitionSet:
 
 
 def _events(spark: SparkSession, folder: str) -> DataFrame:
-    return feeds.read_table(spark, folder, "events")
+    return feeds.spread(feeds.read_table(prepare(spark), folder, "events"), "event_id")
 
 
 def _event_orders(spark: SparkSession, folder: str) -> DataFrame:
@@ -72,7 +81,8 @@ def slice_updates_events(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def slice_updates_orders(spark: SparkSession, folder: str) -> DataFrame:
-    orders = feeds.table_orders(feeds.read_table(spark, folder, "orders"))
+    table = feeds.spread(feeds.read_table(spark, folder, "orders"), "o_orderkey")
+    orders = feeds.table_orders(table)
     return backfill_orders(orders, _definitions(spark, samples.ORDERS)).updates
 
 
@@ -357,7 +367,7 @@ def _run(rows: DataFrame, folder: str, checkpoint: str, mode: str) -> DataFrame:
 
 def _event_stream(spark: SparkSession, folder: str) -> DataFrame:
     # A pattern, because a stream takes a plain path for a folder and the table may be one file.
-    schema = _events(spark, folder).schema
+    schema = feeds.read_table(spark, folder, "events").schema
     return spark.readStream.schema(schema).parquet(f"{folder.rstrip('/')}/[e]vents.parquet")
 
 

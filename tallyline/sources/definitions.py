@@ -215,15 +215,17 @@ class DefinitionSet:
             "dimensions array<string>, slice_seconds long, window_slices int, slice_granularity string",
         ).coalesce(1)
         most = max((len(r.dimensions) for r in rows), default=0)
+        any_event = sum(not r.event_type_codes for r in rows)
+        listed = codes if any_event * len(codes) <= BROADCAST_ROWS and len(codes) <= PLAN_NAMES else None
         return cls(
             spark=spark,
-            table=_routing_columns(plain, names, most),
+            table=_routing_columns(plain, names, most, listed),
             size=len(rows),
             scripts=scripts,
             dimension_names=names,
             max_dimensions=most,
-            any_event=any(not r.event_type_codes for r in rows),
-            event_codes=tuple(codes) if len(codes) <= PLAN_NAMES else None,
+            any_event=any_event > 0,
+            event_codes=None if listed is None else tuple(listed),
             repeated_refs=len(first_of_ref) < len(rows),
             window_sizes=tuple(sorted({max(1, r.window_slices) for r in rows})),
             small=True,
@@ -261,7 +263,7 @@ class DefinitionSet:
         windows = _distinct(definitions.select(F.greatest(F.lit(1), "window_slices")))
         return cls(
             spark=spark,
-            table=_routing_columns(plain, names, facts[1]),
+            table=_routing_columns(plain, names, facts[1], None),
             size=facts[0],
             scripts=compiled,
             dimension_names=names,
@@ -325,8 +327,11 @@ def _distinct(frame: DataFrame) -> list[T.Row]:
     return found
 
 
-def _routing_columns(plain: DataFrame, names: Sequence[str], most: int) -> DataFrame:
-    """One row per definition: its route keys, and its dimensions as numbered columns."""
+def _routing_columns(plain: DataFrame, names: Sequence[str], most: int, codes: Sequence[str] | None) -> DataFrame:
+    """One row per definition: its route keys, and its dimensions as numbered columns.
+
+    A definition without event types is routed by ``*``, and by every code when these are given.
+    """
     number_of = F.create_map(*[F.lit(x) for n, name in enumerate(names) for x in (name, n)]) if names else None
     dimension_columns = []
     for i in range(most):
@@ -334,7 +339,8 @@ def _routing_columns(plain: DataFrame, names: Sequence[str], most: int) -> DataF
         dimension_columns.append(F.try_element_at(number_of, name).alias(f"dim_{i}"))
         dimension_columns.append(F.concat(name, F.lit("#")).alias(f"label_{i}"))
     typed = F.transform(F.array_distinct("event_type_codes"), lambda c: F.concat(F.lit("="), c))
-    keys = F.when(F.size("event_type_codes") <= 0, F.array(F.lit("*"))).otherwise(typed)
+    every = F.array(F.lit("*"), *[F.lit(f"={c}") for c in codes or ()])
+    keys = F.when(F.size("event_type_codes") <= 0, every).otherwise(typed)
     return plain.select(
         "def_ord",
         "ref_ord",

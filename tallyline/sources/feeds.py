@@ -15,6 +15,15 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
+def spread(table: DataFrame, key: str) -> DataFrame:
+    """A table in fewer splits than there are cores is spread by its key before it fans out.
+
+    A table large enough to keep all cores busy is left as it is scanned.
+    """
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    return table if table.rdd.getNumPartitions() >= cores else table.repartition(cores, key)
+
+
 def epoch_ms(table: DataFrame, column: str) -> Column:
     """Milliseconds since the epoch; a timestamp without zone is read as UTC, whatever the session zone."""
     value = F.col(column)
@@ -25,13 +34,9 @@ def epoch_ms(table: DataFrame, column: str) -> Column:
     return minutes * 60_000 + F.floor(F.extract(F.lit("SECOND"), value) * 1000).cast("bigint")
 
 
-def _k() -> Column:
-    return F.get_json_object("props", "$.k").cast("bigint")
-
-
 def event_orders(events: DataFrame) -> DataFrame:
     """Each event as an order, in the column layout that routing takes."""
-    return events.select(
+    return events.withColumn("k", F.get_json_object("props", "$.k").cast("bigint")).select(
         F.col("event_id").cast("string").alias("order_id"),
         F.col("event_type").alias("event_type_code"),
         epoch_ms(events, "ts").alias("event_epoch_ms"),
@@ -39,9 +44,9 @@ def event_orders(events: DataFrame) -> DataFrame:
         F.struct(
             F.col("user_id").alias("userId"),
             F.col("value").alias("amount"),
-            _k().alias("k"),
+            F.col("k"),
             F.col("event_type").alias("kind"),
-            F.when(_k() < 50, _k()).alias("coupon"),
+            F.when(F.col("k") < 50, F.col("k")).alias("coupon"),
         ).alias("fields"),
     )
 
