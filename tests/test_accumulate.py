@@ -96,7 +96,7 @@ def test_large_definition_table_gives_the_same_updates(spark):
 def skewed_orders(spark):
     """A third of all rows in one key, and a third as copies of one order."""
     return spark.range(3000).selectExpr(
-        "case when id % 3 = 0 then 'same' else cast(id as string) end order_id", "'E' event_type_code",
+        "case when id % 3 = 0 then 'same' else cast(id as string) end order_id", "if(id >= 0, 'E', 'F') event_type_code",
         "id * 1000 event_epoch_ms", "id arrival_seq",
         "named_struct('m', if(id % 3 = 1, 'hot', cast(id as string)), 'amount', cast(id as double)) fields",
     )
