@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tallyline.llm import sql
 from tallyline.llm.common import table
 from tallyline.llm.line_dedup import dedup_lines
+from tallyline.llm.simhash import simhash_groups
 
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,8 +16,14 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    groups = simhash_groups(table(spark, sf_dir, "documents"))
+    return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 QUERIES = {
     "op4_line_dedup": op4_line_dedup,
+    "op8_simhash": op8_simhash,
 }
 SQL = {
     "op4_line_dedup": sql.LINE_DEDUP,
