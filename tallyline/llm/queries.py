@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyline.llm import sql
+from tallyline.llm.bpe import decode, encode
 from tallyline.llm.common import table
 from tallyline.llm.line_dedup import dedup_lines
 from tallyline.llm.simhash import simhash_groups
@@ -16,6 +17,16 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    both = decode(encode(table(spark, sf_dir, "documents")))
+    return both.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash_groups(table(spark, sf_dir, "documents"))
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -23,6 +34,7 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op4_line_dedup": op4_line_dedup,
+    "op6_bpe": op6_bpe,
     "op8_simhash": op8_simhash,
 }
 SQL = {
