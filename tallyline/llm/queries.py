@@ -9,6 +9,7 @@ from tallyline.llm import sql
 from tallyline.llm.bpe import decode, encode
 from tallyline.llm.common import table
 from tallyline.llm.line_dedup import dedup_lines
+from tallyline.llm.pii import KINDS, digest, personal_data
 from tallyline.llm.simhash import simhash_groups
 
 
@@ -32,10 +33,20 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = personal_data(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "spans")
+    base = [k.name for k in KINDS if k.base]
+    kinds = F.transform("spans", lambda x: x["kind"])
+    counts = [(F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{k}") for k in base]
+    of_base = F.filter("spans", lambda x: x["kind"].isin(base))
+    return found.select("doc_id", *counts, F.sha2(digest(of_base), 256).alias("base_sha256"), digest(F.col("spans")).alias("spans"))
+
+
 QUERIES = {
     "op4_line_dedup": op4_line_dedup,
     "op6_bpe": op6_bpe,
     "op8_simhash": op8_simhash,
+    "op10_pii": op10_pii,
 }
 SQL = {
     "op4_line_dedup": sql.LINE_DEDUP,
