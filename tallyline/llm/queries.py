@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallyline.llm import sql
 from tallyline.llm.bpe import decode, encode
+from tallyline.llm.chat import format_chats, loss_text, parse
 from tallyline.llm.common import table
 from tallyline.llm.line_dedup import dedup_lines
 from tallyline.llm.pii import KINDS, digest, personal_data
@@ -33,6 +34,23 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    role = F.when(F.col("id") == 0, "user").otherwise("assistant")
+    extra = spark.range(2).select(F.lit(-1), "id", role, F.lit("</s>[INST] ok [/INST]"))
+    chats = format_chats(rows.union(extra))
+    turns = chats.withColumn("turns", parse(F.col("formatted"))).withColumn("loss", loss_text(F.col("formatted"), F.col("loss_spans")))
+    lines = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return turns.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(lines, 256).alias("turns_sha256"),
+        F.length("loss").cast("long").alias("loss_chars"),
+        F.sha2("loss", 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = personal_data(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "spans")
     base = [k.name for k in KINDS if k.base]
@@ -46,8 +64,10 @@ QUERIES = {
     "op4_line_dedup": op4_line_dedup,
     "op6_bpe": op6_bpe,
     "op8_simhash": op8_simhash,
+    "op9_chat": op9_chat,
     "op10_pii": op10_pii,
 }
 SQL = {
     "op4_line_dedup": sql.LINE_DEDUP,
+    "op9_chat": sql.CHAT,
 }

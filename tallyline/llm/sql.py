@@ -27,3 +27,36 @@ SELECT doc_id, count(*) AS n_lines, CAST(sum(CAST(gone AS BIGINT)) AS BIGINT) AS
     sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
 FROM marked GROUP BY doc_id
 """
+
+CHAT = r"""
+WITH given AS (
+    SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+    UNION ALL
+    SELECT -1, n, r, '</s>[INST] ok [/INST]' FROM (VALUES (0, 'user'), (1, 'assistant')) AS extra (n, r)
+),
+turns AS (
+    SELECT *,
+        replace(replace(replace(replace(role, '&', '&amp;'), '<', '&lt;'), '[', '&#91;'), chr(10), '&#10;') AS name,
+        (contains(text, '<s>') OR contains(text, '</s>') OR contains(text, '[INST]') OR contains(text, '[/INST]')) AS clash,
+        row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS no
+    FROM given
+),
+marked AS (
+    SELECT *,
+        '<s>' || name || (CASE WHEN clash THEN '<e>' ELSE '' END) || chr(10)
+        || (CASE WHEN role = 'user' THEN '[INST] ' ELSE '' END)
+        || (CASE WHEN clash THEN replace(replace(replace(text, '&', '&amp;'), '<', '&lt;'), '[', '&#91;') ELSE text END)
+        || (CASE WHEN role = 'user' THEN ' [/INST]' ELSE '' END) || '</s>' AS mark
+    FROM turns
+),
+chats AS (
+    SELECT conv_id, count(*) AS n_turns,
+        string_agg(role || chr(10) || text || chr(10), '' ORDER BY no) AS lines,
+        coalesce(string_agg(text, '' ORDER BY no) FILTER (WHERE role = 'assistant'), '') AS loss,
+        CAST(sum(length(mark)) AS BIGINT) AS formatted_chars
+    FROM marked GROUP BY conv_id
+)
+SELECT conv_id, n_turns, sha256(lines) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256,
+    formatted_chars
+FROM chats
+"""
