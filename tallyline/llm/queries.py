@@ -8,10 +8,12 @@ from pyspark.sql import functions as F
 from tallyline.llm import sql
 from tallyline.llm.bpe import decode, encode
 from tallyline.llm.chat import format_chats, loss_text, parse
-from tallyline.llm.common import table
+from tallyline.llm.common import cut, table
 from tallyline.llm.line_dedup import dedup_lines
 from tallyline.llm.pii import KINDS, digest, personal_data
 from tallyline.llm.simhash import simhash_groups
+from tallyline.llm.token_files import read_token_files, write_token_files
+from tallyline.session import new_run_dir
 
 
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,6 +21,12 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_run_dir(spark, "token-files")
+    write_token_files(cut(encode(table(spark, sf_dir, "documents"))), folder)
+    return read_token_files(spark, folder).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     both = decode(encode(table(spark, sf_dir, "documents")))
     return both.select(
@@ -62,6 +70,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op4_line_dedup": op4_line_dedup,
+    "op5_token_files": op5_token_files,
     "op6_bpe": op6_bpe,
     "op8_simhash": op8_simhash,
     "op9_chat": op9_chat,
