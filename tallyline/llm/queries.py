@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tallyline.llm import sql
 from tallyline.llm.bpe import decode, encode
 from tallyline.llm.chat import format_chats, loss_text, parse
-from tallyline.llm.common import cut, table
+from tallyline.llm.common import table
 from tallyline.llm.line_dedup import dedup_lines
 from tallyline.llm.pii import KINDS, digest, personal_data
 from tallyline.llm.simhash import simhash_groups
@@ -23,7 +23,7 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_run_dir(spark, "token-files")
-    write_token_files(cut(encode(table(spark, sf_dir, "documents"))), folder)
+    write_token_files(encode(table(spark, sf_dir, "documents")), folder)
     return read_token_files(spark, folder).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 

@@ -20,11 +20,12 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallyline.llm.common import batches, partitions
+from tallyline.llm.common import batches, cut, partitions
 
 LONGEST = 16
 STRIDE = 512
@@ -35,6 +36,7 @@ _BLOCKS = pa.schema(
         ("docs", pa.binary()), ("missing", pa.binary()), ("sizes", pa.binary()), ("bits", pa.binary()), ("checkpoints", pa.binary()),
     ]
 )
+_SHRUNK = pa.schema([("doc", pa.int64()), ("data", pa.binary())])
 _BLOCKS_SQL = "part int, block int, before long, n_tokens long, docs binary, missing binary, sizes binary, bits binary, checkpoints binary"
 
 
@@ -109,10 +111,31 @@ def unpack_bits(bits: bytes, checkpoints: np.ndarray, total: int, to_id: np.ndar
     return out.ravel()[:total]
 
 
+def _shrunk(parts: Iterator[pa.RecordBatch], end_id: int) -> Iterator[pa.RecordBatch]:
+    """Each document's ids and the end id as small bytes: this is what is kept, counted and sorted."""
+    pack = zstandard.ZstdCompressor(level=1).compress
+
+    def rows() -> Iterator[tuple]:
+        for part in parts:
+            lists = part.column("ids")
+            flat, edges = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
+            for i, doc in enumerate(part.column("doc").to_pylist()):
+                ids = np.append(flat[edges[i] : edges[i + 1]], np.int32(end_id))
+                yield doc, pack(ids.astype(np.uint16).tobytes() if ids.max() <= 0xFFFF else b"\0" + ids.tobytes())
+
+    yield from batches(rows(), _SHRUNK)
+
+
+def _whole(data: bytes, unpack) -> np.ndarray:
+    plain = unpack(data)
+    return np.frombuffer(plain[1:], np.int32) if len(plain) % 2 else np.frombuffer(plain, np.uint16).astype(np.int32)
+
+
 def _counted(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    unpack = zstandard.ZstdDecompressor().decompress
     counts = np.zeros(0, np.int64)
     for part in parts:
-        found = np.bincount(part.column("ids").flatten().to_numpy())
+        found = np.bincount(np.concatenate([_whole(x, unpack) for x in part.column("data").to_pylist()]))
         if len(found) > len(counts):
             counts, found = found.astype(np.int64), counts
         counts[: len(found)] += found
@@ -120,20 +143,20 @@ def _counted(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.record_batch([pa.array(used, pa.int32()), pa.array(counts[used])], names=["id", "n"])
 
 
-def id_counts(encoded: DataFrame, end_id: int) -> np.ndarray:
-    """How often each id occurs, the end id once for each row.  The result is as long as the vocabulary, no longer."""
-    summed = encoded.select("ids").mapInArrow(_counted, "id int, n long").groupBy("id").agg(F.sum("n").alias("n"))
+def id_counts(shrunk: DataFrame, end_id: int) -> np.ndarray:
+    """How often each id occurs.  The result is as long as the vocabulary, no longer."""
+    summed = shrunk.select("data").mapInArrow(_counted, "id int, n long").groupBy("id").agg(F.sum("n").alias("n"))
     found = {row["id"]: row["n"] for row in summed.collect()}
     counts = np.zeros(max([end_id, *found]) + 1, np.int64)
     for i, n in found.items():
         counts[i] = n
-    counts[end_id] += encoded.count()
     return counts
 
 
-def _packed(parts: Iterator[pa.RecordBatch], lengths: Broadcast, end_id: int) -> Iterator[pa.RecordBatch]:
+def _packed(parts: Iterator[pa.RecordBatch], lengths: Broadcast) -> Iterator[pa.RecordBatch]:
     sizes = np.frombuffer(lengths.value, np.uint8)
     codes, _, _ = canonical(sizes)
+    unpack = zstandard.ZstdDecompressor().decompress
 
     def rows() -> Iterator[tuple]:
         part_no, block, before = TaskContext.get().partitionId(), 0, 0
@@ -142,10 +165,8 @@ def _packed(parts: Iterator[pa.RecordBatch], lengths: Broadcast, end_id: int) ->
         held: list[np.ndarray] = []
         size = 0
         for part in parts:
-            lists = part.column("ids")
-            flat, edges = lists.values.to_numpy(), lists.offsets.to_numpy()
-            for i, doc in enumerate(part.column("doc").to_pylist()):
-                ids = np.append(flat[edges[i] : edges[i + 1]], np.int32(end_id))
+            for doc, data in zip(part.column("doc").to_pylist(), part.column("data").to_pylist(), strict=True):
+                ids = _whole(data, unpack)
                 docs.append(doc)
                 counts.append(len(ids))
                 held.append(ids)
@@ -172,15 +193,16 @@ def _packed(parts: Iterator[pa.RecordBatch], lengths: Broadcast, end_id: int) ->
 def write_token_files(encoded: DataFrame, folder: str, end_id: int = 1, doc_id: str = "doc_id") -> None:
     """Write (doc_id, ids array<int>) as token files, the end id after each document, in ascending document id.
 
-    Null ids come first; rows with one id stand by their ids.  Documents without ids hold the end id alone.
+    Null ids come first; rows with one id stand in a fixed order of their contents.  Documents without ids hold the end id alone.
     """
     spark = encoded.sparkSession
-    lengths = code_lengths(id_counts(encoded, end_id))
+    rows = encoded.select(F.col(doc_id).alias("doc"), "ids")
+    shrunk = cut(rows.mapInArrow(partial(_shrunk, end_id=end_id), "doc long, data binary"))
+    lengths = code_lengths(id_counts(shrunk, end_id))
     spark.createDataFrame([(bytearray(lengths.tobytes()),)], "lengths binary").coalesce(1).write.parquet(f"{folder}/code")
     code = spark.sparkContext.broadcast(lengths.tobytes())
-    rows = encoded.select(F.col(doc_id).alias("doc"), "ids")
-    ordered = rows.repartitionByRange(partitions(spark), "doc").sortWithinPartitions("doc", "ids")
-    ordered.mapInArrow(partial(_packed, lengths=code, end_id=end_id), _BLOCKS_SQL).write.parquet(f"{folder}/blocks")
+    ordered = shrunk.repartitionByRange(partitions(spark), "doc").sortWithinPartitions("doc", "data")
+    ordered.mapInArrow(partial(_packed, lengths=code), _BLOCKS_SQL).write.parquet(f"{folder}/blocks")
 
 
 def _read(parts: Iterator[pa.RecordBatch], lengths: Broadcast) -> Iterator[pa.RecordBatch]:
