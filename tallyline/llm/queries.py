@@ -9,13 +9,26 @@ from tallyline.llm import sql
 from tallyline.llm.bpe import decode, encode
 from tallyline.llm.chat import format_chats, loss_text, parse
 from tallyline.llm.common import table
+from tallyline.llm.decontaminate import leaks
+from tallyline.llm.hnsw import neighbours
 from tallyline.llm.line_dedup import dedup_lines
 from tallyline.llm.pii import KINDS, digest, personal_data
 from tallyline.llm.simhash import simhash_groups
 from tallyline.llm.token_files import read_token_files, write_token_files
+from tallyline.llm.toxicity import score_toxicity
 from tallyline.session import new_run_dir
 
 
+def op1_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = score_toxicity(docs, table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "held_out", "score", "predicted")
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = dedup_lines(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -37,6 +50,10 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash_groups(table(spark, sf_dir, "documents"))
     return groups.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -69,9 +86,12 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_hnsw": op1_hnsw,
+    "op2_toxicity": op2_toxicity,
     "op4_line_dedup": op4_line_dedup,
     "op5_token_files": op5_token_files,
     "op6_bpe": op6_bpe,
+    "op7_decontaminate": op7_decontaminate,
     "op8_simhash": op8_simhash,
     "op9_chat": op9_chat,
     "op10_pii": op10_pii,
