@@ -1,12 +1,14 @@
 """Benchmark decontamination by latent semantic retrieval.
 
-1. Documents become arrays of word hashes, kept once in the shared folder.  Passages are 48 words.
-2. Passage frequencies of the hashed terms give the inverse document frequencies.
+1. The benchmark's words are the vocabulary.  Documents become arrays of vocabulary numbers (0: any other word), kept
+   once in the shared folder.  Passages are 48 words.
+2. Passage frequencies of the vocabulary over all documents give the inverse document frequencies.  Words in over
+   ``common`` of all passages weigh nothing, unless a benchmark passage would be left with almost no weight.
 3. A randomised SVD of the TF-IDF passages: every task multiplies its passages with one random matrix and back
    (``A' (A R)``), the products are added up, and the small rest (Nystroem form) gives the leading right singular
-   vectors and values.  All passages of all documents take part.
+   vectors.  All passages of all documents take part.
 4. Every benchmark item is cut into passages of at most 32 words.  Windows of 48 words, one every 16 words of every
-   document, are compared with them by the cosine in the whitened latent space; pairs above a low cosine are candidates.
+   document, are compared with them by the cosine in the latent space; pairs above a low cosine are candidates.
 5. A candidate's words are aligned with the item's by their longest common subsequence, found bit-parallel for many
    candidates at once.  An item whose words are nearly all there is a copy; one with fewer words there counts as a
    paraphrase only if its answer, the last sentence, is there too.
@@ -23,7 +25,6 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 import zstandard
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
@@ -31,9 +32,9 @@ from pyspark.sql import functions as F
 
 from tallyline.llm.common import batches, cut, packed, partitions, text_of, unpacked
 
-_WORD = re.compile(r"\w+")
+#: Every ASCII character that is no letter, digit or underscore ends a word.
+_GAPS = bytes(b if b > 127 or chr(b).isalnum() or b == 95 else 32 for b in range(256))
 _SENTENCE = re.compile(r"[.?!\n]+")
-_HELD_WORDS = 1 << 20
 _SEGMENT = 1 << 16
 _BAND = 256
 _SPREAD = 16
@@ -47,12 +48,15 @@ class Settings:
     """``copied``: share of an item's words, in order, that makes a copy; ``reworded``: that makes a paraphrase if
     ``answered`` of the answer's words are there too."""
 
-    terms: int = 1 << 13
-    rank: int = 64
+    terms: int = 1 << 15
+    rank: int = 128
+    common: float = 0.02
+    least_weighted: int = 5
+    balance: float = 0.25
     chunk: int = 16
     chunks: int = 3
     item_words: int = 32
-    cosine: float = 0.25
+    cosine: float = 0.35
     copied: float = 0.8
     reworded: float = 0.65
     answered: float = 0.8
@@ -63,32 +67,25 @@ class Settings:
         return self.chunk * self.chunks
 
 
-class _Hashes(dict):
-    """32-bit word hashes, kept for words seen lately."""
+class _Known(dict[bytes, int]):
+    """Vocabulary numbers; 0 for every word that is not in it."""
 
-    def __missing__(self, word: str) -> int:
-        if len(self) >= _HELD_WORDS:
-            self.clear()
-        value = self[word] = xxhash.xxh64_intdigest(word) & 0xFFFFFFFF
-        return value
+    def __missing__(self, word: bytes) -> int:
+        return 0
 
 
-def word_hashes(text: str, known: dict[str, int]) -> np.ndarray:
-    words = _WORD.findall(text.lower())
-    return np.fromiter(map(known.__getitem__, words), np.uint32, len(words))
+def words_of(text: str) -> list[bytes]:
+    return text.lower().encode().translate(_GAPS).split()
 
 
-def terms_of(words: np.ndarray, terms: int) -> np.ndarray:
-    return ((words.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - int(terms).bit_length() + 1)).astype(np.int64)
-
-
-def _hashed(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    known, pack = _Hashes(), zstandard.ZstdCompressor(level=1).compress
+def _numbered(parts: Iterator[pa.RecordBatch], vocabulary: Broadcast) -> Iterator[pa.RecordBatch]:
+    known, pack = _Known(vocabulary.value), zstandard.ZstdCompressor(level=1).compress
 
     def rows() -> Iterator[tuple]:
         for part in parts:
             for doc, text in zip(*(c.to_pylist() for c in part.columns), strict=True):
-                yield doc, pack(word_hashes(text, known).tobytes())
+                words = words_of(text)
+                yield doc, pack(np.fromiter(map(known.__getitem__, words), np.int32, len(words)).tobytes())
 
     yield from batches(rows(), _WORDS)
 
@@ -98,7 +95,7 @@ def _segments(parts: Iterator[pa.RecordBatch], overlap: int) -> Iterator[tuple[i
     unpack, row = zstandard.ZstdDecompressor().decompress, 0
     for part in parts:
         for doc, data in zip(part.column("id").to_pylist(), part.column("words").to_pylist(), strict=True):
-            words = np.frombuffer(unpack(data), np.uint32)
+            words = np.frombuffer(unpack(data), np.int32)
             for at in range(0, max(1, len(words) - overlap), _SEGMENT):
                 yield doc, row, words[at : at + _SEGMENT + overlap]
             row += 1
@@ -138,33 +135,41 @@ def _pieces(total: int, firsts: np.ndarray, size: int) -> tuple[np.ndarray, np.n
     return firsts[of] + number * size, of
 
 
-def _frequencies(parts: Iterator[pa.RecordBatch], settings: Settings) -> Iterator[pa.RecordBatch]:
-    """In how many passages each term occurs; the last number is the number of passages."""
-    counts = np.zeros(settings.terms + 1, np.int64)
+def _passages(words: np.ndarray, firsts: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """(word, piece it is in) of every vocabulary word, and the number of pieces."""
+    starts, _ = _pieces(len(words), firsts, size)
+    at = np.flatnonzero(words)
+    return words[at].astype(np.int64), np.searchsorted(starts, at, "right") - 1, len(starts)
+
+
+def _frequencies(parts: Iterator[pa.RecordBatch], size: int, settings: Settings) -> Iterator[pa.RecordBatch]:
+    """In how many passages each word occurs; the first number is the number of passages."""
+    counts = np.zeros(size, np.int64)
     for words, firsts, _ in _stretches(parts, 0):
-        starts, _ = _pieces(len(words), firsts, settings.window)
-        passage = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(words))))
-        pairs = np.unique(passage * settings.terms + terms_of(words, settings.terms))
-        counts[:-1] += np.bincount(pairs % settings.terms, minlength=settings.terms)
-        counts[-1] += len(starts)
+        own, passage, n = _passages(words, firsts, settings.window)
+        counts += np.bincount(np.unique(passage * size + own) % size, minlength=size)
+        counts[0] += n
     yield pa.record_batch([pa.array([0], pa.int32()), pa.array([counts.tobytes()], pa.binary())], schema=_SUMS)
 
 
-def _gram(parts: Iterator[pa.RecordBatch], model: Broadcast, settings: Settings) -> Iterator[pa.RecordBatch]:
+def _gram(parts: Iterator[pa.RecordBatch], model: Broadcast) -> Iterator[pa.RecordBatch]:
     """This task's part of ``A' (A R)``, in bands of terms."""
-    idf, sketch = model.value
-    weighted = (idf[:, None] * sketch).astype(np.float32)
+    weight, sketch, settings = model.value
+    terms = len(sketch)
     total = np.zeros(sketch.shape, np.float32)
     for words, firsts, _ in _stretches(parts, 0):
-        terms = terms_of(words, settings.terms)
-        starts, _ = _pieces(len(words), firsts, settings.window)
-        passage = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(words))))
-        seen = np.add.reduceat(weighted[terms], starts, axis=0)
-        order = np.argsort(terms.astype(np.uint16), kind="stable")
-        sorted_terms = terms[order]
-        first = np.flatnonzero(np.r_[True, sorted_terms[1:] != sorted_terms[:-1]])
-        total[sorted_terms[first]] += np.add.reduceat(seen[passage[order]], first, axis=0)
-    total *= idf[:, None].astype(np.float32)
+        own, passage, _ = _passages(words, firsts, settings.window)
+        used = weight[own] > 0
+        own, passage = own[used], passage[used]
+        if not len(own):
+            continue
+        first = np.flatnonzero(np.r_[True, passage[1:] != passage[:-1]])
+        seen = np.add.reduceat(weight[own][:, None] * sketch[own % terms], first, axis=0)
+        share = weight[own][:, None] * seen[np.cumsum(np.r_[False, passage[1:] != passage[:-1]])]
+        order = np.argsort(own % terms, kind="stable")
+        term = (own % terms)[order]
+        first = np.flatnonzero(np.r_[True, term[1:] != term[:-1]])
+        total[term[first]] += np.add.reduceat(share[order], first, axis=0)
     bands = [(i // _BAND, total[i : i + _BAND].tobytes()) for i in range(0, len(total), _BAND)]
     yield from batches(iter(bands), _SUMS)
 
@@ -202,75 +207,93 @@ def _sum_of(frame: DataFrame, kind: str) -> np.ndarray:
     return np.concatenate([data for _, data in parts]) if parts else np.zeros(0)
 
 
-def latent_space(words: DataFrame, settings: Settings) -> np.ndarray:
-    """(terms x rank): a word's share of its passage's place in the whitened latent space.  Size fixed by settings."""
+def weights(counts: np.ndarray, passages: list[_Passage], settings: Settings) -> np.ndarray:
+    """Inverse document frequencies by vocabulary number; common words weigh nothing where that leaves enough."""
+    idf = np.log((counts[0] + 1) / (counts + 1.0)) + 0.01
+    idf[0] = 0
+    rare = np.where(counts > settings.common * counts[0], 0, idf)
+    for passage in passages:
+        if np.count_nonzero(rare[passage.words]) < settings.least_weighted:
+            rare[passage.words] = idf[passage.words]
+    # rare words have little part in the leading singular vectors, so frequent ones are held down
+    return (rare / np.maximum(counts, 1) ** settings.balance).astype(np.float32)
+
+
+def latent_space(words: DataFrame, passages: list[_Passage], size: int, settings: Settings) -> np.ndarray:
+    """(vocabulary x rank): each word's share of its passage's place in the latent space."""
     spark = words.sparkSession
-    counts = _sum_of(words.mapInArrow(partial(_frequencies, settings=settings), "band int, data binary"), "<i8")
-    if not len(counts) or not counts[-1]:
-        return np.zeros((settings.terms, settings.rank), np.float32)
-    idf = np.log((counts[-1] + 1) / (counts[:-1] + 1.0)) + 0.01
-    sketch = np.linalg.qr(np.random.default_rng(7).standard_normal((settings.terms, settings.rank)))[0]
-    model = spark.sparkContext.broadcast((idf, sketch))
-    summed = _sum_of(words.mapInArrow(partial(_gram, model=model, settings=settings), "band int, data binary"), "<f4")
-    product = summed.reshape(settings.terms, settings.rank)
+    terms = min(size, settings.terms)
+    counts = _sum_of(words.mapInArrow(partial(_frequencies, size=size, settings=settings), "band int, data binary"), "<i8")
+    if not len(counts) or not counts[0]:
+        return np.zeros((size, settings.rank), np.float32)
+    weight = weights(counts, passages, settings)
+    rank = min(settings.rank, terms)
+    sketch = np.linalg.qr(np.random.default_rng(7).standard_normal((terms, rank)))[0].astype(np.float32)
+    model = spark.sparkContext.broadcast((weight, sketch, settings))
+    product = _sum_of(words.mapInArrow(partial(_gram, model=model), "band int, data binary"), "<f4").reshape(terms, rank)
     # Nystroem: A'A is close to P (R'P)^-1 P' for P = A'A R; its eigenvectors are A's right singular vectors
-    core = sketch.T @ product
+    core = sketch.astype(float).T @ product
     values, vectors = np.linalg.eigh((core + core.T) / 2)
-    root = vectors @ np.diag(1 / np.sqrt(np.maximum(values, 1e-9 * max(values.max(), 1e-9)))) @ vectors.T
-    right, singular, _ = np.linalg.svd(product @ root, full_matrices=False)
-    return (idf[:, None] * right / np.maximum(singular, 1e-9 * max(singular.max(), 1e-9))).astype(np.float32)
+    floor = max(float(values.max()), 1e-9) * 1e-9
+    root = vectors @ np.diag(np.where(values > floor, 1 / np.sqrt(np.maximum(values, floor)), 0)) @ vectors.T
+    right, _, _ = np.linalg.svd(product @ root, full_matrices=False)
+    return (weight[:, None] * right[np.arange(size) % terms]).astype(np.float32)
+
+
+@dataclass
+class _Passage:
+    """At most ``item_words`` words of a benchmark item, as vocabulary numbers."""
+
+    item: int
+    total: int  # words of the whole item
+    words: np.ndarray
+    answer: int  # bits of the words that belong to the answer
 
 
 @dataclass
 class _Items:
     """Some benchmark passages, made ready for comparing."""
 
-    item: np.ndarray  # item id of each passage
-    total: np.ndarray  # words of the whole item
-    size: np.ndarray  # words of the passage
-    answer: np.ndarray  # bits of the passage's words that belong to the answer
-    vocabulary: np.ndarray  # sorted hashes of all words in the passages
-    masks: np.ndarray  # (passages x vocabulary + 1): bits of the positions that hold a word
+    item: np.ndarray
+    total: np.ndarray
+    size: np.ndarray
+    answer: np.ndarray
+    local: np.ndarray  # vocabulary number to the number among these passages' words; 0: in none
+    masks: np.ndarray  # (passages x local numbers): bits of the positions that hold a word
     places: np.ndarray  # (rank x passages): unit vectors in the latent space
 
 
-def item_passages(rows: list[tuple[int, str]], settings: Settings) -> list[tuple[int, int, np.ndarray, int]]:
-    """(item, words of the item, the passage's hashes, its answer bits) of each item with words."""
-    known, out = _Hashes(), []
+def item_passages(rows: list[tuple[int, str]], settings: Settings) -> tuple[list[_Passage], dict[bytes, int]]:
+    """The passages of all items with words, and the vocabulary: numbers from 1."""
+    out, vocabulary = [], {}
     for item, text in rows:
-        sentences = [h for h in (word_hashes(s, known) for s in _SENTENCE.split(text)) if len(h)]
-        if not sentences:
+        sentences = [w for w in map(words_of, _SENTENCE.split(text)) if w]
+        words = [vocabulary.setdefault(w, len(vocabulary) + 1) for s in sentences for w in s]
+        if not words:
             continue
-        words = np.concatenate(sentences)
         tail = 0
         for sentence in reversed(sentences):  # the last sentence, or as many as make four words
             tail += len(sentence)
             if tail >= 4:
                 break
-        cuts = np.array_split(np.arange(len(words)), -(-len(words) // settings.item_words))
-        for own in cuts:
+        for own in np.array_split(np.arange(len(words)), -(-len(words) // settings.item_words)):
             answer = sum(1 << i for i, at in enumerate(own.tolist()) if at >= len(words) - tail)
-            out.append((item, len(words), words[own], answer))
-    return out
+            out.append(_Passage(item, len(words), np.array(words)[own], answer))
+    return out, vocabulary
 
 
-def _ready(passages: list[tuple[int, int, np.ndarray, int]], space: np.ndarray) -> _Items:
-    vocabulary = np.unique(np.concatenate([w for _, _, w, _ in passages]))
-    masks = np.zeros((len(passages), len(vocabulary) + 1), np.uint32)
+def _ready(passages: list[_Passage], space: np.ndarray) -> _Items:
+    own = np.unique(np.concatenate([p.words for p in passages]))
+    local = np.zeros(len(space), np.int32)
+    local[own] = np.arange(1, len(own) + 1)
+    masks = np.zeros((len(passages), len(own) + 1), np.uint32)
     places = np.zeros((space.shape[1], len(passages)), np.float32)
-    for n, (_, _, words, _) in enumerate(passages):
-        at = np.searchsorted(vocabulary, words)
-        np.bitwise_or.at(masks[n], at, np.uint32(1) << np.arange(len(words), dtype=np.uint32))
-        place = space[terms_of(words, len(space))].sum(axis=0)
+    for n, p in enumerate(passages):
+        np.bitwise_or.at(masks[n], local[p.words], np.uint32(1) << np.arange(len(p.words), dtype=np.uint32))
+        place = space[p.words].sum(axis=0)
         places[:, n] = place / max(float(np.linalg.norm(place)), 1e-12)
-    columns = [np.array(c) for c in zip(*((i, t, len(w), a) for i, t, w, a in passages), strict=True)]
-    return _Items(columns[0], columns[1], columns[2], columns[3].astype(np.uint32), vocabulary, masks, places)
-
-
-def _numbers(words: np.ndarray, vocabulary: np.ndarray) -> np.ndarray:
-    """Each word's number in a sorted vocabulary; words it does not have get the number after the last."""
-    at = np.minimum(np.searchsorted(vocabulary, words), len(vocabulary) - 1)
-    return np.where(vocabulary[at] == words, at, len(vocabulary))
+    columns = [np.array(c) for c in zip(*((p.item, p.total, len(p.words), p.answer) for p in passages), strict=True)]
+    return _Items(columns[0], columns[1], columns[2], columns[3].astype(np.uint32), local, masks, places)
 
 
 def _common(masks: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -291,21 +314,27 @@ def _searched(parts: Iterator[pa.RecordBatch], model: Broadcast, settings: Setti
         found: list[tuple[np.ndarray, ...]] = []
         for words, firsts, rows in _stretches(iter([part]), 2 * settings.window, ids):
             starts, of = _pieces(len(words), firsts, settings.chunk)
-            own = np.add.reduceat(space[terms_of(words, settings.terms)], starts, axis=0)
-            place = own.copy()
+            own, piece, n = _passages(words, firsts, settings.chunk)
+            place = np.zeros((n, space.shape[1]), np.float32)
+            if len(own):
+                first = np.flatnonzero(np.r_[True, piece[1:] != piece[:-1]])
+                place[piece[first]] = np.add.reduceat(space[own], first, axis=0)
+            single = place.copy()
             for step in range(1, settings.chunks):
-                place[:-step] += np.where((of[:-step] == of[step:])[:, None], own[step:], 0)
-            place /= np.maximum(np.linalg.norm(place, axis=1, keepdims=True), 1e-12)
-            ends = np.append(firsts, len(words))[of + 1]
+                place[:-step] += np.where((of[:-step] == of[step:])[:, None], single[step:], 0)
+            length = np.linalg.norm(place, axis=1)
+            windows = np.flatnonzero(length > 1e-12)
+            place = place[windows] / length[windows, None]
+            lows, highs = firsts[of[windows]], np.append(firsts, len(words))[of[windows] + 1]
             for items in blocks:
-                number = _numbers(words, items.vocabulary)
-                found += [(rows[of[w]], *rest) for w, *rest in _compared(place, starts, firsts[of], ends, number, items, settings)]
+                number = items.local[words]
+                compared = _compared(place, starts[windows], lows, highs, number, items, settings)
+                found += [(rows[of[windows[w]]], *rest) for w, *rest in compared]
         yield from _decided(ids, found, settings)
 
 
 def _compared(place, starts, lows, highs, number, items: _Items, settings: Settings) -> Iterator[tuple[np.ndarray, ...]]:
     """(window, item, item words, passage number, cosine, common words, answer words, answer words there)."""
-    nowhere = len(items.vocabulary)
     reach = np.arange(-settings.chunk, settings.window + settings.chunk)
     for lo in range(0, len(place), 4096):
         cosines = place[lo : lo + 4096] @ items.places
@@ -315,15 +344,17 @@ def _compared(place, starts, lows, highs, number, items: _Items, settings: Setti
             cosine = cosines[w - lo, p]
             spots = starts[w][:, None] + reach
             inside = (spots >= lows[w][:, None]) & (spots < highs[w][:, None])
-            near = np.where(inside, number[np.clip(spots, 0, len(number) - 1)], nowhere)
+            near = np.where(inside, number[np.clip(spots, 0, len(number) - 1)], 0)
             masks = items.masks[p[:, None], near]
             # words of the passage that occur at all, wherever: no subsequence can have more
             there = np.bitwise_count(np.bitwise_or.reduce(masks, axis=1)).astype(np.int64)
-            good = there >= np.ceil(items.size[p] * settings.reworded / 2)
+            good = there >= items.size[p] * settings.reworded / 2
             w, p, cosine, masks = w[good], p[good], cosine[good], masks[good].T
+            common = _common(masks, items.size[p])
+            good = common >= items.size[p] * settings.reworded / 2
+            w, p, cosine, masks, common = w[good], p[good], cosine[good], masks[:, good], common[good]
             if not len(w):
                 continue
-            common = _common(masks, items.size[p])
             answer = items.answer[p]
             asked = np.bitwise_count(answer).astype(np.int64)
             low = np.where(answer > 0, np.bitwise_count((answer & -answer.astype(np.int64)).astype(np.uint64) - np.uint64(1)), 0)
@@ -357,22 +388,25 @@ def leaks(docs: DataFrame, benchmark: DataFrame, settings: Settings = Settings()
     """(doc_id, item_id, cosine, lcs, answer): every benchmark item found in a document.
 
     ``lcs`` is the share of the item's words that stand in a passage of the document in the item's order, ``answer``
-    the same for the item's last sentence.  Words are runs of letters, digits and underscores in lower case.
+    the same for the item's last sentence.  Words are runs of letters, digits, underscores and non-ASCII characters,
+    in lower case.
 
     Null and empty texts and items have no words and never match; rows without an id are searched but not reported.
     Repeated rows and items give one row for each pair of ids.  Without documents or items there are no rows.
     """
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), text_of(docs).alias("text"))
-    words = cut(texts.where("id IS NOT NULL").mapInArrow(_hashed, "id long, words binary"))
-    space = latent_space(words, settings)
+    texts = texts.where("id IS NOT NULL")
     items = benchmark.select(F.col("item_id").cast("long").alias("item"), text_of(benchmark).alias("text")).where("item IS NOT NULL")
     result = None
     for rows in _in_blocks(items.distinct(), settings):
-        passages = item_passages(rows, settings)
-        blocks = [_ready(passages[i : i + 256], space) for i in range(0, len(passages), 256)]
-        if not blocks:
+        passages, vocabulary = item_passages(rows, settings)
+        if not passages:
             continue
+        known = spark.sparkContext.broadcast(vocabulary)
+        words = cut(texts.mapInArrow(partial(_numbered, vocabulary=known), "id long, words binary"))
+        space = latent_space(words, passages, len(vocabulary) + 1, settings)
+        blocks = [_ready(passages[i : i + 256], space) for i in range(0, len(passages), 256)]
         model = spark.sparkContext.broadcast((space, blocks))
         hits = words.mapInArrow(partial(_searched, model=model, settings=settings), _HITS_SQL)
         result = hits if result is None else result.unionByName(hits)
