@@ -26,7 +26,8 @@ from tallyline.llm.components import components
 BITS = 64
 BLANKS = b" \t\n\x0b\x0c\r"
 _AT_ONCE = 1 << 16
-_FRONTIER = 1 << 19
+#: Node pairs that are expanded at once; a walk holds a few such stretches for each level of the trie.
+_FRONTIER = 1 << 16
 _BLOCKS = pa.schema([("path", pa.int64()), ("depth", pa.int32()), ("members", pa.binary())])
 _MEETINGS = pa.schema([("left", pa.int64()), ("right", pa.int64()), ("side", pa.int32()), ("common", pa.int32()), ("members", pa.binary())])
 _EDGES = pa.schema([("a", pa.int64()), ("b", pa.int64())])
