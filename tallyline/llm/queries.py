@@ -11,6 +11,7 @@ from tallyline.llm.chat import format_chats, loss_text, parse
 from tallyline.llm.common import table
 from tallyline.llm.decontaminate import leaks
 from tallyline.llm.hnsw import neighbours
+from tallyline.llm.html_text import main_text
 from tallyline.llm.line_dedup import dedup_lines
 from tallyline.llm.pii import KINDS, digest, personal_data
 from tallyline.llm.simhash import simhash_groups
@@ -29,6 +30,11 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", "held_out", "score", "predicted")
 
 
+def op3_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = main_text(table(spark, sf_dir, "pages"))
+    return pages.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = dedup_lines(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -88,6 +94,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_hnsw": op1_hnsw,
     "op2_toxicity": op2_toxicity,
+    "op3_html": op3_html,
     "op4_line_dedup": op4_line_dedup,
     "op5_token_files": op5_token_files,
     "op6_bpe": op6_bpe,

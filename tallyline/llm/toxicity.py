@@ -38,10 +38,10 @@ class Settings:
     bits: int = 20
     sample_rows: int = 20_000
     passes: int = 4
-    alpha: float = 0.1
+    alpha: float = 3.0
     beta: float = 1.0
-    l1: float = 1.0
-    l2: float = 0.1
+    l1: float = 3.0
+    l2: float = 0.0
     threshold: float = 0.7
 
 
