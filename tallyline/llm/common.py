@@ -29,6 +29,11 @@ def cut(frame: DataFrame) -> DataFrame:
     return frame.checkpoint(eager=True)
 
 
+def small_batches(spark: SparkSession, most: str = "8m") -> None:
+    """Bound the Arrow batches that Python tasks are given: texts are long, and several tasks share a machine."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", most)
+
+
 def packed(frame: DataFrame, **parts: Column) -> DataFrame:
     """All columns of a frame as one struct ``row`` beside the parts an operator works on.
 

@@ -30,7 +30,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyline.llm.common import batches, cut, packed, partitions, text_of, unpacked
+from tallyline.llm.common import batches, cut, packed, partitions, small_batches, text_of, unpacked
 
 #: Every ASCII character that is no letter, digit or underscore ends a word.
 _GAPS = bytes(b if b > 127 or chr(b).isalnum() or b == 95 else 32 for b in range(256))
@@ -395,6 +395,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, settings: Settings = Settings()
     Repeated rows and items give one row for each pair of ids.  Without documents or items there are no rows.
     """
     spark = docs.sparkSession
+    small_batches(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("long").alias("id"), text_of(docs).alias("text"))
     texts = texts.where("id IS NOT NULL")
     items = benchmark.select(F.col("item_id").cast("long").alias("item"), text_of(benchmark).alias("text")).where("item IS NOT NULL")

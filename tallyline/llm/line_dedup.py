@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tallyline.llm.common import batches, packed, partitions, text_of, unpacked
+from tallyline.llm.common import batches, packed, partitions, small_batches, text_of, unpacked
 
 BLANKS = b" \t\n\x0b\x0c\r"
 SEGMENT_BITS = 1 << 20
@@ -195,6 +195,7 @@ def dedup_lines(
     Null texts are one empty line.  Rows with one id are one document.  Rows with a null id are one document,
     counted before all others.  An empty table gives an empty table.
     """
+    small_batches(docs.sparkSession)
     texts = docs.select(F.col(text).alias("text"))
     segments = segments_for(texts, bits_per_line, most_bits)
     twice = docs.sparkSession.sparkContext.broadcast(twice_filter(texts, least_chars, segments))

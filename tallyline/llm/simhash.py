@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyline.llm.common import batches, cut, packed, partitions, text_of, unpacked
+from tallyline.llm.common import batches, cut, packed, partitions, small_batches, text_of, unpacked
 from tallyline.llm.components import components
 
 BITS = 64
@@ -288,6 +288,7 @@ def simhash_groups(docs: DataFrame, size: int = 3, budget: int = 3, doc_id: str
     id reachable, the row's own included.  Null texts are empty.  Rows with a null id keep it and take part in links;
     their component is null if no document in it has an id.  Repeated rows give repeated rows.
     """
+    small_batches(docs.sparkSession)
     ids = F.col(doc_id).cast("long")
     prints = cut(
         docs.select(ids.alias("id"), text_of(docs, text).alias("text")).mapInArrow(

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructType
 
-from tallyline.llm.common import batches, packed, text_of, unpacked
+from tallyline.llm.common import batches, packed, small_batches, text_of, unpacked
 
 _WORD = re.compile(r"[^\W\d_]+")
 _HELD_WORDS = 1 << 20
@@ -148,6 +148,16 @@ def learning_rows(docs: DataFrame, labels: DataFrame, settings: Settings) -> Dat
     return texts.join(F.broadcast(sample), F.col("id") == F.col("known")).select("place", "label", "text")
 
 
+def _with_scores(docs: DataFrame, labels: DataFrame, settings: Settings) -> DataFrame:
+    """(row, score) of every row."""
+    spark = docs.sparkSession
+    small_batches(spark)
+    model = spark.sparkContext.broadcast(learn(learning_rows(docs, labels, settings), settings))
+    rows = packed(docs, text=text_of(docs))
+    shape = StructType([rows.schema["row"]]).add("score", DoubleType())
+    return rows.mapInArrow(partial(_scored, model=model, bits=settings.bits), shape)
+
+
 def score_toxicity(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """The rows of ``docs`` with ``held_out``, ``score`` (0 to 1, higher: toxic likelier) and ``predicted`` (0 or 1).
 
@@ -155,15 +165,15 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, settings: Settings = Sett
     document count as toxic if one does; null labels and ids are left out; without labels every score is one half.
     Repeated rows get equal scores.  Columns of the three names are replaced, all others kept.
     """
-    spark = docs.sparkSession
-    model = spark.sparkContext.broadcast(learn(learning_rows(docs, labels, settings), settings))
-    rows = packed(docs, text=text_of(docs))
-    shape = StructType([rows.schema["row"]]).add("score", DoubleType())
-    scored = rows.mapInArrow(partial(_scored, model=model, bits=settings.bits), shape)
     return unpacked(
-        scored,
+        _with_scores(docs, labels, settings),
         docs.columns,
         held_out=held_out(F.col("row")["doc_id"]),
         score=F.col("score"),
         predicted=(F.col("score") >= settings.threshold).cast("int"),
     )
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """The rows of ``docs``, all columns as they are, whose score stays below the threshold."""
+    return unpacked(_with_scores(docs, labels, settings).where(F.col("score") < settings.threshold), docs.columns)
