@@ -128,11 +128,15 @@ def compile_script(spark: SparkSession, text: str, types: Mapping[str, str]) ->
     """Check a script once per application; the answer depends on its text and declared types only."""
     identity = (spark.sparkContext.applicationId, text, tuple(sorted(types.items())))
     if identity not in _compiled:
+        if len(_compiled) >= _KEPT:
+            _compiled.clear()
         _compiled[identity] = _compile(spark, text, types)
     return _compiled[identity]
 
 
 _compiled: dict[tuple, Script] = {}
+#: Answers kept; a job that meets more scripts than that checks some again.
+_KEPT = 100_000
 
 
 def _compile(spark: SparkSession, text: str, types: Mapping[str, str]) -> Script:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallyline.functions import slices
 from tallyline.operators.route import join_definitions
@@ -11,12 +11,13 @@ from tallyline.sources.definitions import DefinitionSet
 IDENTITY = ("ref_ord", "dimension_key", "order_id")
 
 
-def delivery_order(definitions: DefinitionSet) -> Column:
+def delivery_order(definitions: DefinitionSet, fixed_type: bool = False) -> Column:
     """What comes first: arrival, then place in the definition list.
 
-    One number rather than a pair, so that the aggregation below stays a hash aggregation.
+    One number rather than a pair, so that the aggregation below stays a hash aggregation.  Streams ask for one type
+    whatever the definitions are: it is part of their state, which outlives a definition list.
     """
-    if not definitions.repeated_refs:
+    if not definitions.repeated_refs and not fixed_type:
         return F.col("arrival_seq")
     place = F.col("def_ord").cast("decimal(20,0)")
     return F.col("arrival_seq").cast("decimal(38,0)") * F.expr("10000000000000000000BD") + place
@@ -63,10 +64,10 @@ def slice_updates(described: DataFrame) -> DataFrame:
 
 def counted_flags(evaluated: DataFrame, definitions: DefinitionSet) -> DataFrame:
     """Every routed delivery with a flag telling whether it was the one that counted."""
-    winners = first_success(evaluated, definitions).select(*IDENTITY, "arrival_seq", "def_ord")
-    marks = winners.withColumn("counted", F.lit(True))
-    flagged = evaluated.join(marks, [*IDENTITY, "arrival_seq", "def_ord"], "left")
-    return flagged.withColumn("counted", F.coalesce("counted", F.lit(False)) & F.col("increment").isNotNull())
+    place = F.when(F.col("increment").isNotNull(), delivery_order(definitions))
+    first = F.min("place").over(Window.partitionBy(*IDENTITY))
+    marked = evaluated.withColumn("place", place).withColumn("first", first)
+    return marked.withColumn("counted", F.coalesce(F.col("place") == F.col("first"), F.lit(False))).drop("place", "first")
 
 
 def slice_totals(updates: DataFrame) -> DataFrame:

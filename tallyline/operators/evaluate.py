@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyline.functions import slices
@@ -14,12 +16,16 @@ from tallyline.sources.definitions import DefinitionSet
 NOT_A_NUMBER = "script returned no number"
 _INCREMENT = f"{RESERVED}inc_"
 _OPERAND = f"{RESERVED}op_"
+#: Scripts that one column chooses among, which bounds the code Spark makes for it.
+SCRIPTS_PER_COLUMN = 40
 
 
 def _evaluate(routed: DataFrame, definitions: DefinitionSet, folds: bool) -> DataFrame:
     """Add ``increment``: the script with a slice value of 0, or NULL where it fails.
 
-    Engine columns are renamed while scripts run, so a field may have any name.
+    A row runs its own script only: each result column is a choice by script number, among a bounded number of
+    scripts, so the input is read once however many scripts there are.  Engine columns are renamed while scripts run,
+    so a field may have any name.
     """
     columns = input_columns(definitions)
     engine = [c for c in routed.columns if c not in columns.values()]
@@ -31,14 +37,14 @@ def _evaluate(routed: DataFrame, definitions: DefinitionSet, folds: bool) -> Dat
         for scope in scopes((n, s) for n, s in enumerate(definitions.scripts) if s.runs):
             bound = {p: F.col(columns[p, k]) for _, s in scope for p, k in s.inputs.items()}
             engine_side = [*hidden, *columns.values(), *outputs]
-            results = [r for number, script in scope for r in _results(number, script, folds)]
+            starts = range(0, len(scope), SCRIPTS_PER_COLUMN)
+            results = [r for at in starts for r in _results(scope[at : at + SCRIPTS_PER_COLUMN], folds)]
             frame = frame.select(*engine_side, *bind(bound)).select(*engine_side, *results)
             outputs = frame.columns[len(hidden) + len(columns) :]
 
     def pick(prefix: str) -> Column:
-        numbers = [n for n in range(len(definitions.scripts)) if f"{prefix}{n}" in outputs]
-        options = [(n, F.col(f"{prefix}{n}")) for n in numbers]
-        return choose(F.col(f"{RESERVED}script_id"), options, F.lit(None).cast("double"))
+        found = [F.col(c) for c in outputs if c.startswith(prefix)]  # a script is in one column only
+        return F.coalesce(*found, F.lit(None).cast("double"))
 
     # A general fold evaluates its script again later, so it keeps the inputs.
     extra = [*columns.values(), pick(_OPERAND).alias("operand")] if folds else []
@@ -46,28 +52,29 @@ def _evaluate(routed: DataFrame, definitions: DefinitionSet, folds: bool) -> Dat
     return frame.select(*restored, pick(_INCREMENT).alias("increment"), *extra)
 
 
-def _results(number: int, script: Script, folds: bool) -> list[Column]:
-    results = [F.expr(script.text).cast("double").alias(f"{_INCREMENT}{number}")]
-    if folds and script.operand is not None:
-        results.append(F.expr(script.operand).cast("double").alias(f"{_OPERAND}{number}"))
+def _results(scripts: Sequence[tuple[int, Script]], folds: bool) -> list[Column]:
+    """The increments of some scripts in one column, and their operands in another."""
+    number, first = F.col(f"{RESERVED}script_id"), scripts[0][0]
+    nothing = F.lit(None).cast("double")
+    increments = [(n, F.expr(s.text).cast("double")) for n, s in scripts]
+    operands = [(n, F.expr(s.operand).cast("double")) for n, s in scripts if s.operand is not None]
+    results = [choose(number, increments, nothing).alias(f"{_INCREMENT}{first}")]
+    if folds and operands:
+        results.append(choose(number, operands, nothing).alias(f"{_OPERAND}{first}"))
     return results
 
 
 def route_and_evaluate(orders: DataFrame, definitions: DefinitionSet, folds: bool = False) -> DataFrame:
-    """Routed orders with ``increment`` and ``slice_ts``; many scripts are spread over several passes."""
-    parts = [_evaluate(route(orders, part), part, folds) for part in definitions.passes()]
-    evaluated = parts[0]
-    for part in parts[1:]:
-        evaluated = evaluated.unionByName(part, allowMissingColumns=True)
+    """Routed orders with ``increment`` and ``slice_ts``."""
+    evaluated = _evaluate(route(orders, definitions), definitions, folds)
     return evaluated.withColumn("slice_ts", slices.slice_start(F.col("event_epoch_ms"), F.col("slice_seconds")))
 
 
 def failed_scripts(evaluated: DataFrame, definitions: DefinitionSet) -> DataFrame:
     """Routed orders whose script gave no number, with the reason."""
-    numbered = list(enumerate(definitions.scripts))
-    text = choose(F.col("script_id"), [(n, F.lit(s.text)) for n, s in numbered], F.lit(None).cast("string"))
-    problems = [(n, F.lit(s.problem)) for n, s in numbered if not s.runs]
-    reason = choose(F.col("script_id"), problems, F.lit(NOT_A_NUMBER))
+    texts = F.array(*[F.lit(s.text) for s in definitions.scripts])
+    problems = F.array(*[F.lit(s.problem or NOT_A_NUMBER) for s in definitions.scripts])
+    text, reason = F.get(texts, F.col("script_id")), F.get(problems, F.col("script_id"))
     return evaluated.where(F.col("increment").isNull()).select(
         "ref_name", "dimension_key", "order_id", text.alias("acc_script"), reason.alias("reason")
     )

@@ -56,7 +56,7 @@ def parse_messages(messages: DataFrame, fields: T.DataType) -> DataFrame:
         F.from_json("value", schema, _JSON_OPTIONS).alias("order"),
         F.json_object_keys("value").alias("properties"),
     )
-    # A one-row generator around a lambda: each message is parsed once and its checks stay with the parser,
+    # A one-row generator around a lambda: each message is parsed once (its keys are read by a second, shallow pass) and its checks stay with the parser,
     # neither copied into every filter above nor compiled into one method with the join.
     timed = F.transform(
         F.array(read), lambda m: m.withField("millis", _epoch_ms(m["order"][schemas.EVENT_EPOCH_MS]))

@@ -12,11 +12,19 @@ _SCALE_LIMIT = 2**15
 
 
 def _with_windows(totals: DataFrame, definitions: DefinitionSet) -> DataFrame:
-    """Slice totals with the width and window of their indicator, the first of a shared name."""
-    first = definitions.table.where(F.col("def_ord") == F.col("ref_ord"))
-    table = first.select("ref_name", "slice_seconds", F.greatest(F.lit(1), "window_slices").alias("window_slices"))
+    """Slice totals with the width and window that belong to their slices.
+
+    A slice's width is its granularity.  The window is that of the first definition with this name and granularity:
+    definitions that share a name keep their own.
+    """
+    granularity = slices.granularity_name(F.col("slice_seconds"))
+    named = definitions.table.select("ref_name", granularity.alias("granularity"), "def_ord", "slice_seconds", "window_slices")
+    table = named.groupBy("ref_name", "granularity").agg(
+        F.min_by("slice_seconds", "def_ord").alias("slice_seconds"),
+        F.greatest(F.lit(1), F.min_by("window_slices", "def_ord")).alias("window_slices"),
+    )
     # Beyond the size bound Spark picks the join; slice totals are already reduced.
-    return totals.join(F.broadcast(table) if definitions.small else table, "ref_name")
+    return totals.join(F.broadcast(table) if definitions.small else table, ["ref_name", "granularity"])
 
 
 def window_bounds(now_second: Column) -> tuple[Column, Column]:
@@ -30,7 +38,8 @@ def value_at(totals: DataFrame, definitions: DefinitionSet, now_second: int, kee
     """Window value of every indicator and key at one moment.
 
     A key whose slices have all aged out reads 0.0, or is left out with ``keep_empty=False``,
-    which lets the time bound filter slices before they are grouped.
+    which lets the time bound filter slices before they are grouped.  Where definitions of several granularities share
+    a name, each order counts under one of them, and the value is the sum of their windows.
     """
     rows = _with_windows(totals, definitions)
     first, last = window_bounds(F.lit(now_second).cast("bigint"))

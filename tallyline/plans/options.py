@@ -13,6 +13,8 @@ class JobOptions:
     sink_topic: str = "indicator-slice-updates"
     consumer_group: str = "indicator-accumulation"
     dead_letter_topic: str = "order-final-state-dlq"
+    #: Topic for orders whose script failed; None reports none.
+    reject_topic: str | None = None
     checkpoint_interval_ms: int = 60_000
     source_parallelism: int = 1
     starting_offsets: str = "earliest"

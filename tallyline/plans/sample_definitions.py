@@ -71,6 +71,12 @@ SAME_NAME = (
     },
 )
 
+#: More scripts than Spark compiles into one method.
+MANY_SCRIPTS = tuple(
+    {"refName": f"scaled_{n}", "eventTypeCodes": ["purchase"], "dimensions": ["kind"], "accScript": f"current + amount * {n}"}
+    for n in range(1, 101)
+)
+
 EXTREMES = (
     {
         "refName": "largest",

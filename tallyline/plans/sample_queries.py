@@ -53,6 +53,8 @@ def _definitions(spark: SparkSession, rows: Iterable[Mapping]) -> DefinitionSet:
     identity = spark.sparkContext.applicationId + json.dumps(list(rows))
     found = _snapshots.get(identity)
     if found is None or found.spark is not spark:
+        if len(_snapshots) >= 100:
+            _snapshots.clear()
         found = _snapshots[identity] = DefinitionSet.of_rows(prepare(spark), rows)
     return found
 
@@ -213,6 +215,30 @@ def window_value_every_slice(spark: SparkSession, folder: str) -> DataFrame:
     return values.select("ref_name", "dimension_key", "granularity", "slice_ts", _rounded("window_value"))
 
 
+def _shared_name_totals(spark: SparkSession, folder: str) -> tuple[DataFrame, DefinitionSet]:
+    definitions = _definitions(spark, samples.SAME_NAME)
+    orders = feeds.redelivered_orders(_events(spark, folder))
+    return slice_totals(backfill_orders(orders, definitions).updates), definitions
+
+
+def window_shared_name_now(spark: SparkSession, folder: str) -> DataFrame:
+    """Two definitions of one name with slices of different width: each sums its own window."""
+    values = window_values.value_at(*_shared_name_totals(spark, folder), NOW_SECOND)
+    return values.select("ref_name", "dimension_key", _rounded("window_value"))
+
+
+def window_shared_name_every_slice(spark: SparkSession, folder: str) -> DataFrame:
+    values = window_values.value_at_every_slice(*_shared_name_totals(spark, folder))
+    return values.select("ref_name", "dimension_key", "granularity", "slice_ts", _rounded("window_value"))
+
+
+def many_scripts_updates(spark: SparkSession, folder: str) -> DataFrame:
+    """What every one of many scripts adds, from one scan of the orders."""
+    updates = backfill_orders(_event_orders(spark, folder), _definitions(spark, samples.MANY_SCRIPTS)).updates
+    totals = updates.groupBy("ref_name").agg(F.sum("increment").alias("total"), F.count("*").alias("orders"))
+    return totals.select("ref_name", _rounded("total"), "orders")
+
+
 def slice_retention(spark: SparkSession, folder: str) -> DataFrame:
     kept = window_values.retained(_event_updates(spark, folder), NOW_SECOND)
     return kept.select("slice_key", "order_id", "ttl_seconds")
@@ -397,15 +423,21 @@ def stream_dead_letters(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def stream_dedupe_restart(spark: SparkSession, folder: str) -> DataFrame:
-    """The job stopped and started on one checkpoint, with redeliveries and one more definition.
-
-    The first run sees every message; the second sees every message again and also has a
-    definition that counts from then on.
-    """
-    run = new_run_dir(prepare_streaming(spark), "restart")
+    """The job stopped and started on one checkpoint, with redeliveries and one more definition."""
     known = [r for r in samples.EVENTS if r["refName"] in ("act_cnt_1d", "buy_amount_1d")]
     added = [r for r in samples.EVENTS if r["refName"] == "all_cnt_2d"]
-    online = known
+    return _restarted(spark, folder, known, [*added, *known])
+
+
+def stream_restart_shared_name(spark: SparkSession, folder: str) -> DataFrame:
+    """The second run has a second definition under the name of the first."""
+    return _restarted(spark, folder, samples.SAME_NAME[:1], samples.SAME_NAME)
+
+
+def _restarted(spark: SparkSession, folder: str, before: Iterable[Mapping], after: Iterable[Mapping]) -> DataFrame:
+    """Two runs on one checkpoint.  The first sees every message; the second sees every message again."""
+    run = new_run_dir(prepare_streaming(spark), "restart")
+    online = before
 
     job = Job(
         spark=spark,
@@ -419,7 +451,7 @@ def stream_dedupe_restart(spark: SparkSession, folder: str) -> DataFrame:
     messages = feeds.event_messages(_events(spark, folder))
     messages.write.parquet(f"{run}/messages")
     job.run_available()
-    online = [*added, *known]
+    online = after
     later = messages.withColumn("arrival_seq", F.col("arrival_seq") + feeds.REDELIVERY_OFFSET)
     later.write.mode("append").parquet(f"{run}/messages")
     job.run_available()
@@ -446,6 +478,9 @@ QUERIES: dict[str, Query] = {
     "slice_totals": slice_totals_events,
     "window_value_at_now": window_value_at_now,
     "window_value_every_slice": window_value_every_slice,
+    "window_shared_name_now": window_shared_name_now,
+    "window_shared_name_every_slice": window_shared_name_every_slice,
+    "many_scripts_updates": many_scripts_updates,
     "slice_retention": slice_retention,
     "granularity_steps": granularity_steps,
     "definitions_normalised": definitions_normalised,
@@ -463,4 +498,5 @@ QUERIES: dict[str, Query] = {
     "stream_running_value": stream_running_value,
     "stream_dead_letters": stream_dead_letters,
     "stream_dedupe_restart": stream_dedupe_restart,
+    "stream_restart_shared_name": stream_restart_shared_name,
 }

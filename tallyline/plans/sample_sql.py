@@ -202,6 +202,20 @@ SELECT a.ref AS ref_name, a.dim AS dimension_key, a.gran AS granularity, a.slice
 FROM totals a JOIN totals b ON a.ref = b.ref AND a.dim = b.dim
   AND b.slice_ts BETWEEN a.slice_ts - (a.slices - 1) * a.step AND a.slice_ts
 GROUP BY a.ref, a.dim, a.gran, a.slice_ts""",
+    "window_shared_name_now": f"""WITH {_routed(REDELIVERED, samples.SAME_NAME)}, {_FIRST}, {_TOTALS},
+bounds AS (SELECT *, ({NOW_SECOND} // step) * step AS upto FROM totals)
+SELECT ref AS ref_name, dim AS dimension_key, round(coalesce(sum(value)
+         FILTER (WHERE slice_ts BETWEEN upto - (slices - 1) * step AND upto), 0.0), 4) AS window_value
+FROM bounds GROUP BY ref, dim""",
+    "window_shared_name_every_slice": f"""WITH {_routed(REDELIVERED, samples.SAME_NAME)}, {_FIRST}, {_TOTALS}
+SELECT a.ref AS ref_name, a.dim AS dimension_key, a.gran AS granularity, a.slice_ts,
+       round(sum(b.value), 4) AS window_value
+FROM totals a JOIN totals b ON a.ref = b.ref AND a.dim = b.dim AND a.gran = b.gran
+  AND b.slice_ts BETWEEN a.slice_ts - (a.slices - 1) * a.step AND a.slice_ts
+GROUP BY a.ref, a.dim, a.gran, a.slice_ts""",
+    "many_scripts_updates": f"""WITH {EVENTS}
+SELECT 'scaled_' || n AS ref_name, round(sum(amount * n), 4) AS total, count(*) AS orders
+FROM src, range(1, {len(samples.MANY_SCRIPTS) + 1}) AS t(n) WHERE code = 'purchase' AND amount IS NOT NULL GROUP BY n""",
     "slice_retention": f"""WITH {_routed(EVENTS, samples.EVENTS)}, {_FIRST}
 SELECT {_KEY} AS slice_key, order_id, step * slices + step AS ttl_seconds
 FROM firsts WHERE slice_ts + step * slices + step > {NOW_SECOND}""",
@@ -251,5 +265,6 @@ FROM firsts""",
         "CASE WHEN ref = 'largest' THEN max(inc) OVER {window} ELSE sum(inc) OVER {window} END",
     ),
     "stream_dead_letters": _REASONS,
+    "stream_restart_shared_name": _updates(MESSAGES, samples.SAME_NAME),
     "stream_dedupe_restart": _updates(MESSAGES, _named("act_cnt_1d", "buy_amount_1d", "all_cnt_2d")),
 }

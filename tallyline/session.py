@@ -68,22 +68,3 @@ def stored(frame: DataFrame, name: str) -> DataFrame:
     folder = new_run_dir(frame.sparkSession, name)
     frame.write.parquet(folder)
     return frame.sparkSession.read.schema(frame.schema).parquet(folder)
-
-
-def sizing(input_bytes: int, cores: int, fan_out: float = 1.0) -> dict[str, str]:
-    """Session settings for a backfill of that size.
-
-    Shuffle partitions start at about 128 MiB of routed rows each and are merged at run time where
-    they turn out small; scan splits grow with the input so that task counts stay manageable.
-    """
-    target = 128 * 1024 * 1024
-    partitions = max(cores, int(input_bytes * fan_out / target) + 1)
-    split = target if input_bytes < 10 * 1024**4 else 4 * target
-    return {
-        "spark.sql.adaptive.enabled": "true",
-        "spark.sql.adaptive.coalescePartitions.enabled": "true",
-        "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target),
-        "spark.sql.shuffle.partitions": str(min(partitions, 200_000)),
-        "spark.sql.files.maxPartitionBytes": str(split),
-    }

@@ -3,18 +3,21 @@
 from __future__ import annotations
 
 import json
+import logging
 import math
 from collections.abc import Callable, Iterable, Mapping, Sequence
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from tallyline.functions import slices
 from tallyline.functions.script import CURRENT, FOLDS, Script, compile_script
 from tallyline.functions.text import as_text
 from tallyline.session import stored
 
+log = logging.getLogger(__name__)
+
 ONLINE = "ONLINE"
 DEFAULT_SCRIPT = "current + 1"
 
@@ -41,10 +44,10 @@ BOOTSTRAP = (
 #: A definition table up to this size is held as a snapshot and broadcast.
 BROADCAST_ROWS = 20_000
 BROADCAST_BYTES = 32 * 1024 * 1024
-#: Distinct scripts and dimension names a plan may name.
-PLAN_NAMES = 2_000
-#: Distinct scripts compiled into one pass; more are spread over several.
-SCRIPTS_PER_PASS = 200
+#: Event codes under which definitions for every event type may be listed one by one.
+LISTED_CODES = 2_000
+#: Distinct scripts, dimension names or window lengths that the driver holds for a plan; more end the load with an error.
+PLAN_NAMES = 100_000
 
 
 # ---------------------------------------------------------------- reading and normalising
@@ -56,11 +59,12 @@ def normalise_documents(documents: DataFrame) -> DataFrame:
     A row that cannot be mapped ends the whole load, so that a half-read table is never used.
     """
     variant = F.parse_json("value").cast("array<variant>")
+    file = F.col("file") if "file" in documents.columns else F.lit("")
     exploded = documents.select(
-        F.monotonically_increasing_id().alias("doc"), F.posexplode(variant).alias("pos", "item")
+        file.alias("file"), F.monotonically_increasing_id().alias("doc"), F.posexplode(variant).alias("pos", "item")
     )
     rows = exploded.select(
-        (F.col("doc") * 1_000_000 + F.col("pos")).alias("def_ord"),
+        F.struct("file", "doc", "pos").alias("def_ord"),
         F.col("item").cast("map<string,variant>").alias("row"),
     )
 
@@ -103,7 +107,7 @@ def normalise_table(table: DataFrame) -> DataFrame:
     def get(name: str, kind: str) -> Column:
         return F.col(name).cast(kind) if name in present else F.lit(None).cast(kind)
 
-    order = F.coalesce(get("def_ord", "bigint"), F.monotonically_increasing_id())
+    order = F.struct(get("def_ord", "bigint").alias("given"), F.monotonically_increasing_id().alias("place"))
     return _finish(
         table.where(_is_online(get("status", "string"))).select(
             order.alias("def_ord"),
@@ -125,8 +129,10 @@ def _is_online(status: Column) -> Column:
 def _finish(rows: DataFrame) -> DataFrame:
     no_names = F.array().cast("array<string>")
     step = slices.step_seconds(F.col("slice_granularity"))
+    # A definition's ordinal is its rank in reading order: it cannot overflow or repeat, and files stand by name.
+    rank = F.row_number().over(Window.orderBy(F.col("def_ord").asc_nulls_last())) - 1
     return rows.select(
-        "def_ord",
+        rank.cast("bigint").alias("def_ord"),
         "ref_name",
         F.coalesce("event_type_codes", no_names).alias("event_type_codes"),
         F.coalesce("dimensions", no_names).alias("dimensions"),
@@ -141,7 +147,9 @@ def _finish(rows: DataFrame) -> DataFrame:
 def read_definitions(spark: SparkSession, path: str, source: str = "json") -> DataFrame:
     """Definitions from a folder of JSON arrays, or from any table format Spark reads."""
     if source == "json":
-        return normalise_documents(spark.read.text(path, wholetext=True))
+        return normalise_documents(
+            spark.read.text(path, wholetext=True).select("value", F.col("_metadata.file_path").alias("file"))
+        )
     return normalise_table(spark.read.format(source).load(path))
 
 
@@ -172,7 +180,7 @@ class DefinitionSet:
     repeated_refs: bool
     window_sizes: tuple[int, ...]
     small: bool
-    rows: tuple = field(default=(), compare=False, repr=False)
+    content: tuple = ()
 
     @classmethod
     def of(
@@ -182,10 +190,20 @@ class DefinitionSet:
         broadcast_bytes: int = BROADCAST_BYTES,
     ) -> DefinitionSet:
         spark = definitions.sparkSession
-        rows = definitions.limit(broadcast_rows + 1).collect()
-        if len(rows) <= broadcast_rows and sum(len(str(r)) for r in rows) <= broadcast_bytes:
-            return cls._held(spark, sorted(rows, key=lambda r: r.def_ord))
-        return cls._stored(spark, definitions)
+        # One pass tells size, width and content, before anything is collected.
+        types = F.to_json(F.transform(F.array_sort(F.map_entries("field_types")), lambda e: e))
+        text = F.to_json(F.struct(*[c for c in definitions.columns if c != "field_types"], types.alias("types")))
+        measured = definitions.agg(
+            F.count("*"),
+            F.coalesce(F.sum(F.octet_length(text)), F.lit(0)),
+            F.sum(F.xxhash64(text).cast("decimal(38,0)")),
+            F.sum(F.xxhash64(F.lit(1), text).cast("decimal(38,0)")),
+        ).first()
+        if measured[0] <= broadcast_rows and measured[1] <= broadcast_bytes:
+            found = cls._held(spark, sorted(definitions.collect(), key=lambda r: r.def_ord))
+        else:
+            found = cls._stored(spark, definitions)
+        return replace(found, content=tuple(measured))
 
     @classmethod
     def of_rows(cls, spark: SparkSession, rows: Iterable[Mapping]) -> DefinitionSet:
@@ -216,7 +234,7 @@ class DefinitionSet:
         ).coalesce(1)
         most = max((len(r.dimensions) for r in rows), default=0)
         any_event = sum(not r.event_type_codes for r in rows)
-        listed = codes if any_event * len(codes) <= BROADCAST_ROWS and len(codes) <= PLAN_NAMES else None
+        listed = codes if any_event * len(codes) <= BROADCAST_ROWS and len(codes) <= LISTED_CODES else None
         return cls(
             spark=spark,
             table=_routing_columns(plain, names, most, listed),
@@ -229,7 +247,6 @@ class DefinitionSet:
             repeated_refs=len(first_of_ref) < len(rows),
             window_sizes=tuple(sorted({max(1, r.window_slices) for r in rows})),
             small=True,
-            rows=tuple(rows),
         )
 
     @classmethod
@@ -289,26 +306,9 @@ class DefinitionSet:
         """The smallest length that every window size divides."""
         return math.lcm(*self.window_sizes) if self.window_sizes else 1
 
-    def passes(self) -> list[DefinitionSet]:
-        """Split so that one pass compiles a bounded number of scripts."""
-        if len(self.scripts) <= SCRIPTS_PER_PASS:
-            return [self]
-        starts = range(0, len(self.scripts), SCRIPTS_PER_PASS)
-        return [
-            replace(
-                self,
-                table=self.table.where(F.col("script_id").between(s, s + SCRIPTS_PER_PASS - 1)),
-                scripts=tuple(
-                    script if s <= n < s + SCRIPTS_PER_PASS else replace(script, problem="another pass")
-                    for n, script in enumerate(self.scripts)
-                ),
-            )
-            for s in starts
-        ]
-
     def same_as(self, other: DefinitionSet) -> bool:
-        """The same definitions in the same order."""
-        return self.small and other.small and [r[1:] for r in self.rows] == [r[1:] for r in other.rows]
+        """The same definitions in the same order, whatever their number."""
+        return self.content == other.content
 
 
 def _fold_code(folds: set[str]) -> int:
@@ -380,6 +380,7 @@ class DefinitionFeed:
             fresh = DefinitionSet.of(self._load())
         except Exception as error:  # any failed load leaves the snapshot in place
             self.last_error = str(error)
+            log.warning("definitions were not refreshed: %s", error)
             return False
         self.last_error = None
         if fresh.size == 0 or fresh.same_as(self.snapshot):

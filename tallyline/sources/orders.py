@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tallyline.plans.options import JobOptions
 
@@ -42,7 +42,22 @@ def read_message_files(spark: SparkSession, path: str, streaming: bool = True, f
 
 
 def read_text_files(spark: SparkSession, path: str, streaming: bool = True) -> DataFrame:
-    """One message per line; arrival is the reading order, so redeliveries belong in later files."""
-    reader = spark.readStream if streaming else spark.read
-    lines = reader.text(path)
-    return lines.select(F.monotonically_increasing_id().alias("arrival_seq"), "value")
+    """One message per line, in files that arrive by modification time and then name; redeliveries belong in later files.
+
+    A stream takes one file per micro-batch, so a later file is a later batch.  A backfill reads the files twice: the
+    blocks that were scanned are ranked by file and place, whatever scan task they fell into, and a line's arrival
+    is its block's rank and its place in the block.
+    """
+    if streaming:
+        lines = spark.readStream.option("maxFilesPerTrigger", 1).text(path)
+        return lines.select(F.monotonically_increasing_id().alias("arrival_seq"), "value")
+    about = F.col("_metadata")
+    block = [about["file_modification_time"].alias("time"), about["file_path"].alias("file"), about["file_block_start"].alias("start")]
+    lines = spark.read.text(path).select("value", *block, F.monotonically_increasing_id().alias("place"))
+    # one row for each scanned block
+    blocks = lines.groupBy("time", "file", "start").agg(F.min("place").alias("first"))
+    rank = F.row_number().over(Window.orderBy("time", "file", "start")).cast("bigint")
+    ranked = blocks.withColumn("rank", rank).withColumnsRenamed({"time": "t", "file": "f", "start": "s"})
+    same = (F.col("time") == F.col("t")) & (F.col("file") == F.col("f")) & (F.col("start") == F.col("s"))
+    arrival = F.shiftleft(F.col("rank"), 33) + F.col("place") - F.col("first")
+    return lines.join(ranked, same).select(arrival.alias("arrival_seq"), "value")

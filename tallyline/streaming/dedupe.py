@@ -25,7 +25,7 @@ def output_mode(options: JobOptions) -> str:
 def streaming_updates(orders: DataFrame, definitions: DefinitionSet, options: JobOptions) -> DataFrame:
     """Slice updates of a stream of orders; write them in ``output_mode(options)``."""
     evaluated = route_and_evaluate(orders, definitions)
-    good = evaluated.where(F.col("increment").isNotNull()).withColumn("place", delivery_order(definitions))
+    good = evaluated.where(F.col("increment").isNotNull()).withColumn("place", delivery_order(definitions, fixed_type=True))
     if options.dedupe == "first_arrival":
         winners = _first_arrival(good)
     else:

@@ -15,7 +15,7 @@ from tallyline.session import prepare_streaming
 from tallyline.sources.definitions import DefinitionFeed, DefinitionSet
 from tallyline.sources.orders import read_kafka
 from tallyline.streaming.dedupe import output_mode, streaming_updates
-from tallyline.streaming.sinks import dead_letter_records, kafka_records, to_kafka, to_parquet
+from tallyline.streaming.sinks import dead_letter_records, kafka_records, reject_records, to_kafka, to_parquet
 
 Sink = Callable[[DataFrame, str], DataStreamWriter]
 
@@ -101,6 +101,7 @@ def kafka_job(
     spark: SparkSession, load_definitions: Callable[[], DataFrame], options: JobOptions, checkpoint: str
 ) -> Job:
     """The job between Kafka topics.  Needs Spark's Kafka connector on the class path."""
+    topic = options.reject_topic
     return Job(
         spark=spark,
         read=lambda: read_kafka(spark, options),
@@ -109,6 +110,7 @@ def kafka_job(
         checkpoint=checkpoint,
         updates=lambda rows, mode: to_kafka(kafka_records(rows), options, options.sink_topic, mode),
         letters=lambda rows, mode: to_kafka(dead_letter_records(rows), options, options.dead_letter_topic, mode),
+        rejects=(lambda rows, mode: to_kafka(reject_records(rows), options, topic, mode)) if topic else None,
     )
 
 

@@ -26,6 +26,11 @@ def dead_letter_records(letters: DataFrame) -> DataFrame:
     return letters.select(F.col("raw").cast("binary").alias("value"), F.array(reason).alias("headers"))
 
 
+def reject_records(rejects: DataFrame) -> DataFrame:
+    """Orders whose script gave no number, as JSON."""
+    return rejects.select(F.to_json(F.struct(*rejects.columns)).cast("binary").alias("value"))
+
+
 def kafka_sink_options(options: JobOptions, topic: str) -> dict[str, str]:
     return {"kafka.bootstrap.servers": options.kafka_servers, "topic": topic, "includeHeaders": "true"}
 

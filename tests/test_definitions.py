@@ -96,18 +96,18 @@ def test_table_source(spark, tmp_path):
         ("a", 86400, 1, "current + 1"),
         ("b", 3600, 48, "current + x"),
     ]
-    assert [r.ref_name for r in DefinitionSet.of(read).rows] == ["b", "a"]
+    assert [r.ref_name for r in DefinitionSet.of(read).table.orderBy("def_ord").collect()] == ["b", "a"]
     assert normalise_table(table.select("ref_name")).first().slice_granularity == "DAY"
 
 
 def test_json_folder_source(spark, tmp_path):
     (tmp_path / "defs.json").write_text(json.dumps([{"refName": "x"}, {"refName": "y"}], indent=2))
-    assert [r.ref_name for r in DefinitionSet.of(read_definitions(spark, str(tmp_path))).rows] == ["x", "y"]
+    assert [r.ref_name for r in DefinitionSet.of(read_definitions(spark, str(tmp_path))).table.orderBy("def_ord").collect()] == ["x", "y"]
 
 
 def test_bootstrap(spark):
     known = DefinitionSet.of_rows(spark, BOOTSTRAP)
-    assert [(r.ref_name, r.slice_seconds, r.window_slices) for r in known.rows] == [
+    assert [(r.ref_name, r.slice_seconds, r.window_slices) for r in known.table.orderBy("def_ord").collect()] == [
         ("txn_cnt_1d", 86400, 1),
         ("txn_amount_1d", 86400, 1),
     ]
@@ -123,7 +123,7 @@ def test_feed_keeps_last_good_snapshot(spark):
     ]
     feed = DefinitionFeed(spark, lambda: answers.pop(0)(), refresh_seconds=1)
     assert feed.refresh_seconds == 5.0
-    names = lambda: [r.ref_name for r in feed.snapshot.rows]
+    names = lambda: [r.ref_name for r in feed.snapshot.table.orderBy("def_ord").collect()]
     assert names() == ["txn_cnt_1d", "txn_amount_1d"]
     assert feed.refresh() and names() == ["a"]
     assert not feed.refresh() and names() == ["a"]
@@ -149,3 +149,22 @@ def test_large_table_routes_like_a_small_one(spark):
     assert got == rows(route(orders(spark, small, texts), small), *columns)
     plan = route(orders(spark, large, texts), large)._jdf.queryExecution().executedPlan().toString()
     assert "salt" in plan and "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_ordinals_follow_files_and_places_without_gaps(spark, tmp_path):
+    for name in ("b", "a", "c"):
+        (tmp_path / f"{name}.json").write_text(json.dumps([{"refName": f"{name}{n}"} for n in range(3)]))
+    read = read_definitions(spark, str(tmp_path))
+    assert rows(read, "def_ord", "ref_name") == list(enumerate([f"{f}{n}" for f in "abc" for n in range(3)]))
+
+
+def test_an_unchanged_table_is_the_same_whatever_its_size(spark):
+    raw = [{"refName": f"r{n}", "dimensions": ["m"]} for n in range(5)]
+
+    def known(some, **bounds):
+        return DefinitionSet.of(definitions_from_rows(spark, some), **bounds)
+
+    assert known(raw, broadcast_rows=0).same_as(known(raw, broadcast_rows=0))
+    assert known(raw, broadcast_rows=0).same_as(known(raw))
+    assert not known(raw).same_as(known(raw[::-1])) and not known(raw).same_as(known(raw[1:]))
+    assert not known(raw, broadcast_rows=0).same_as(known([*raw[:-1], {**raw[-1], "windowDays": 2}], broadcast_rows=0))

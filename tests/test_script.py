@@ -5,7 +5,7 @@ from helpers import definitions, message, orders, rows
 
 from tallyline.functions.script import compile_script, scopes
 from tallyline.operators.evaluate import failed_scripts, route_and_evaluate
-from tallyline.sources import definitions as source
+from tallyline.operators import evaluate
 
 
 def increments(spark, script, *texts, types=None, more=()):
@@ -107,10 +107,9 @@ def test_scopes_keep_conflicting_names_apart(spark):
     assert [len(s) for s in scopes(enumerate(scripts))] == [2, 1, 1]
 
 
-def test_many_scripts_take_several_passes(spark, monkeypatch):
+def test_many_scripts_take_one_pass(spark, monkeypatch):
     raw = [{"refName": f"r{n}", "accScript": f"current + {n}"} for n in range(7)]
     known = definitions(spark, *raw)
-    monkeypatch.setattr(source, "SCRIPTS_PER_PASS", 3)
-    assert len(known.passes()) == 3
+    monkeypatch.setattr(evaluate, "SCRIPTS_PER_COLUMN", 3)
     evaluated = route_and_evaluate(orders(spark, known, [message("a")]), known)
     assert rows(evaluated, "ref_name", "increment") == [(f"r{n}", float(n)) for n in range(7)]

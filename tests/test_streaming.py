@@ -190,3 +190,20 @@ def test_text_files(spark, tmp_path):
     read = read_text_files(spark, str(tmp_path), streaming=False)
     assert read.orderBy("arrival_seq").select(F.get_json_object("value", "$.fields.amount")).first()[0] == "1"
     assert read_text_files(spark, str(tmp_path)).isStreaming
+
+
+def test_text_files_arrive_by_time_and_place(spark, tmp_path):
+    import os
+
+    (tmp_path / "b_first.txt").write_text("one\ntwo\n")
+    (tmp_path / "a_second.txt").write_text("\n".join(f"line {n}" for n in range(3000)) + "\n")
+    os.utime(tmp_path / "b_first.txt", (1_000, 1_000))
+    os.utime(tmp_path / "a_second.txt", (2_000, 2_000))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        read = read_text_files(spark, str(tmp_path), streaming=False).orderBy("arrival_seq").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert [r.value for r in read] == ["one", "two", *(f"line {n}" for n in range(3000))]
+    assert len({r.arrival_seq for r in read}) == len(read)
