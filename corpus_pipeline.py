@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyline.llm.bpe import decode, encode
+from tallyline.llm.bpe import encode_and_decode
 from tallyline.llm.common import table
 from tallyline.llm.decontaminate import without_leaks
 from tallyline.llm.line_dedup import dedup_lines
@@ -39,7 +39,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, n_tokens, ids, decoded)."""
-    both = decode(encode(docs))
+    both = encode_and_decode(docs)
     return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", "decoded")
 
 

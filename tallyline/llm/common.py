@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import uuid
 from collections.abc import Iterable, Iterator
 
@@ -34,6 +37,14 @@ def small_batches(spark: SparkSession, most: str = "8m") -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", most)
 
 
+def give_back() -> None:
+    """Return memory that a finished task no longer uses: its Python worker stays and waits for another task."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only the GNU C library has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def packed(frame: DataFrame, **parts: Column) -> DataFrame:
     """All columns of a frame as one struct ``row`` beside the parts an operator works on.
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyline.llm import sql
-from tallyline.llm.bpe import decode, encode
+from tallyline.llm.bpe import encode_and_decode
 from tallyline.llm.chat import format_chats, loss_text, parse
 from tallyline.llm.common import table
 from tallyline.llm.decontaminate import leaks
@@ -15,7 +15,7 @@ from tallyline.llm.html_text import main_text
 from tallyline.llm.line_dedup import dedup_lines
 from tallyline.llm.pii import KINDS, digest, personal_data
 from tallyline.llm.simhash import simhash_groups
-from tallyline.llm.token_files import read_token_files, write_token_files
+from tallyline.llm.token_files import read_token_files, write_texts
 from tallyline.llm.toxicity import score_toxicity
 from tallyline.session import new_run_dir
 
@@ -42,12 +42,12 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_run_dir(spark, "token-files")
-    write_token_files(encode(table(spark, sf_dir, "documents")), folder)
+    write_texts(table(spark, sf_dir, "documents"), folder)
     return read_token_files(spark, folder).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    both = decode(encode(table(spark, sf_dir, "documents")))
+    both = encode_and_decode(table(spark, sf_dir, "documents"))
     return both.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),

@@ -25,6 +25,7 @@ from pyspark import Broadcast, TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tallyline.llm.bpe import encoded_by
 from tallyline.llm.common import batches, cut, partitions
 
 LONGEST = 16
@@ -36,6 +37,7 @@ _BLOCKS = pa.schema(
         ("docs", pa.binary()), ("missing", pa.binary()), ("sizes", pa.binary()), ("bits", pa.binary()), ("checkpoints", pa.binary()),
     ]
 )
+_SHRUNK_SQL = "doc long, data binary"
 _SHRUNK = pa.schema([("doc", pa.int64()), ("data", pa.binary())])
 _BLOCKS_SQL = "part int, block int, before long, n_tokens long, docs binary, missing binary, sizes binary, bits binary, checkpoints binary"
 
@@ -119,7 +121,7 @@ def _shrunk(parts: Iterator[pa.RecordBatch], end_id: int) -> Iterator[pa.RecordB
         for part in parts:
             lists = part.column("ids")
             flat, edges = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
-            for i, doc in enumerate(part.column("doc").to_pylist()):
+            for i, doc in enumerate(part.column(0).to_pylist()):
                 ids = np.append(flat[edges[i] : edges[i + 1]], np.int32(end_id))
                 yield doc, pack(ids.astype(np.uint16).tobytes() if ids.max() <= 0xFFFF else b"\0" + ids.tobytes())
 
@@ -195,9 +197,18 @@ def write_token_files(encoded: DataFrame, folder: str, end_id: int = 1, doc_id:
 
     Null ids come first; rows with one id stand in a fixed order of their contents.  Documents without ids hold the end id alone.
     """
-    spark = encoded.sparkSession
     rows = encoded.select(F.col(doc_id).alias("doc"), "ids")
-    shrunk = cut(rows.mapInArrow(partial(_shrunk, end_id=end_id), "doc long, data binary"))
+    _write(cut(rows.mapInArrow(partial(_shrunk, end_id=end_id), _SHRUNK_SQL)), folder, end_id)
+
+
+def write_texts(docs: DataFrame, folder: str, end_id: int = 1, path: str | None = None) -> None:
+    """Encode whole texts (``doc_id``, ``text``) and write them as token files, as :func:`write_token_files` does."""
+    step = partial(_shrunk, end_id=end_id)
+    _write(cut(encoded_by(docs, path, "doc_id", "text", step, _SHRUNK_SQL)), folder, end_id)
+
+
+def _write(shrunk: DataFrame, folder: str, end_id: int) -> None:
+    spark = shrunk.sparkSession
     lengths = code_lengths(id_counts(shrunk, end_id))
     spark.createDataFrame([(bytearray(lengths.tobytes()),)], "lengths binary").coalesce(1).write.parquet(f"{folder}/code")
     code = spark.sparkContext.broadcast(lengths.tobytes())
