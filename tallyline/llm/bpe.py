@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 from tokenizers import Tokenizer
 
-from tallyline.llm.common import batches, give_back, partitions, small_batches, text_of
+from tallyline.llm.common import batches, cut, give_back, partitions, small_batches, text_of
 
 WORD_BPE = "word_bpe_49k.json"
 #: Text of one block, and of all blocks together for each bucket: what a Python worker holds grows with these.
@@ -199,8 +199,8 @@ def bucket_of(words: pa.StringArray, buckets: int) -> np.ndarray:
     return ((mixed >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
 
 
-def _split(parts: Iterator[pa.RecordBatch], buckets: int, words: bool) -> Iterator[pa.RecordBatch]:
-    """For each block, a row for each of its buckets of words, or else one row of word numbers (bucket -1)."""
+def _split(parts: Iterator[pa.RecordBatch], buckets: int, words: bool, numbers: bool) -> Iterator[pa.RecordBatch]:
+    """For each block, a row for each of its buckets of words, and one row of word numbers (bucket -1)."""
 
     def rows() -> Iterator[tuple]:
         size = 0
@@ -213,16 +213,16 @@ def _split(parts: Iterator[pa.RecordBatch], buckets: int, words: bool) -> Iterat
             held.append((docs.fill_null(0).to_numpy(), missing, sizes, lists.flatten()))
             size += part.column("text").nbytes
             if size >= _BLOCK_BYTES:
-                yield from _block_rows(held, buckets, words)
+                yield from _block_rows(held, buckets, words, numbers)
                 size, held = 0, []
         if held:
-            yield from _block_rows(held, buckets, words)
+            yield from _block_rows(held, buckets, words, numbers)
 
     yield from batches(rows(), _SPLIT)
     give_back()
 
 
-def _block_rows(held: list[tuple], buckets: int, only_words: bool) -> Iterator[tuple]:
+def _block_rows(held: list[tuple], buckets: int, with_words: bool, with_numbers: bool) -> Iterator[tuple]:
     """Words are numbered by frequency; a bucket lists its words in that order.
 
     A block is named by its contents, so that its words and its word numbers can be made in two passes.
@@ -240,8 +240,9 @@ def _block_rows(held: list[tuple], buckets: int, only_words: bool) -> Iterator[t
     for part in (docs.astype(np.int64), missing, sizes, flat):
         mark.update(np.ascontiguousarray(part).view(np.uint8))
     block = mark.intdigest() >> 1
-    if not only_words:
+    if with_numbers:
         yield block, -1, docs.astype(np.int64).tobytes(), missing.tobytes(), shrink(sizes), shrink(rank[flat]), shrink(bucket)
+    if not with_words:
         return
     by_bucket = np.argsort(bucket, kind="stable")
     lengths, data = _text_bytes(words.take(pa.array(order[by_bucket])))
@@ -358,18 +359,28 @@ def _documents(
 Step = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 
 
-def encoded_by(docs: DataFrame, path: str | None, doc_id: str, text: str, step: Step, schema: str) -> DataFrame:
-    """What ``step`` makes of (id, ids), in the tasks that put the ids together: one Python worker does both."""
+def encoded_by(
+    docs: DataFrame, path: str | None, doc_id: str, text: str, step: Step, schema: str, keep: bool = False
+) -> DataFrame:
+    """What ``step`` makes of (id, ids), in the tasks that put the ids together: one Python worker does both.
+
+    With ``keep`` the word numbers are kept in the shared folder between the two uses, else they are made twice: that
+    is disk against time.
+    """
     spark = docs.sparkSession
     small_batches(spark)
     content = spark.sparkContext.broadcast(read_tokenizer(path or default_path()))
     texts = docs.select(F.col(doc_id).cast("long").alias("id"), text_of(docs, text).alias("text"))
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = int(min(1 << 20, max(8, size // _BUCKET_BYTES)))
-    words = texts.mapInArrow(partial(_split, buckets=buckets, words=True), _SPLIT_SQL)
+    if keep:
+        both = cut(texts.mapInArrow(partial(_split, buckets=buckets, words=True, numbers=True), _SPLIT_SQL))
+        words, numbers = both.where("bucket >= 0"), both.where("bucket < 0")
+    else:
+        words = texts.mapInArrow(partial(_split, buckets=buckets, words=True, numbers=False), _SPLIT_SQL)
+        numbers = texts.mapInArrow(partial(_split, buckets=buckets, words=False, numbers=True), _SPLIT_SQL)
     words = words.repartition(max(buckets, partitions(spark)), "bucket")
     encoded = words.sortWithinPartitions("bucket").mapInArrow(partial(_encoded, content=content), _SPLIT_SQL)
-    numbers = texts.mapInArrow(partial(_split, buckets=buckets, words=False), _SPLIT_SQL)
     together = numbers.unionByName(encoded).repartition(max(buckets, partitions(spark)), "block")
     ordered = together.sortWithinPartitions("block", "bucket")
     return ordered.mapInArrow(lambda parts: step(_joined(parts)), schema)

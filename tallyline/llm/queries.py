@@ -43,7 +43,7 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_run_dir(spark, "token-files")
     write_texts(table(spark, sf_dir, "documents"), folder)
-    return read_token_files(spark, folder).select("doc_id", "start", "n_tokens", "ids_crc32")
+    return read_token_files(spark, folder, with_ids=False).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyline.llm.bpe import encoded_by
-from tallyline.llm.common import batches, cut, partitions
+from tallyline.llm.common import batches, cut, give_back, partitions
 
 LONGEST = 16
 STRIDE = 512
@@ -37,8 +37,8 @@ _BLOCKS = pa.schema(
         ("docs", pa.binary()), ("missing", pa.binary()), ("sizes", pa.binary()), ("bits", pa.binary()), ("checkpoints", pa.binary()),
     ]
 )
-_SHRUNK_SQL = "doc long, data binary"
-_SHRUNK = pa.schema([("doc", pa.int64()), ("data", pa.binary())])
+_SHRUNK_SQL = "doc long, data binary, counts binary"
+_SHRUNK = pa.schema([("doc", pa.int64()), ("data", pa.binary()), ("counts", pa.binary())])
 _BLOCKS_SQL = "part int, block int, before long, n_tokens long, docs binary, missing binary, sizes binary, bits binary, checkpoints binary"
 
 
@@ -114,40 +114,62 @@ def unpack_bits(bits: bytes, checkpoints: np.ndarray, total: int, to_id: np.ndar
 
 
 def _shrunk(parts: Iterator[pa.RecordBatch], end_id: int) -> Iterator[pa.RecordBatch]:
-    """Each document's ids and the end id as small bytes: this is what is kept, counted and sorted."""
+    """Each document's ids and the end id as small bytes, and a last row with how often each id was met."""
     pack = zstandard.ZstdCompressor(level=1).compress
+    counts = np.zeros(end_id + 1, np.int64)
 
     def rows() -> Iterator[tuple]:
+        nonlocal counts
         for part in parts:
-            lists = part.column("ids")
+            lists = part.column(1)
             flat, edges = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
+            found = np.bincount(flat[edges[0] : edges[-1]], minlength=len(counts))
+            found[: len(counts)] += counts
+            found[end_id] += part.num_rows
+            counts = found
             for i, doc in enumerate(part.column(0).to_pylist()):
                 ids = np.append(flat[edges[i] : edges[i + 1]], np.int32(end_id))
-                yield doc, pack(ids.astype(np.uint16).tobytes() if ids.max() <= 0xFFFF else b"\0" + ids.tobytes())
+                yield doc, pack(_planes(ids)), None
+        if counts.any():
+            yield None, None, pack(counts.tobytes())
 
     yield from batches(rows(), _SHRUNK)
+    give_back()
+
+
+def _planes(ids: np.ndarray) -> bytes:
+    """Ids by bytes, low bytes first: two planes, or four where an id needs them."""
+    wide = 2 if ids.max() <= 0xFFFF else 4
+    planes = ids.astype("<u4").view(np.uint8).reshape(-1, 4).T[:wide]
+    return bytes([wide]) + planes.tobytes()
 
 
 def _whole(data: bytes, unpack) -> np.ndarray:
-    plain = unpack(data)
-    return np.frombuffer(plain[1:], np.int32) if len(plain) % 2 else np.frombuffer(plain, np.uint16).astype(np.int32)
+    plain = np.frombuffer(unpack(data), np.uint8)
+    planes = plain[1:].reshape(int(plain[0]), -1)
+    out = np.zeros((planes.shape[1], 4), np.uint8)
+    out[:, : len(planes)] = planes.T
+    return out.view("<u4").ravel().astype(np.int32)
 
 
 def _counted(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     unpack = zstandard.ZstdDecompressor().decompress
     counts = np.zeros(0, np.int64)
     for part in parts:
-        found = np.bincount(np.concatenate([_whole(x, unpack) for x in part.column("data").to_pylist()]))
-        if len(found) > len(counts):
-            counts, found = found.astype(np.int64), counts
-        counts[: len(found)] += found
+        for data in part.column("counts").to_pylist():
+            found = np.frombuffer(unpack(data), np.int64).copy()
+            if len(found) < len(counts):
+                counts, found = found, counts
+            found[: len(counts)] += counts
+            counts = found
     used = np.flatnonzero(counts)
     yield pa.record_batch([pa.array(used, pa.int32()), pa.array(counts[used])], names=["id", "n"])
 
 
 def id_counts(shrunk: DataFrame, end_id: int) -> np.ndarray:
     """How often each id occurs.  The result is as long as the vocabulary, no longer."""
-    summed = shrunk.select("data").mapInArrow(_counted, "id int, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    parts = shrunk.where("counts IS NOT NULL").select("counts")
+    summed = parts.mapInArrow(_counted, "id int, n long").groupBy("id").agg(F.sum("n").alias("n"))
     found = {row["id"]: row["n"] for row in summed.collect()}
     counts = np.zeros(max([end_id, *found]) + 1, np.int64)
     for i, n in found.items():
@@ -204,7 +226,7 @@ def write_token_files(encoded: DataFrame, folder: str, end_id: int = 1, doc_id:
 def write_texts(docs: DataFrame, folder: str, end_id: int = 1, path: str | None = None) -> None:
     """Encode whole texts (``doc_id``, ``text``) and write them as token files, as :func:`write_token_files` does."""
     step = partial(_shrunk, end_id=end_id)
-    _write(cut(encoded_by(docs, path, "doc_id", "text", step, _SHRUNK_SQL)), folder, end_id)
+    _write(cut(encoded_by(docs, path, "doc_id", "text", step, _SHRUNK_SQL, keep=True)), folder, end_id)
 
 
 def _write(shrunk: DataFrame, folder: str, end_id: int) -> None:
@@ -212,11 +234,12 @@ def _write(shrunk: DataFrame, folder: str, end_id: int) -> None:
     lengths = code_lengths(id_counts(shrunk, end_id))
     spark.createDataFrame([(bytearray(lengths.tobytes()),)], "lengths binary").coalesce(1).write.parquet(f"{folder}/code")
     code = spark.sparkContext.broadcast(lengths.tobytes())
-    ordered = shrunk.repartitionByRange(partitions(spark), "doc").sortWithinPartitions("doc", "data")
+    documents = shrunk.where("data IS NOT NULL").select("doc", "data")
+    ordered = documents.repartitionByRange(partitions(spark), "doc").sortWithinPartitions("doc", "data")
     ordered.mapInArrow(partial(_packed, lengths=code), _BLOCKS_SQL).write.parquet(f"{folder}/blocks")
 
 
-def _read(parts: Iterator[pa.RecordBatch], lengths: Broadcast) -> Iterator[pa.RecordBatch]:
+def _read(parts: Iterator[pa.RecordBatch], lengths: Broadcast, with_ids: bool) -> Iterator[pa.RecordBatch]:
     _, to_id, to_length = canonical(np.frombuffer(lengths.value, np.uint8))
     for part in parts:
         for row in part.to_pylist():
@@ -225,19 +248,19 @@ def _read(parts: Iterator[pa.RecordBatch], lengths: Broadcast) -> Iterator[pa.Re
             docs = pa.array(np.frombuffer(row["docs"], np.int64), mask=np.frombuffer(row["missing"], bool))
             offsets = np.concatenate([[0], np.cumsum(sizes)])
             starts = row["start"] + offsets[:-1]
-            lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids, pa.int32()))
-            crcs = [zlib.crc32(ids[a:b].astype("<u4").tobytes()) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
-            yield pa.record_batch(
-                [docs, pa.array(starts), pa.array(sizes), lists, pa.array(crcs, pa.int64())],
-                names=["doc_id", "start", "n_tokens", "ids", "ids_crc32"],
-            )
+            whole = ids.astype("<u4")
+            crcs = [zlib.crc32(whole[a:b]) for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True)]
+            columns = {"doc_id": docs, "start": pa.array(starts), "n_tokens": pa.array(sizes), "ids_crc32": pa.array(crcs, pa.int64())}
+            if with_ids:
+                columns["ids"] = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(ids, pa.int32()))
+            yield pa.RecordBatch.from_pydict(columns)
 
 
-def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
-    """(doc_id, start, n_tokens, ids, ids_crc32) of every document in token files.
+def read_token_files(spark: SparkSession, folder: str, with_ids: bool = True) -> DataFrame:
+    """(doc_id, start, n_tokens, ids_crc32, ids) of every document in token files.
 
     ``start`` is the number of ids before the document, ``ids`` holds the end id, ``ids_crc32`` is the CRC-32 of the
-    ids as little-endian unsigned 32-bit integers.
+    ids as little-endian unsigned 32-bit integers.  Without ``with_ids`` the ids are read but not returned.
     """
     blocks = spark.read.schema(_BLOCKS_SQL).parquet(f"{folder}/blocks")
     lengths = spark.read.schema("lengths binary").parquet(f"{folder}/code").first()
@@ -248,5 +271,6 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
     base = parts.select(F.col("part").alias("of"), F.coalesce(F.sum("held").over(earlier), F.lit(0)).alias("base"))
     placed = blocks.join(base, F.col("part") == F.col("of")).withColumn("start", F.col("base") + F.col("before"))
     return placed.select("start", "n_tokens", "docs", "missing", "sizes", "bits", "checkpoints").mapInArrow(
-        partial(_read, lengths=code), "doc_id long, start long, n_tokens long, ids array<int>, ids_crc32 long"
+        partial(_read, lengths=code, with_ids=with_ids),
+        "doc_id long, start long, n_tokens long, ids_crc32 long" + (", ids array<int>" if with_ids else ""),
     )
