@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tallyline.llm.common import batches, packed, partitions, small_batches, text_of, unpacked
+from tallyline.llm.common import batches, give_back, packed, partitions, small_batches, text_of, unpacked
 
 BLANKS = b" \t\n\x0b\x0c\r"
 SEGMENT_BITS = 1 << 20
@@ -80,6 +80,7 @@ def _task_filters(parts: Iterator[pa.RecordBatch], least_chars: int, segments: i
                 yield int(s), inside[~many].tobytes(), inside[many].tobytes()
 
     yield from batches(rows(), _POSITIONS)
+    give_back()
 
 
 def _runs(values: np.ndarray) -> Iterator[tuple[int, int, int]]:
@@ -148,6 +149,7 @@ def _suspects(parts: Iterator[pa.RecordBatch], least_chars: int, twice) -> Itera
                         yield doc, _digest(keys[i])
 
     yield from batches(rows(), _SUSPECTS)
+    give_back()
 
 
 def _rebuilt(parts: Iterator[pa.RecordBatch], least_chars: int) -> Iterator[pa.RecordBatch]:
@@ -166,6 +168,7 @@ def _rebuilt(parts: Iterator[pa.RecordBatch], least_chars: int) -> Iterator[pa.R
             [part.column("row"), pa.array(texts, pa.string()), pa.array(lines, pa.int64()), pa.array(dropped, pa.int64())],
             names=["row", "text", "n_lines", "n_dropped"],
         )
+    give_back()
 
 
 def segments_for(docs: DataFrame, bits_per_line: int, most_bits: int) -> int:

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyline.llm.common import batches, cut, packed, partitions, small_batches, text_of, unpacked
+from tallyline.llm.common import batches, cut, give_back, packed, partitions, small_batches, text_of, unpacked
 from tallyline.llm.components import components
 
 BITS = 64
@@ -65,6 +65,7 @@ def _fingerprints(parts: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Rec
     for part in parts:
         found = np.fromiter((fingerprint(x, size) for x in part.column("text").to_pylist()), np.uint64, part.num_rows)
         yield pa.record_batch([part.column("id"), pa.array(found.view(np.int64))], names=["id", "fp"])
+    give_back()
 
 
 def _subtrees(values: np.ndarray, most: int) -> Iterator[tuple[int, int, np.ndarray]]:
@@ -147,6 +148,7 @@ def _walks(parts: Iterator[pa.RecordBatch], budget: int) -> Iterator[pa.RecordBa
                     yield from _forest(held[2], values, common, budget, same=False)
 
     yield from batches(rows(), _EDGES)
+    give_back()
 
 
 def _forest(left: np.ndarray, right: np.ndarray, depth: int, budget: int, same: bool) -> Iterator[tuple[int, int]]:
@@ -306,7 +308,7 @@ def simhash_groups(docs: DataFrame, size: int = 3, budget: int = 3, doc_id: str
 
 def one_per_group(docs: DataFrame, size: int = 3, budget: int = 3) -> DataFrame:
     """The documents whose id is their group's smallest; rows without an id have no group to lose to and stay."""
-    groups = simhash_groups(docs, size, budget).select(F.col("doc_id").alias("id"), "component_id").where("id = component_id").distinct()
+    groups = simhash_groups(docs, size, budget)
+    losers = groups.where("doc_id <> component_id").select(F.col("doc_id").alias("id")).distinct()
     rows = packed(docs, key=F.col("doc_id").cast("long"))
-    kept = rows.join(groups, F.col("key") == F.col("id"), "left_semi")
-    return unpacked(kept.unionByName(rows.where("key IS NULL")), docs.columns)
+    return unpacked(rows.join(losers, F.col("key") == F.col("id"), "left_anti"), docs.columns)

@@ -23,10 +23,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructType
 
-from tallyline.llm.common import batches, packed, small_batches, text_of, unpacked
+from tallyline.llm.common import batches, give_back, packed, small_batches, text_of, unpacked
 
 _WORD = re.compile(r"[^\W\d_]+")
-_HELD_WORDS = 1 << 20
+_HELD_WORDS = 1 << 18
 _LEARN = pa.schema([("place", pa.int64()), ("label", pa.int32()), ("words", pa.binary())])
 _SHARES = 1 << 20
 
@@ -80,6 +80,8 @@ def _hashed(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield place, label, word_hashes(text, known).tobytes()
 
     yield from batches(rows(), _LEARN)
+    known.clear()
+    give_back()
 
 
 def _learned(parts: Iterator[pa.RecordBatch], settings: Settings) -> Iterator[pa.RecordBatch]:
@@ -103,6 +105,8 @@ def _learned(parts: Iterator[pa.RecordBatch], settings: Settings) -> Iterator[pa
     final = weights(np.arange(size + 1))
     used = np.flatnonzero(final)
     yield pa.record_batch([pa.array(np.where(used == size, -1, used)), pa.array(final[used])], names=["at", "weight"])
+    rows.clear()
+    give_back()
 
 
 def sigmoid(x: float) -> float:
@@ -126,6 +130,8 @@ def _scored(parts: Iterator[pa.RecordBatch], model: Broadcast, bits: int) -> Ite
         texts = part.column("text").to_pylist()
         scores = [sigmoid(constant + dense[features(word_hashes(t, known), bits)].sum()) for t in texts]
         yield pa.record_batch([part.column("row"), pa.array(scores, pa.float64())], names=["row", "score"])
+    known.clear()
+    give_back()
 
 
 def held_out(doc_id: Column) -> Column:
