@@ -43,7 +43,7 @@ def test_lengths_are_limited():
     assert code_lengths(np.zeros(3, np.int64)).tolist() == [0, 0, 0]
 
 
-@pytest.mark.parametrize("n", [1, 2, STRIDE - 1, STRIDE, STRIDE + 1, 10 * STRIDE + 3])
+@pytest.mark.parametrize("n", [1, 2, STRIDE - 1, STRIDE, STRIDE + 1, 10 * STRIDE + 3, 64 * STRIDE, 130 * STRIDE + 7])
 def test_bits_round_trip(n):
     rng = np.random.default_rng(n)
     ids = np.minimum(rng.geometric(0.003, n), 9000).astype(np.int32)
