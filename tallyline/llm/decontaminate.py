@@ -7,7 +7,7 @@
 3. A randomised SVD of the TF-IDF passages: every task multiplies its passages with one random matrix and back
    (``A' (A R)``), the products are added up, and the small rest (Nystroem form) gives the leading right singular
    vectors.  All passages of all documents take part.
-4. Every benchmark item is cut into passages of at most 32 words.  Windows of 48 words, one every 16 words of every
+4. Every benchmark item is cut into passages of at most 32 words, of which one is enough to find it.  Windows of 48 words, one every 16 words of every
    document, are compared with them by the cosine in the latent space; pairs above a low cosine are candidates.
 5. A candidate's words are aligned with the item's by their longest common subsequence, found bit-parallel for many
    candidates at once.  An item whose words are nearly all there is a copy; one with fewer words there counts as a
@@ -30,7 +30,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyline.llm.common import batches, cut, packed, partitions, small_batches, text_of, unpacked
+from tallyline.llm.common import batches, cut, give_back, packed, partitions, small_batches, text_of, unpacked
 
 #: Every ASCII character that is no letter, digit or underscore ends a word.
 _GAPS = bytes(b if b > 127 or chr(b).isalnum() or b == 95 else 32 for b in range(256))
@@ -49,14 +49,14 @@ class Settings:
     ``answered`` of the answer's words are there too."""
 
     terms: int = 1 << 15
-    rank: int = 128
+    rank: int = 96
     common: float = 0.02
     least_weighted: int = 5
     balance: float = 0.25
     chunk: int = 16
     chunks: int = 3
     item_words: int = 32
-    cosine: float = 0.35
+    cosine: float = 0.3
     copied: float = 0.8
     reworded: float = 0.65
     answered: float = 0.8
@@ -88,6 +88,7 @@ def _numbered(parts: Iterator[pa.RecordBatch], vocabulary: Broadcast) -> Iterato
                 yield doc, pack(np.fromiter(map(known.__getitem__, words), np.int32, len(words)).tobytes())
 
     yield from batches(rows(), _WORDS)
+    give_back()
 
 
 def _segments(parts: Iterator[pa.RecordBatch], overlap: int) -> Iterator[tuple[int | None, int, np.ndarray]]:
@@ -163,15 +164,19 @@ def _gram(parts: Iterator[pa.RecordBatch], model: Broadcast) -> Iterator[pa.Reco
         own, passage = own[used], passage[used]
         if not len(own):
             continue
-        first = np.flatnonzero(np.r_[True, passage[1:] != passage[:-1]])
-        seen = np.add.reduceat(weight[own][:, None] * sketch[own % terms], first, axis=0)
-        share = weight[own][:, None] * seen[np.cumsum(np.r_[False, passage[1:] != passage[:-1]])]
-        order = np.argsort(own % terms, kind="stable")
+        fresh = np.r_[True, passage[1:] != passage[:-1]]
+        own_rows = sketch[own % terms]
+        own_rows *= weight[own][:, None]
+        seen = np.add.reduceat(own_rows, np.flatnonzero(fresh), axis=0)
+        order = np.argsort((own % terms).astype(np.uint16), kind="stable")
+        share = seen[(np.cumsum(fresh) - 1)[order]]
+        share *= weight[own[order]][:, None]
         term = (own % terms)[order]
         first = np.flatnonzero(np.r_[True, term[1:] != term[:-1]])
-        total[term[first]] += np.add.reduceat(share[order], first, axis=0)
+        total[term[first]] += np.add.reduceat(share, first, axis=0)
     bands = [(i // _BAND, total[i : i + _BAND].tobytes()) for i in range(0, len(total), _BAND)]
     yield from batches(iter(bands), _SUMS)
+    give_back()
 
 
 def _added(parts: Iterator[pa.RecordBatch], kind: str) -> Iterator[pa.RecordBatch]:
@@ -248,6 +253,7 @@ class _Passage:
     total: int  # words of the whole item
     words: np.ndarray
     answer: int  # bits of the words that belong to the answer
+    at: int  # words of the item before the passage
 
 
 @dataclass
@@ -258,6 +264,7 @@ class _Items:
     total: np.ndarray
     size: np.ndarray
     answer: np.ndarray
+    at: np.ndarray  # words of the item before the passage
     local: np.ndarray  # vocabulary number to the number among these passages' words; 0: in none
     masks: np.ndarray  # (passages x local numbers): bits of the positions that hold a word
     places: np.ndarray  # (rank x passages): unit vectors in the latent space
@@ -278,7 +285,7 @@ def item_passages(rows: list[tuple[int, str]], settings: Settings) -> tuple[list
                 break
         for own in np.array_split(np.arange(len(words)), -(-len(words) // settings.item_words)):
             answer = sum(1 << i for i, at in enumerate(own.tolist()) if at >= len(words) - tail)
-            out.append(_Passage(item, len(words), np.array(words)[own], answer))
+            out.append(_Passage(item, len(words), np.array(words)[own], answer, int(own[0])))
     return out, vocabulary
 
 
@@ -292,8 +299,20 @@ def _ready(passages: list[_Passage], space: np.ndarray) -> _Items:
         np.bitwise_or.at(masks[n], local[p.words], np.uint32(1) << np.arange(len(p.words), dtype=np.uint32))
         place = space[p.words].sum(axis=0)
         places[:, n] = place / max(float(np.linalg.norm(place)), 1e-12)
-    columns = [np.array(c) for c in zip(*((p.item, p.total, len(p.words), p.answer) for p in passages), strict=True)]
-    return _Items(columns[0], columns[1], columns[2], columns[3].astype(np.uint32), local, masks, places)
+    columns = [np.array(c) for c in zip(*((p.item, p.total, len(p.words), p.answer, p.at) for p in passages), strict=True)]
+    return _Items(columns[0], columns[1], columns[2], columns[3].astype(np.uint32), columns[4], local, masks, places)
+
+
+def _together(passages: list[_Passage], most: int = 256) -> Iterator[list[_Passage]]:
+    """Some passages at a time, all of an item together."""
+    held: list[_Passage] = []
+    for passage in passages:
+        if len(held) >= most and held[-1].item != passage.item:
+            yield held
+            held = []
+        held.append(passage)
+    if held:
+        yield held
 
 
 def _common(masks: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -309,12 +328,14 @@ def _common(masks: np.ndarray, size: np.ndarray) -> np.ndarray:
 
 def _searched(parts: Iterator[pa.RecordBatch], model: Broadcast, settings: Settings) -> Iterator[pa.RecordBatch]:
     space, blocks = model.value
+    weighted = space.any(axis=1)
     for part in parts:
         ids: list[int | None] = []
         found: list[tuple[np.ndarray, ...]] = []
         for words, firsts, rows in _stretches(iter([part]), 2 * settings.window, ids):
             starts, of = _pieces(len(words), firsts, settings.chunk)
             own, piece, n = _passages(words, firsts, settings.chunk)
+            own, piece = own[weighted[own]], piece[weighted[own]]
             place = np.zeros((n, space.shape[1]), np.float32)
             if len(own):
                 first = np.flatnonzero(np.r_[True, piece[1:] != piece[:-1]])
@@ -331,36 +352,57 @@ def _searched(parts: Iterator[pa.RecordBatch], model: Broadcast, settings: Setti
                 compared = _compared(place, starts[windows], lows, highs, number, items, settings)
                 found += [(rows[of[windows[w]]], *rest) for w, *rest in compared]
         yield from _decided(ids, found, settings)
+    give_back()
 
 
 def _compared(place, starts, lows, highs, number, items: _Items, settings: Settings) -> Iterator[tuple[np.ndarray, ...]]:
-    """(window, item, item words, passage number, cosine, common words, answer words, answer words there)."""
-    reach = np.arange(-settings.chunk, settings.window + settings.chunk)
+    """(window, item, item words, passage number, cosine, common words, answer words, answer words there).
+
+    The cosine finds one passage of an item; the item's other passages are then aligned where they should stand.
+    """
+    most = int(items.size.max(initial=0))
     for lo in range(0, len(place), 4096):
         cosines = place[lo : lo + 4096] @ items.places
         windows, passages = np.nonzero(cosines >= settings.cosine)
         for at in range(0, len(windows), 1 << 14):
             w, p = windows[at : at + (1 << 14)] + lo, passages[at : at + (1 << 14)]
-            cosine = cosines[w - lo, p]
-            spots = starts[w][:, None] + reach
-            inside = (spots >= lows[w][:, None]) & (spots < highs[w][:, None])
-            near = np.where(inside, number[np.clip(spots, 0, len(number) - 1)], 0)
-            masks = items.masks[p[:, None], near]
-            # words of the passage that occur at all, wherever: no subsequence can have more
-            there = np.bitwise_count(np.bitwise_or.reduce(masks, axis=1)).astype(np.int64)
-            good = there >= items.size[p] * settings.reworded / 2
-            w, p, cosine, masks = w[good], p[good], cosine[good], masks[good].T
-            common = _common(masks, items.size[p])
-            good = common >= items.size[p] * settings.reworded / 2
-            w, p, cosine, masks, common = w[good], p[good], cosine[good], masks[:, good], common[good]
+            cosine = cosines[w - lo, p].astype(float)
+            good, *aligned = _aligned(starts[w], lows[w], highs[w], p, number, items, settings)
+            w, p, cosine = w[good], p[good], cosine[good]
             if not len(w):
                 continue
-            answer = items.answer[p]
-            asked = np.bitwise_count(answer).astype(np.int64)
-            low = np.where(answer > 0, np.bitwise_count((answer & -answer.astype(np.int64)).astype(np.uint64) - np.uint64(1)), 0)
-            own = (masks & answer) >> low.astype(np.uint32)
-            met = np.where(asked > 0, _common(own, asked), 0)
-            yield w, items.item[p], items.total[p], p, cosine.astype(float), common, asked, met
+            yield w, items.item[p], items.total[p], p, cosine, *aligned
+            for step in [s for n in range(1, -(-int(items.total[p].max()) // max(1, most)) + 2) for s in (n, -n)]:
+                q = p + step
+                there = (q >= 0) & (q < len(items.item))
+                there &= items.item[np.clip(q, 0, len(items.item) - 1)] == items.item[p]
+                v, q, base = w[there], q[there], p[there]
+                if len(v):
+                    shift = starts[v] + items.at[q] - items.at[base]
+                    good, *aligned = _aligned(shift, lows[v], highs[v], q, number, items, settings)
+                    v, q = v[good], q[good]
+                    yield v, items.item[q], items.total[q], q, cosine[there][good], *aligned
+
+
+def _aligned(starts, lows, highs, p, number, items: _Items, settings: Settings) -> tuple[np.ndarray, ...]:
+    """Which candidates share enough words with their passages, and for these: common words, answer words, those there."""
+    spots = starts[:, None] + np.arange(-settings.chunk, settings.window + settings.chunk)
+    inside = (spots >= lows[:, None]) & (spots < highs[:, None])
+    near = np.where(inside, number[np.clip(spots, 0, len(number) - 1)], 0)
+    masks = items.masks[p[:, None], near]
+    least = items.size[p] * settings.reworded / 2
+    # words of the passage that occur at all, wherever: no subsequence can have more
+    there = np.bitwise_count(np.bitwise_or.reduce(masks, axis=1)).astype(np.int64)
+    good = np.flatnonzero(there >= least)
+    masks, p = masks[good].T, p[good]
+    common = _common(masks, items.size[p])
+    enough = common >= least[good]
+    good, p, masks, common = good[enough], p[enough], masks[:, enough], common[enough]
+    answer = items.answer[p]
+    asked = np.bitwise_count(answer).astype(np.int64)
+    low = np.where(answer > 0, np.bitwise_count((answer & -answer.astype(np.int64)).astype(np.uint64) - np.uint64(1)), 0)
+    met = np.where(asked > 0, _common((masks & answer) >> low.astype(np.uint32), asked), 0)
+    return good, common, asked, met
 
 
 def _decided(ids: list, found: list[tuple[np.ndarray, ...]], settings: Settings) -> Iterator[pa.RecordBatch]:
@@ -407,7 +449,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, settings: Settings = Settings()
         known = spark.sparkContext.broadcast(vocabulary)
         words = cut(texts.mapInArrow(partial(_numbered, vocabulary=known), "id long, words binary"))
         space = latent_space(words, passages, len(vocabulary) + 1, settings)
-        blocks = [_ready(passages[i : i + 256], space) for i in range(0, len(passages), 256)]
+        blocks = [_ready(some, space) for some in _together(passages)]
         model = spark.sparkContext.broadcast((space, blocks))
         hits = words.mapInArrow(partial(_searched, model=model, settings=settings), _HITS_SQL)
         result = hits if result is None else result.unionByName(hits)
