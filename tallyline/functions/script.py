@@ -19,7 +19,7 @@ from tallyline.session import null_on_error
 
 CURRENT = "current"
 #: How a running slice value is made from order to order.
-FOLDS = ("general", "sum", "max", "min", "last")
+FOLDS = ("general", "sum", "max", "min", "last", "affine")
 #: Engine columns carry this prefix while scripts are evaluated, so that no field name meets them.
 RESERVED = "__t_"
 
@@ -35,6 +35,8 @@ class Script:
     problem: str | None = None
     fold: str = "general"
     operand: str | None = None
+    #: What an affine script multiplies the slice value by, before it adds its operand.
+    factor: float | None = None
 
     @property
     def runs(self) -> bool:
@@ -144,8 +146,8 @@ def _compile(spark: SparkSession, text: str, types: Mapping[str, str]) -> Script
         script = _check(spark, text, types)
         if not script.runs:
             return script
-        fold, operand = _fold_of(spark, script, types)
-    return Script(text, script.inputs, None, fold, operand)
+        fold, operand, factor = _fold_of(spark, script, types)
+    return Script(text, script.inputs, None, fold, operand, factor)
 
 
 # How a running value can be split: the pattern that proposes an operand, and the
@@ -155,16 +157,17 @@ _SHAPES = (
     ("sum", r"(?P<rest>.*)\+\s*current\s*", "current + ({rest})"),
     ("max", r"\s*greatest\s*\(\s*current\s*,(?P<rest>.*)\)\s*", "greatest(current, ({rest}))"),
     ("min", r"\s*least\s*\(\s*current\s*,(?P<rest>.*)\)\s*", "least(current, ({rest}))"),
+    ("affine", r"\s*current\s*\*\s*(?P<factor>\d+(?:\.\d+)?)\s*\+(?P<rest>.*)", "current * {factor} + ({rest})"),
 )
 
 
-def _fold_of(spark: SparkSession, script: Script, types: Mapping[str, str]) -> tuple[str, str | None]:
-    """Tell sums, extremes and replacements apart from scripts that need a step-by-step fold.
+def _fold_of(spark: SparkSession, script: Script, types: Mapping[str, str]) -> tuple[str, str | None, float | None]:
+    """Tell sums, extremes, replacements and affine steps apart from scripts that need a step-by-step fold.
 
     The pattern only proposes; Spark decides whether both expressions mean the same.
     """
     if (CURRENT,) not in script.inputs:
-        return "last", script.text
+        return "last", script.text, None
     frame = _empty_frame(spark, script.inputs)
     for fold, pattern, meaning in _SHAPES:
         match = re.fullmatch(pattern, script.text, re.DOTALL | re.IGNORECASE)
@@ -175,12 +178,13 @@ def _fold_of(spark: SparkSession, script: Script, types: Mapping[str, str]) -> t
         if operand is None or not operand.runs or (CURRENT,) in operand.inputs:
             continue
         try:
-            split = frame.select(F.expr(meaning.format(rest=rest)).alias("value"))
+            parts = {**match.groupdict(), "rest": rest}
+            split = frame.select(F.expr(meaning.format(**parts)).alias("value"))
         except AnalysisException:
             continue
         if split.sameSemantics(frame.select(F.expr(script.text).alias("value"))):
-            return fold, rest
-    return "general", None
+            return fold, rest, float(parts["factor"]) if "factor" in parts else None
+    return "general", None, None
 
 
 def scopes(scripts: Iterable[tuple[int, Script]]) -> list[list[tuple[int, Script]]]:

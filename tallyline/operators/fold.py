@@ -4,6 +4,10 @@ Sums, extremes and replacements are computed as a two-level scan: a slice's orde
 segments of arrival numbers, each segment is scanned by itself, and the few segment results are
 scanned over the slice.  A slice that receives most of the feed is so spread over many tasks.
 
+An affine script (``current * 0.5 + amount``) composes too: a segment of orders is one affine step.  The segments of a
+slice are short in number, so their steps are composed one after another, and each segment is then read from its own
+starting value, all segments side by side.
+
 Any other script can only be applied order by order.  Those slices are taken in rounds of a bounded
 number of orders, all slices side by side, each round starting from the values of the one before.
 """
@@ -12,10 +16,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallyline.functions import slices
 from tallyline.functions.script import CURRENT, FOLDS, Path, Script
+from tallyline.functions.text import choose
 from tallyline.operators.accumulate import first_success
 from tallyline.operators.evaluate import route_and_evaluate
 from tallyline.operators.route import OVERRIDDEN, input_columns, join_definitions, may_override
@@ -28,7 +34,7 @@ SEGMENT = 1_000_000
 ROUND = 4096
 
 SLICE = ("ref_ord", "dimension_key", "slice_ts")
-GENERAL, SUM, MAX, MIN, LAST = range(len(FOLDS))
+GENERAL, SUM, MAX, MIN, LAST, AFFINE = range(len(FOLDS))
 _RESULT = ("ref_name", "dimension_key", "slice_ts", "order_id", "arrival_seq", "slice_key", "running_value")
 
 
@@ -77,7 +83,10 @@ def running_slice_values(
     facts = definitions.table.select("def_ord", "ref_name", "slice_seconds", "fold", "script_id")
     rows = stored(join_definitions(winners, facts, "def_ord", definitions), "counted")
     overrides = may_override(orders, definitions)
-    scanned = _scan(rows.where(F.col("fold") != GENERAL), definitions, segment, overrides)
+    scanned = _scan(rows.where(~F.col("fold").isin(GENERAL, AFFINE)), definitions, segment, overrides)
+    if any(s.fold == "affine" for s in definitions.scripts if s.runs):
+        affine = _affine(rows.where(F.col("fold") == AFFINE), definitions, segment, round_size)
+        scanned = scanned.unionByName(affine)
     if not general:
         return scanned
     return scanned.unionByName(_rounds(rows.where(F.col("fold") == GENERAL), definitions, segment, round_size))
@@ -125,6 +134,49 @@ def _scan(rows: DataFrame, definitions: DefinitionSet, segment: int, overrides:
     return _result(rows.withColumn("running_value", value))
 
 
+# ---------------------------------------------------------------- affine scripts
+
+
+def _starts(rows: pd.DataFrame) -> pd.DataFrame:
+    """The value each segment of a slice starts from: one step for each segment, not for each order."""
+    rows = rows.sort_values("part")
+    starts, value = [], 0.0
+    for a, b in zip(rows["a"], rows["b"]):
+        starts.append(value)
+        value = a * value + b
+    return rows[[*SLICE, "part"]].assign(start=starts)
+
+
+def _affine(rows: DataFrame, definitions: DefinitionSet, segment: int, size: int) -> DataFrame:
+    """Running values of affine scripts, in segments of a bounded number of orders."""
+    factors = [(n, F.lit(s.factor)) for n, s in enumerate(definitions.scripts) if s.factor is not None]
+    factor = choose(F.col("script_id"), factors, F.lit(None).cast("double"))
+    # An order that brings its own `current` does not build on the slice.
+    a = F.when(F.col(OVERRIDDEN), F.lit(0.0)).otherwise(factor)
+    b = F.when(F.col(OVERRIDDEN), F.col("increment")).otherwise(F.col("operand"))
+    numbered = running(rows.withColumns({"a": a, "b": b}), SLICE, {"place": ("sum", F.lit(1).cast("bigint"))}, segment)
+    item = ("place", "a", "b", "order_id", "arrival_seq", "ref_name", "slice_seconds")
+    part = F.call_function("div", F.col("place") - 1, F.lit(size)).alias("part")
+    items = F.array_sort(F.collect_list(F.struct(*item))).alias("items")
+    parts = stored(numbered.groupBy(*SLICE, part).agg(items), "segments")
+    one = F.struct(F.lit(1.0).alias("a"), F.lit(0.0).alias("b"))
+    whole = F.aggregate(
+        "items", one, lambda s, x: F.struct((s["a"] * x["a"]).alias("a"), (s["b"] * x["a"] + x["b"]).alias("b"))
+    )
+    steps = parts.select(*SLICE, "part", whole.alias("whole")).select(*SLICE, "part", "whole.a", "whole.b")
+    schema = "ref_ord long, dimension_key string, slice_ts long, part long, start double"
+    starts = steps.groupBy(*SLICE).applyInPandas(_starts, schema)
+    begun = F.struct(F.col("start").alias("value"), F.array().cast("array<double>").alias("readings"))
+
+    def step(s: Column, x: Column) -> Column:
+        value = s["value"] * x["a"] + x["b"]
+        return F.struct(value.alias("value"), F.concat(s["readings"], F.array(value)).alias("readings"))
+
+    readings = F.aggregate("items", begun, step, lambda s: s["readings"])
+    each = parts.join(starts, [*SLICE, "part"]).select(*SLICE, F.explode(F.arrays_zip("items", readings.alias("readings"))).alias("e"))
+    return _result(each.select(*SLICE, "e.items.*", F.col("e.readings").alias("running_value")))
+
+
 # ---------------------------------------------------------------- general scripts
 
 

@@ -72,7 +72,7 @@ class SliceFold(StatefulProcessor):
 
 def streaming_running_values(orders: DataFrame, definitions: DefinitionSet) -> DataFrame:
     """The value of a slice after each counted order; append output, RocksDB state."""
-    stepwise = [s.text for s in definitions.scripts if s.runs and s.fold == "general"]
+    stepwise = [s.text for s in definitions.scripts if s.runs and s.fold in ("general", "affine")]
     kinds = {s.fold for s in definitions.scripts if s.runs}
     if stepwise or (definitions.repeated_refs and len(kinds) > 1):
         raise ValueError(f"these scripts need the batch fold: {stepwise or 'indicators of one name differ in kind'}")

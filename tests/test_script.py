@@ -92,7 +92,10 @@ def test_scripts_that_cannot_run(spark, script):
         ("amount", "last"),
         ("current - amount", "general"),
         ("current + current", "general"),
-        ("current * 0.5 + amount", "general"),
+        ("current * 0.5 + amount", "affine"),
+        ("current * 2 + a * b", "affine"),
+        ("current * 2 + current", "general"),
+        ("current * a + b", "general"),
         ("greatest(current, a) + greatest(b, c)", "general"),
         ("current + a | b", "general"),
     ],
