@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tallyline.functions import slices
 from tallyline.operators import window_values
-from tallyline.operators.accumulate import counted_flags, describe, first_success, slice_totals, slice_updates
+from tallyline.operators.accumulate import counted_flags, slice_totals
 from tallyline.operators.evaluate import route_and_evaluate
 from tallyline.plans.backfill import backfill_messages, backfill_orders
 from tallyline.session import prepare
@@ -229,3 +229,26 @@ def test_hot_key_and_hot_order(spark):
     found = got.groupBy("ref_name").agg(F.count("*"), F.sum("increment")).collect()
     # The copies of one order differ in their key for the sum, so there each counts once.
     assert {r[0]: (r[1], r[2]) for r in found} == {"c": (2001, 2001.0), "s": (3000, sum(range(3000)))}
+
+
+def test_counted_flags_take_one_scan_and_one_shuffle(spark):
+    known = definitions(spark, {"refName": "a"}, {"refName": "a", "sliceGranularity": "HOUR"})
+    evaluated = route_and_evaluate(orders(spark, known, [message("x"), message("x"), message("y")]), known)
+    flagged = counted_flags(evaluated.repartition(3), known)
+    plan = flagged._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("hashpartitioning") == 1 and "SortMergeJoin" not in plan
+    assert sorted((r.order_id, r.arrival_seq, r.def_ord) for r in flagged.where("counted").collect()) == [("x", 0, 0), ("y", 2, 0)]
+
+
+def test_windows_of_a_shared_name_keep_their_own_steps(spark):
+    """Clicks at hours 1, 5 and 20 under an hourly definition that shares its name with a daily one."""
+    known = definitions(
+        spark,
+        {"refName": "r", "eventTypeCodes": ["BUY"], "accScript": "current + amount"},
+        {"refName": "r", "eventTypeCodes": ["CLICK"], "sliceGranularity": "HOUR"},
+    )
+    texts = [message(f"o{h}", "CLICK", h * 3_600_000) for h in (1, 5, 20)]
+    totals = slice_totals(backfill_orders(orders(spark, known, texts), known).updates)
+    at = window_values.value_at_every_slice(totals, known).orderBy("slice_ts")
+    assert [r.window_value for r in at.collect()] == [1.0, 2.0, 3.0]
+    assert window_values.value_at(totals, known, 20 * 3600).first().window_value == 3.0

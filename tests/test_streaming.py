@@ -14,7 +14,6 @@ from tallyline.schemas import SLICE_UPDATE
 from tallyline.session import new_run_dir, prepare_streaming
 from tallyline.sources.definitions import DefinitionFeed, definitions_from_rows
 from tallyline.sources.orders import kafka_options, read_message_files, read_text_files
-from tallyline.streaming.dedupe import streaming_updates
 from tallyline.streaming.fold import streaming_running_values
 from tallyline.streaming.job import Job, parquet_sink, script_rejects_of
 from tallyline.streaming.sinks import dead_letter_records, kafka_records, kafka_sink_options, read_parquet, to_parquet
