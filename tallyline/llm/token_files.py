@@ -31,6 +31,7 @@ from tallyline.llm.common import batches, cut, give_back, partitions
 LONGEST = 16
 STRIDE = 512
 _BLOCK_TOKENS = 1 << 20
+_STRETCH = 64 * STRIDE
 _BLOCKS = pa.schema(
     [
         ("part", pa.int32()), ("block", pa.int32()), ("before", pa.int64()), ("n_tokens", pa.int64()),
@@ -88,16 +89,22 @@ def canonical(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def pack_bits(ids: np.ndarray, lengths: np.ndarray, codes: np.ndarray) -> tuple[bytes, np.ndarray]:
     """The bits of some ids, and the bit offset of every ``STRIDE``-th id."""
-    size = lengths[ids].astype(np.int64)
-    at = np.cumsum(size) - size
-    room = np.zeros(int(at[-1] + size[-1]) // 32 + 2, np.uint64)
-    window = codes[ids] << (np.uint64(64) - (at & 31).astype(np.uint64) - size.astype(np.uint64))
-    word = at >> 5
-    first = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
-    here = word[first]
-    room[here] |= np.bitwise_or.reduceat(window >> np.uint64(32), first)
-    room[here + 1] |= np.bitwise_or.reduceat(window & np.uint64(0xFFFFFFFF), first)
-    return room.astype(">u4").tobytes(), at[::STRIDE].copy()
+    room = np.zeros(len(ids) * LONGEST // 32 + 2, np.uint64)
+    checkpoints, total = [], 0
+    for lo in range(0, len(ids), _STRETCH):  # stretches that stay in the processor's cache
+        some = ids[lo : lo + _STRETCH]
+        size = lengths[some].astype(np.int64)
+        ends = np.cumsum(size) + total
+        at = ends - size
+        window = codes[some] << (64 - (at & 31) - size).astype(np.uint64)
+        word = at >> 5
+        first = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
+        here = word[first]
+        room[here] |= np.bitwise_or.reduceat(window >> np.uint64(32), first)
+        room[here + 1] |= np.bitwise_or.reduceat(window & np.uint64(0xFFFFFFFF), first)
+        checkpoints.append(at[::STRIDE].copy())
+        total = int(ends[-1])
+    return room[: total // 32 + 2].astype(">u4").tobytes(), np.concatenate(checkpoints)
 
 
 def unpack_bits(bits: bytes, checkpoints: np.ndarray, total: int, to_id: np.ndarray, to_length: np.ndarray) -> np.ndarray:
