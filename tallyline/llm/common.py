@@ -5,6 +5,7 @@ from __future__ import annotations
 import contextlib
 import ctypes
 import gc
+import time
 import uuid
 from collections.abc import Iterable, Iterator
 
@@ -32,6 +33,18 @@ def cut(frame: DataFrame) -> DataFrame:
     return frame.checkpoint(eager=True)
 
 
+def release(spark: SparkSession) -> None:
+    """Have Spark remove shuffle and checkpoint files that nothing refers to any more.
+
+    It does so when the driver's JVM collects garbage, which a driver with little to do seldom does by itself.  What a
+    plan refers to is let go in a few rounds, and the files go in the background.
+    """
+    for _ in range(3):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.5)
+
+
 def small_batches(spark: SparkSession, most: str = "8m") -> None:
     """Bound the Arrow batches that Python tasks are given: texts are long, and several tasks share a machine."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", most)

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyline.llm.bpe import encoded_by
-from tallyline.llm.common import batches, cut, give_back, partitions
+from tallyline.llm.common import batches, cut, give_back, partitions, release
 
 LONGEST = 16
 STRIDE = 512
@@ -238,6 +238,7 @@ def write_texts(docs: DataFrame, folder: str, end_id: int = 1, path: str | None
 
 def _write(shrunk: DataFrame, folder: str, end_id: int) -> None:
     spark = shrunk.sparkSession
+    release(spark)  # what the encoding shuffled and kept is not needed any more
     lengths = code_lengths(id_counts(shrunk, end_id))
     spark.createDataFrame([(bytearray(lengths.tobytes()),)], "lengths binary").coalesce(1).write.parquet(f"{folder}/code")
     code = spark.sparkContext.broadcast(lengths.tobytes())
