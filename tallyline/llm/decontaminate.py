@@ -9,6 +9,10 @@
    vectors.  All passages of all documents take part.
 4. Every benchmark item is cut into passages of at most 32 words, of which one is enough to find it.  Windows of 48 words, one every 16 words of every
    document, are compared with them by the cosine in the latent space; pairs above a low cosine are candidates.
+   A cosine falls short of some copies whatever its bound, the more the larger the benchmark.  So there is a second,
+   exact source: where the check of step 5 can succeed, at most ``1 - reworded`` of some passage's words are missing, so
+   of that many and ``shared`` more of its rarest words at least ``shared`` stand in the stretch that is aligned.  All
+   stretches with so many are candidates too.
 5. A candidate's words are aligned with the item's by their longest common subsequence, found bit-parallel for many
    candidates at once.  An item whose words are nearly all there is a copy; one with fewer words there counts as a
    paraphrase only if its answer, the last sentence, is there too.
@@ -46,7 +50,8 @@ _HITS_SQL = "id long, item_id long, cosine double, lcs double, answer double"
 @dataclass(frozen=True)
 class Settings:
     """``copied``: share of an item's words, in order, that makes a copy; ``reworded``: that makes a paraphrase if
-    ``answered`` of the answer's words are there too."""
+    ``answered`` of the answer's words are there too; ``short``: words under which a passage's words must stand close
+    together to make a candidate."""
 
     terms: int = 1 << 15
     rank: int = 96
@@ -57,6 +62,8 @@ class Settings:
     chunks: int = 3
     item_words: int = 32
     cosine: float = 0.3
+    shared: int = 4
+    short: int = 8
     copied: float = 0.8
     reworded: float = 0.65
     answered: float = 0.8
@@ -224,12 +231,18 @@ def weights(counts: np.ndarray, passages: list[_Passage], settings: Settings) ->
     return (rare / np.maximum(counts, 1) ** settings.balance).astype(np.float32)
 
 
-def latent_space(words: DataFrame, passages: list[_Passage], size: int, settings: Settings) -> np.ndarray:
+def frequencies(words: DataFrame, size: int, settings: Settings) -> np.ndarray:
+    """In how many passages of all documents each word occurs; the first number is the number of passages."""
+    counts = _sum_of(words.mapInArrow(partial(_frequencies, size=size, settings=settings), "band int, data binary"), "<i8")
+    return counts if len(counts) else np.zeros(size, np.int64)
+
+
+def latent_space(words: DataFrame, passages: list[_Passage], counts: np.ndarray, settings: Settings) -> np.ndarray:
     """(vocabulary x rank): each word's share of its passage's place in the latent space."""
     spark = words.sparkSession
+    size = len(counts)
     terms = min(size, settings.terms)
-    counts = _sum_of(words.mapInArrow(partial(_frequencies, size=size, settings=settings), "band int, data binary"), "<i8")
-    if not len(counts) or not counts[0]:
+    if not counts[0]:
         return np.zeros((size, settings.rank), np.float32)
     weight = weights(counts, passages, settings)
     rank = min(settings.rank, terms)
@@ -256,6 +269,34 @@ class _Passage:
     at: int  # words of the item before the passage
 
 
+@dataclass
+class _Rare:
+    """The rarest words of some passages: for each local number the passages that look for it."""
+
+    first: np.ndarray  # local number to its first place in passage; one more at the end
+    passage: np.ndarray
+    least: np.ndarray  # how many of its rare words make a passage a candidate
+    reach: np.ndarray  # within how many words of a text
+
+
+def rarest(passages: list[_Passage], counts: np.ndarray, local: np.ndarray, settings: Settings) -> _Rare:
+    words, of, least, reach = [], [], [], []
+    for n, p in enumerate(passages):
+        size = len(p.words)
+        short = size < settings.short
+        needed = int(np.ceil((settings.copied if short else settings.reworded) * size - 1e-9))
+        enough = min(settings.shared, needed)
+        own = np.unique(p.words[np.lexsort((p.words, counts[p.words]))[: size - needed + enough]])
+        words.append(local[own])
+        of.append(np.full(len(own), n))
+        least.append(enough)
+        reach.append(5 * size // 2 if short else settings.window + 2 * settings.chunk)
+    word, passage = np.concatenate(words), np.concatenate(of)
+    order = np.argsort(word, kind="stable")
+    first = np.searchsorted(word[order], np.arange(int(local.max()) + 2))
+    return _Rare(first, passage[order], np.array(least), np.array(reach))
+
+
 @dataclass
 class _Items:
     """Some benchmark passages, made ready for comparing."""
@@ -268,6 +309,7 @@ class _Items:
     local: np.ndarray  # vocabulary number to the number among these passages' words; 0: in none
     masks: np.ndarray  # (passages x local numbers): bits of the positions that hold a word
     places: np.ndarray  # (rank x passages): unit vectors in the latent space
+    rare: _Rare
 
 
 def item_passages(rows: list[tuple[int, str]], settings: Settings) -> tuple[list[_Passage], dict[bytes, int]]:
@@ -289,7 +331,7 @@ def item_passages(rows: list[tuple[int, str]], settings: Settings) -> tuple[list
     return out, vocabulary
 
 
-def _ready(passages: list[_Passage], space: np.ndarray) -> _Items:
+def _ready(passages: list[_Passage], space: np.ndarray, counts: np.ndarray, settings: Settings) -> _Items:
     own = np.unique(np.concatenate([p.words for p in passages]))
     local = np.zeros(len(space), np.int32)
     local[own] = np.arange(1, len(own) + 1)
@@ -300,7 +342,31 @@ def _ready(passages: list[_Passage], space: np.ndarray) -> _Items:
         place = space[p.words].sum(axis=0)
         places[:, n] = place / max(float(np.linalg.norm(place)), 1e-12)
     columns = [np.array(c) for c in zip(*((p.item, p.total, len(p.words), p.answer, p.at) for p in passages), strict=True)]
-    return _Items(columns[0], columns[1], columns[2], columns[3].astype(np.uint32), columns[4], local, masks, places)
+    rare = rarest(passages, counts, local, settings)
+    return _Items(columns[0], columns[1], columns[2], columns[3].astype(np.uint32), columns[4], local, masks, places, rare)
+
+
+def _sharing(number: np.ndarray, starts: np.ndarray, of: np.ndarray, rare: _Rare, settings: Settings) -> tuple[np.ndarray, np.ndarray]:
+    """(piece, passage number): the pieces around which enough of a passage's rare words stand."""
+    many = rare.first[number + 1] - rare.first[number]
+    at = np.flatnonzero(many)
+    many = many[at]
+    inner = np.arange(int(many.sum())) - np.repeat(np.cumsum(many) - many, many)
+    passage = rare.passage[np.repeat(rare.first[number[at]], many) + inner]
+    met = np.sort(passage * len(number) + np.repeat(at, many))
+    passage, at = met // len(number), met % len(number)
+    last = np.arange(len(met)) + rare.least[passage] - 1
+    begin = np.flatnonzero(last < len(met))
+    last = last[begin]
+    near = (passage[last] == passage[begin]) & (at[last] - at[begin] < rare.reach[passage[begin]])
+    begin, last = begin[near], last[near]
+    low, high = (np.searchsorted(starts, at[x], "right") - 1 for x in (begin, last))
+    # the stretch aligned with a piece begins one piece before it and ends ``chunks`` pieces behind it
+    pieces = high[:, None] + np.arange(-settings.chunks, 2)
+    fits = (of[low] == of[high])[:, None] & (pieces >= 0) & (pieces <= low[:, None] + 1) & (pieces < len(starts))
+    fits &= of[np.clip(pieces, 0, len(of) - 1)] == of[low][:, None]
+    found = np.unique((passage[begin][:, None] * len(starts) + pieces)[fits])
+    return found % len(starts), found // len(starts)
 
 
 def _together(passages: list[_Passage], most: int = 256) -> Iterator[list[_Passage]]:
@@ -344,44 +410,56 @@ def _searched(parts: Iterator[pa.RecordBatch], model: Broadcast, settings: Setti
             for step in range(1, settings.chunks):
                 place[:-step] += np.where((of[:-step] == of[step:])[:, None], single[step:], 0)
             length = np.linalg.norm(place, axis=1)
+            place /= np.maximum(length, 1e-12)[:, None]
             windows = np.flatnonzero(length > 1e-12)
-            place = place[windows] / length[windows, None]
-            lows, highs = firsts[of[windows]], np.append(firsts, len(words))[of[windows] + 1]
+            lows, highs = firsts[of], np.append(firsts, len(words))[of + 1]
             for items in blocks:
                 number = items.local[words]
-                compared = _compared(place, starts[windows], lows, highs, number, items, settings)
-                found += [(rows[of[windows[w]]], *rest) for w, *rest in compared]
+                sharing = _sharing(number, starts, of, items.rare, settings)
+                compared = _compared(place, windows, sharing, starts, lows, highs, number, items, settings)
+                found += [(rows[of[w]], items.item[p], items.total[p], p, *rest) for w, p, *rest in compared]
         yield from _decided(ids, found, settings)
     give_back()
 
 
-def _compared(place, starts, lows, highs, number, items: _Items, settings: Settings) -> Iterator[tuple[np.ndarray, ...]]:
-    """(window, item, item words, passage number, cosine, common words, answer words, answer words there).
+def _compared(place, windows, sharing, starts, lows, highs, number, items: _Items, settings: Settings) -> Iterator[tuple[np.ndarray, ...]]:
+    """(piece, passage, cosine, common words, answer words, answer words there) of the candidates of both sources."""
+    for lo in range(0, len(windows), 4096):
+        some = windows[lo : lo + 4096]
+        cosines = place[some] @ items.places
+        w, p = np.nonzero(cosines >= settings.cosine)
+        yield from _confirmed(some[w], p, cosines[w, p], starts, lows, highs, number, items, settings)
+    for lo in range(0, len(sharing[0]), 1 << 14):
+        w, p = (x[lo : lo + (1 << 14)] for x in sharing)
+        cosine = np.einsum("ij,ji->i", place[w], items.places[:, p])
+        rest = cosine < settings.cosine  # the others are candidates already
+        yield from _confirmed(w[rest], p[rest], cosine[rest], starts, lows, highs, number, items, settings)
 
-    The cosine finds one passage of an item; the item's other passages are then aligned where they should stand.
+
+def _confirmed(windows, passages, cosines, starts, lows, highs, number, items: _Items, settings: Settings) -> Iterator[tuple[np.ndarray, ...]]:
+    """What of these candidates can be aligned.
+
+    A candidate is one passage of an item; the item's other passages are then aligned where they should stand.
     """
     most = int(items.size.max(initial=0))
-    for lo in range(0, len(place), 4096):
-        cosines = place[lo : lo + 4096] @ items.places
-        windows, passages = np.nonzero(cosines >= settings.cosine)
-        for at in range(0, len(windows), 1 << 14):
-            w, p = windows[at : at + (1 << 14)] + lo, passages[at : at + (1 << 14)]
-            cosine = cosines[w - lo, p].astype(float)
-            good, *aligned = _aligned(starts[w], lows[w], highs[w], p, number, items, settings)
-            w, p, cosine = w[good], p[good], cosine[good]
-            if not len(w):
-                continue
-            yield w, items.item[p], items.total[p], p, cosine, *aligned
-            for step in [s for n in range(1, -(-int(items.total[p].max()) // max(1, most)) + 2) for s in (n, -n)]:
-                q = p + step
-                there = (q >= 0) & (q < len(items.item))
-                there &= items.item[np.clip(q, 0, len(items.item) - 1)] == items.item[p]
-                v, q, base = w[there], q[there], p[there]
-                if len(v):
-                    shift = starts[v] + items.at[q] - items.at[base]
-                    good, *aligned = _aligned(shift, lows[v], highs[v], q, number, items, settings)
-                    v, q = v[good], q[good]
-                    yield v, items.item[q], items.total[q], q, cosine[there][good], *aligned
+    for at in range(0, len(windows), 1 << 14):
+        w, p = windows[at : at + (1 << 14)], passages[at : at + (1 << 14)]
+        cosine = cosines[at : at + (1 << 14)].astype(float)
+        good, *aligned = _aligned(starts[w], lows[w], highs[w], p, number, items, settings)
+        w, p, cosine = w[good], p[good], cosine[good]
+        if not len(w):
+            continue
+        yield w, p, cosine, *aligned
+        for step in [s for n in range(1, -(-int(items.total[p].max()) // max(1, most)) + 2) for s in (n, -n)]:
+            q = p + step
+            there = (q >= 0) & (q < len(items.item))
+            there &= items.item[np.clip(q, 0, len(items.item) - 1)] == items.item[p]
+            v, q, base = w[there], q[there], p[there]
+            if len(v):
+                shift = starts[v] + items.at[q] - items.at[base]
+                good, *aligned = _aligned(shift, lows[v], highs[v], q, number, items, settings)
+                v, q = v[good], q[good]
+                yield v, q, cosine[there][good], *aligned
 
 
 def _aligned(starts, lows, highs, p, number, items: _Items, settings: Settings) -> tuple[np.ndarray, ...]:
@@ -448,8 +526,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, settings: Settings = Settings()
             continue
         known = spark.sparkContext.broadcast(vocabulary)
         words = cut(texts.mapInArrow(partial(_numbered, vocabulary=known), "id long, words binary"))
-        space = latent_space(words, passages, len(vocabulary) + 1, settings)
-        blocks = [_ready(some, space) for some in _together(passages)]
+        counts = frequencies(words, len(vocabulary) + 1, settings)
+        space = latent_space(words, passages, counts, settings)
+        blocks = [_ready(some, space, counts, settings) for some in _together(passages)]
         model = spark.sparkContext.broadcast((space, blocks))
         hits = words.mapInArrow(partial(_searched, model=model, settings=settings), _HITS_SQL)
         result = hits if result is None else result.unionByName(hits)

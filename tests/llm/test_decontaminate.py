@@ -4,7 +4,7 @@ import random
 
 import numpy as np
 
-from tallyline.llm.decontaminate import Settings, _common, item_passages, leaks, weights, without_leaks
+from tallyline.llm.decontaminate import Settings, _common, _pieces, _ready, _sharing, item_passages, leaks, weights, without_leaks
 
 BENCH = "item_id long, text string"
 SYLLABLES = "ka lo mi ren tu sha vel por din az che bru".split()
@@ -66,6 +66,46 @@ def test_finds_copies_and_paraphrases_and_nothing_else(spark, docs):
     assert all(0.65 <= r["lcs"] <= 1 and r["cosine"] >= 0.4 for r in got)
 
 
+def test_finds_what_no_cosine_finds(spark, docs):
+    rng = random.Random(8)
+    bench = items(rng)
+    rows, pairs = planted(rng, bench)
+    for doc in range(200, 230):  # paraphrases: every fourth word of the head is another, the answer is kept
+        item, text = rng.choice(bench)
+        own = text.split()
+        head = len(own) - next(n for n in range(4, 9) if own[-n - 1].endswith("."))
+        own[:head] = [word(rng) if i % 4 == 1 else w for i, w in enumerate(own[:head])]
+        rows.append((doc, " ".join(prose(rng, rng.randrange(90)) + own + prose(rng, 40))))
+        pairs.add((doc, item))
+    got = leaks(docs(rows), spark.createDataFrame(bench, BENCH), Settings(cosine=2.0)).collect()
+    assert {(r["doc_id"], r["item_id"]) for r in got} == pairs
+
+
+def test_every_stretch_that_can_be_a_leak_is_a_candidate():
+    rng = random.Random(9)
+    settings = Settings()
+    bench = [(i, " ".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randrange(8, 60)))) for i in range(30)]
+    passages, vocabulary = item_passages(bench, settings)
+    counts = np.array([10**6, *(rng.randrange(1, 10**5) for _ in vocabulary)])
+    ready = _ready(passages, np.zeros((len(counts), 1), np.float32), counts, settings)
+    texts = []
+    for _ in range(25):
+        own = []
+        while rng.random() < 0.7:
+            own += [w if rng.random() < 0.8 else rng.randrange(len(counts)) for w in rng.choice(passages).words.tolist() if rng.random() < 0.95]
+            own += [rng.randrange(len(counts)) * (rng.random() < 0.3) for _ in range(rng.randrange(50))]
+        texts.append([*own, 0])
+    words, firsts = np.array(sum(texts, []), np.int32), np.cumsum([0, *map(len, texts)])
+    starts, of = _pieces(len(words), firsts[:-1], settings.chunk)
+    found = set(zip(*(x.tolist() for x in _sharing(ready.local[words], starts, of, ready.rare, settings)), strict=True))
+    wanted = set()
+    for n, (start, text) in enumerate(zip(starts, of, strict=True)):
+        low, high = max(start - settings.chunk, firsts[text]), min(start + settings.window + settings.chunk, firsts[text + 1])
+        near = words[low:high].tolist()
+        wanted |= {(n, i) for i, p in enumerate(passages) if lcs(near, p.words.tolist()) >= settings.reworded * len(p.words)}
+    assert len(wanted) > 100 and wanted <= found
+
+
 def test_same_pairs_for_blocks_of_the_benchmark(spark, docs):
     rng = random.Random(5)
     bench = items(rng, 12)
