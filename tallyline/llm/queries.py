@@ -10,9 +10,11 @@ from tallyline.llm.bpe import encode_and_decode
 from tallyline.llm.chat import format_chats, loss_text, parse
 from tallyline.llm.common import table
 from tallyline.llm.decontaminate import leaks
+from tallyline.llm.fim import fill_in_middle, restored
 from tallyline.llm.hnsw import neighbours
 from tallyline.llm.html_text import main_text
 from tallyline.llm.line_dedup import dedup_lines
+from tallyline.llm.periodic import periodic_runs
 from tallyline.llm.pii import KINDS, digest, personal_data
 from tallyline.llm.simhash import simhash_groups
 from tallyline.llm.token_files import read_token_files, write_texts
@@ -91,6 +93,47 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts, F.sha2(digest(of_base), 256).alias("base_sha256"), digest(F.col("spans")).alias("spans"))
 
 
+def _planted(docs: DataFrame) -> DataFrame:
+    """Documents of which a tenth, chosen by id, repeat some of their words with a period to their end."""
+    words = F.filter(F.split(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    named = docs.select("doc_id", "text", words.alias("words"), F.crc32(F.col("doc_id").cast("string")).alias("h"))
+    sized = named.withColumns({"n": F.size("words").cast("long"), "g": F.expr("h div 10")})
+    cut = sized.withColumn("a", F.when((F.col("h") % 10 == 0) & (F.col("n") > 0), F.expr("g % n")))
+    timed = cut.withColumn("p", F.expr("1 + (n - a) div (3 + g % 8)"))
+    made = F.expr("array_join(transform(words, (w, i) -> if(i < a, w, element_at(words, cast(a + (i - a) % p as int) + 1))), ' ')")
+    return timed.select("doc_id", F.when(F.col("a").isNull(), F.col("text")).otherwise(made).alias("text"))
+
+
+def op11_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs(_planted(table(spark, sf_dir, "documents")))
+    lines = F.transform("runs", lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n")))
+    ranked = F.transform("runs", lambda r: F.struct(r["length"].alias("length"), -r["start"], -r["period"]))
+    top = F.array_max(ranked)
+    return found.withColumn("top", top).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("top.col2")).alias("start"),
+        F.col("top.length").alias("length"),
+        (-F.col("top.col3")).alias("period"),
+        F.expr("1000 * top.length div -top.col3").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = fill_in_middle(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return made.select(
+        "doc_id",
+        F.col("n_units").alias("n"),
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
 QUERIES = {
     "op1_hnsw": op1_hnsw,
     "op2_toxicity": op2_toxicity,
@@ -102,8 +145,12 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_chat": op9_chat,
     "op10_pii": op10_pii,
+    "op11_periodic": op11_periodic,
+    "op12_fim": op12_fim,
 }
 SQL = {
     "op4_line_dedup": sql.LINE_DEDUP,
     "op9_chat": sql.CHAT,
+    "op11_periodic": sql.PERIODIC,
+    "op12_fim": sql.FIM,
 }
