@@ -14,6 +14,7 @@ from tallyline.llm.fim import fill_in_middle, restored
 from tallyline.llm.hnsw import neighbours
 from tallyline.llm.html_text import main_text
 from tallyline.llm.line_dedup import dedup_lines
+from tallyline.llm.minhash import minhash_groups
 from tallyline.llm.periodic import periodic_runs
 from tallyline.llm.pii import KINDS, digest, personal_data
 from tallyline.llm.simhash import simhash_groups
@@ -134,6 +135,10 @@ def op12_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_groups(table(spark, sf_dir, "documents").select("doc_id", "text"), size=4)
+
+
 QUERIES = {
     "op1_hnsw": op1_hnsw,
     "op2_toxicity": op2_toxicity,
@@ -147,6 +152,7 @@ QUERIES = {
     "op10_pii": op10_pii,
     "op11_periodic": op11_periodic,
     "op12_fim": op12_fim,
+    "op13_minhash": op13_minhash,
 }
 SQL = {
     "op4_line_dedup": sql.LINE_DEDUP,

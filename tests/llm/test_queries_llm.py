@@ -22,4 +22,4 @@ def test_query(spark, name):
 
 def test_all_are_registered():
     assert {*QUERIES, "pipeline"} <= entry.queries().keys() and SQL.keys() <= entry.oracle_sql().keys()
-    assert [n.split("_")[0] for n in QUERIES] == [f"op{n}" for n in range(1, 13)]
+    assert [n.split("_")[0] for n in QUERIES] == [f"op{n}" for n in range(1, 14)]
