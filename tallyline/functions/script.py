@@ -15,13 +15,17 @@ from dataclasses import dataclass
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from tallyline.functions.step import NoStep, Step, step_of
 from tallyline.session import null_on_error
 
 CURRENT = "current"
-#: How a running slice value is made from order to order.
-FOLDS = ("general", "sum", "max", "min", "last", "affine")
+#: How a running slice value is made from order to order.  ``general``: order by order; ``ordered``: so that even the
+#: success of an order depends on the value before it.
+FOLDS = ("general", "sum", "max", "min", "last", "affine", "ordered")
 #: Engine columns carry this prefix while scripts are evaluated, so that no field name meets them.
 RESERVED = "__t_"
+#: Columns of a definition's own numbers, which are never null.
+NUMBER = f"{RESERVED}p"
 
 Path = tuple[str, ...]
 
@@ -36,7 +40,10 @@ class Script:
     fold: str = "general"
     operand: str | None = None
     #: What an affine script multiplies the slice value by, before it adds its operand.
-    factor: float | None = None
+    factor: str | None = None
+    #: What an order does to the value, for folds order by order, or why that has no step.
+    step: Step | None = None
+    no_step: str | None = None
 
     @property
     def runs(self) -> bool:
@@ -80,14 +87,21 @@ def _empty_frame(spark: SparkSession, inputs: Mapping[Path, str]) -> DataFrame:
     return spark.range(0).select(*bind(nulls))
 
 
-def _check(spark: SparkSession, text: str, types: Mapping[str, str]) -> Script:
-    inputs: dict[Path, str] = {}
+def frame_of(spark: SparkSession, text: str, inputs: Mapping[Path, str]) -> DataFrame:
+    """A script as a double, analysed, over no rows."""
+    with null_on_error(spark), _quiet():
+        return _empty_frame(spark, inputs).select(F.expr(text).cast("double").alias("value"))
+
+
+def _check(spark: SparkSession, text: str, types: Mapping[str, str], known: Mapping[Path, str] | None = None) -> Script:
+    """Analyse a script; ``known`` are names it is likely to read, which saves Spark's finding them one by one."""
+    inputs: dict[Path, str] = dict(known or {})
     while True:
         frame = _empty_frame(spark, inputs)
         try:
             # A filter takes plain expressions only: no aggregate, window or row generator.
             frame.where(F.expr(text).isNotNull())
-            result = frame.select(F.expr(text).alias("value")).schema
+            result = frame.select(F.expr(text).alias("value"))
         except AnalysisException as error:
             path = _missing_name(error, inputs)
             if path is None or path in inputs:
@@ -98,11 +112,20 @@ def _check(spark: SparkSession, text: str, types: Mapping[str, str]) -> Script:
             if _ambiguous(inputs):
                 return Script(text, inputs, f"ambiguous name: {'.'.join(path)}")
             continue
-        if len(result) != 1 or not isinstance(result[0].dataType, T.NumericType):
+        if known:
+            read = references_of(result)
+            inputs = {path: kind for path, kind in inputs.items() if path[0] in read}
+        if len(result.columns) != 1 or not isinstance(result.schema[0].dataType, T.NumericType):
             return Script(text, inputs, "does not return a number")
         return Script(text, inputs)
 
 
+def references_of(frame: DataFrame) -> set[str]:
+    """Columns that the only expression of an analysed frame reads."""
+    read = frame._jdf.queryExecution().analyzed().expressions().apply(0).references().toSeq()
+    return {read.apply(i).name() for i in range(read.size())}
+
+
 def _ambiguous(inputs: Mapping[Path, str]) -> bool:
     """Two spellings of one name, or a name that is both a value and a parent."""
     spelled: dict[str, Path] = {}
@@ -141,13 +164,33 @@ _compiled: dict[tuple, Script] = {}
 _KEPT = 100_000
 
 
-def _compile(spark: SparkSession, text: str, types: Mapping[str, str]) -> Script:
+def check_script(spark: SparkSession, text: str, known: Mapping[Path, str]) -> Script:
+    """Whether a script runs and what it reads, the likely names given."""
     with null_on_error(spark), _quiet():
-        script = _check(spark, text, types)
+        return _check(spark, text, {}, known)
+
+
+def compile_template(spark: SparkSession, text: str, slots: Mapping[Path, str]) -> Script:
+    """Check a script over the engine's own columns for its numbers and names."""
+    return _compile(spark, text, {}, slots)
+
+
+def _compile(
+    spark: SparkSession, text: str, types: Mapping[str, str], known: Mapping[Path, str] | None = None
+) -> Script:
+    with null_on_error(spark), _quiet():
+        script = _check(spark, text, types, known)
         if not script.runs:
             return script
-        fold, operand, factor = _fold_of(spark, script, types)
-    return Script(text, script.inputs, None, fold, operand, factor)
+        fold, operand, factor = _fold_of(spark, script, types, known)
+    step, no_step = None, None
+    try:
+        step = step_of(frame_of(spark, text, script.inputs), CURRENT if (CURRENT,) in script.inputs else "", NUMBER)
+    except NoStep as reason:
+        no_step = str(reason)
+    if fold == "general" and step and step.may_fail:
+        fold = "ordered"
+    return Script(text, script.inputs, None, fold, operand, factor, step, no_step)
 
 
 # How a running value can be split: the pattern that proposes an operand, and the
@@ -157,11 +200,17 @@ _SHAPES = (
     ("sum", r"(?P<rest>.*)\+\s*current\s*", "current + ({rest})"),
     ("max", r"\s*greatest\s*\(\s*current\s*,(?P<rest>.*)\)\s*", "greatest(current, ({rest}))"),
     ("min", r"\s*least\s*\(\s*current\s*,(?P<rest>.*)\)\s*", "least(current, ({rest}))"),
-    ("affine", r"\s*current\s*\*\s*(?P<factor>\d+(?:\.\d+)?)\s*\+(?P<rest>.*)", "current * {factor} + ({rest})"),
+    (
+        "affine",
+        rf"\s*current\s*\*\s*(?P<factor>\d+(?:\.\d+)?|{RESERVED}p\d+)\s*\+(?P<rest>.*)",
+        "current * {factor} + ({rest})",
+    ),
 )
 
 
-def _fold_of(spark: SparkSession, script: Script, types: Mapping[str, str]) -> tuple[str, str | None, float | None]:
+def _fold_of(
+    spark: SparkSession, script: Script, types: Mapping[str, str], known: Mapping[Path, str] | None
+) -> tuple[str, str | None, str | None]:
     """Tell sums, extremes, replacements and affine steps apart from scripts that need a step-by-step fold.
 
     The pattern only proposes; Spark decides whether both expressions mean the same.
@@ -174,7 +223,7 @@ def _fold_of(spark: SparkSession, script: Script, types: Mapping[str, str]) -> t
         if not match:
             continue
         rest = match["rest"].strip()
-        operand = _check(spark, rest, types) if rest else None
+        operand = _check(spark, rest, types, known) if rest else None
         if operand is None or not operand.runs or (CURRENT,) in operand.inputs:
             continue
         try:
@@ -183,7 +232,7 @@ def _fold_of(spark: SparkSession, script: Script, types: Mapping[str, str]) -> t
         except AnalysisException:
             continue
         if split.sameSemantics(frame.select(F.expr(script.text).alias("value"))):
-            return fold, rest, float(parts["factor"]) if "factor" in parts else None
+            return fold, rest, parts.get("factor")
     return "general", None, None
 
 

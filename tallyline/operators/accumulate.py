@@ -11,14 +11,16 @@ from tallyline.sources.definitions import DefinitionSet
 IDENTITY = ("ref_ord", "dimension_key", "order_id")
 
 
-def delivery_order(definitions: DefinitionSet, fixed_type: bool = False) -> Column:
-    """What comes first: arrival, then place in the definition list.
+def delivery_order(definitions: DefinitionSet) -> Column:
+    """What comes first: arrival, then place in the definition list."""
+    return delivery_place() if definitions.repeated_refs else F.col("arrival_seq")
 
-    One number rather than a pair, so that the aggregation below stays a hash aggregation.  Streams ask for one type
-    whatever the definitions are: it is part of their state, which outlives a definition list.
+
+def delivery_place() -> Column:
+    """Arrival and place in the definition list as one number, so that an aggregation by it stays a hash aggregation.
+
+    Streams take it whatever the definitions are: it is part of their state, which outlives a definition list.
     """
-    if not definitions.repeated_refs and not fixed_type:
-        return F.col("arrival_seq")
     place = F.col("def_ord").cast("decimal(20,0)")
     return F.col("arrival_seq").cast("decimal(38,0)") * F.expr("10000000000000000000BD") + place
 
@@ -43,8 +45,10 @@ def first_success(evaluated: DataFrame, definitions: DefinitionSet, carry: tuple
 
 def describe(winners: DataFrame, definitions: DefinitionSet) -> DataFrame:
     """Add the definition's columns back after the shuffle, which carries numbers only."""
-    names = definitions.table.select("def_ord", "ref_name", "slice_granularity", "slice_seconds", "window_slices")
-    return join_definitions(winners, names, "def_ord", definitions)
+    names = ("ref_name", "slice_granularity", "slice_seconds", "window_slices")
+    table = definitions.table.select("def_ord", *names)
+    described = join_definitions(winners.drop(*names), table, "def_ord", definitions)
+    return described.withColumn("granularity", F.col("slice_granularity"))
 
 
 def slice_updates(described: DataFrame) -> DataFrame:

@@ -2,20 +2,22 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyline.functions import slices
-from tallyline.functions.script import RESERVED, Script, bind, scopes
+from tallyline.functions.script import CURRENT, NUMBER, RESERVED, Path, Script, bind, scopes
 from tallyline.functions.text import choose
-from tallyline.operators.route import input_columns, route
+from tallyline.operators.route import input_columns, join_definitions, route
 from tallyline.session import null_on_error
 from tallyline.sources.definitions import DefinitionSet
 
 NOT_A_NUMBER = "script returned no number"
 _INCREMENT = f"{RESERVED}inc_"
 _OPERAND = f"{RESERVED}op_"
+_FACTOR = f"{RESERVED}by_"
+_ARGUMENT = f"{RESERVED}arg"
 #: Scripts that one column chooses among, which bounds the code Spark makes for it.
 SCRIPTS_PER_COLUMN = 40
 
@@ -24,8 +26,8 @@ def _evaluate(routed: DataFrame, definitions: DefinitionSet, folds: bool) -> Dat
     """Add ``increment``: the script with a slice value of 0, or NULL where it fails.
 
     A row runs its own script only: each result column is a choice by script number, among a bounded number of
-    scripts, so the input is read once however many scripts there are.  Engine columns are renamed while scripts run,
-    so a field may have any name.
+    scripts, so the input is read once however many scripts there are.  A template's numbers and names come from the
+    definition's row.  Engine columns are renamed while scripts run, so a field may have any name.
     """
     columns = input_columns(definitions)
     engine = [c for c in routed.columns if c not in columns.values()]
@@ -35,10 +37,10 @@ def _evaluate(routed: DataFrame, definitions: DefinitionSet, folds: bool) -> Dat
 
     with null_on_error(routed.sparkSession):
         for scope in scopes((n, s) for n, s in enumerate(definitions.scripts) if s.runs):
-            bound = {p: F.col(columns[p, k]) for _, s in scope for p, k in s.inputs.items()}
+            bound = {p: _bound(p, k, definitions) for _, s in scope for p, k in s.inputs.items()}
             engine_side = [*hidden, *columns.values(), *outputs]
             starts = range(0, len(scope), SCRIPTS_PER_COLUMN)
-            results = [r for at in starts for r in _results(scope[at : at + SCRIPTS_PER_COLUMN], folds)]
+            results = [r for at in starts for r in _results(scope[at : at + SCRIPTS_PER_COLUMN], definitions, folds)]
             frame = frame.select(*engine_side, *bind(bound)).select(*engine_side, *results)
             outputs = frame.columns[len(hidden) + len(columns) :]
 
@@ -46,21 +48,54 @@ def _evaluate(routed: DataFrame, definitions: DefinitionSet, folds: bool) -> Dat
         found = [F.col(c) for c in outputs if c.startswith(prefix)]  # a script is in one column only
         return F.coalesce(*found, F.lit(None).cast("double"))
 
-    # A general fold evaluates its script again later, so it keeps the inputs.
-    extra = [*columns.values(), pick(_OPERAND).alias("operand")] if folds else []
+    extra = []
+    if folds:
+        own = columns.get(((CURRENT,), "double"))
+        extra = [pick(_OPERAND).alias("operand"), pick(_FACTOR).alias("factor")]
+        extra.append((F.col(own) if own else F.lit(0.0)).alias("own_current"))
+        extra += [pick(f"{_ARGUMENT}{i}_").alias(c) for i, c in enumerate(argument_columns(definitions))]
     restored = [F.col(h).alias(c) for c, h in zip(engine, hidden)]
     return frame.select(*restored, pick(_INCREMENT).alias("increment"), *extra)
 
 
-def _results(scripts: Sequence[tuple[int, Script]], folds: bool) -> list[Column]:
-    """The increments of some scripts in one column, and their operands in another."""
+def _bound(path: Path, kind: str, definitions: DefinitionSet) -> Column:
+    """What a script's name stands for: an input, or a number or input that the definition gives."""
+    columns = input_columns(definitions)
+    if (path, kind) in columns:
+        return F.col(columns[path, kind])
+    slot = path[0]
+    if slot not in definitions.slot_options:
+        return F.get(F.col(f"{RESERVED}params"), F.lit(int(slot.removeprefix(NUMBER))))
+    named = list(columns.values())
+    options = definitions.slot_options[slot]
+    if len(options) == 1:
+        return F.col(named[options[0]])
+    place = int(slot.removeprefix(f"{RESERVED}f").split("_")[0])
+    return choose(F.get(F.col(f"{RESERVED}slots"), F.lit(place)), [(n, F.col(named[n])) for n in options], F.lit(None).cast(kind))
+
+
+def argument_columns(definitions: DefinitionSet) -> tuple[str, ...]:
+    """Columns for the arguments of steps, where some indicator's running value is made order by order."""
+    if not definitions.fold_kinds & {"general", "ordered"}:
+        return ()
+    return tuple(f"arg_{i}" for i in range(max((len(s.step.arguments) for s in definitions.scripts if s.step), default=0)))
+
+
+def _results(scripts: Sequence[tuple[int, Script]], definitions: DefinitionSet, folds: bool) -> list[Column]:
+    """The increments of some scripts in one column, and what folds need of them in others."""
     number, first = F.col(f"{RESERVED}script_id"), scripts[0][0]
-    nothing = F.lit(None).cast("double")
-    increments = [(n, F.expr(s.text).cast("double")) for n, s in scripts]
-    operands = [(n, F.expr(s.operand).cast("double")) for n, s in scripts if s.operand is not None]
-    results = [choose(number, increments, nothing).alias(f"{_INCREMENT}{first}")]
-    if folds and operands:
-        results.append(choose(number, operands, nothing).alias(f"{_OPERAND}{first}"))
+
+    def chosen(prefix: str, texts: Iterable[tuple[int, str | None]]) -> list[Column]:
+        options = [(n, F.expr(text).cast("double")) for n, text in texts if text is not None]
+        return [choose(number, options, F.lit(None).cast("double")).alias(f"{prefix}{first}")] if options else []
+
+    results = chosen(_INCREMENT, ((n, s.text) for n, s in scripts))
+    if folds:
+        results += chosen(_OPERAND, ((n, s.operand) for n, s in scripts))
+        results += chosen(_FACTOR, ((n, s.factor) for n, s in scripts))
+        for i in range(len(argument_columns(definitions))):
+            steps = ((n, s.step.arguments) for n, s in scripts if s.step)
+            results += chosen(f"{_ARGUMENT}{i}_", ((n, a[i] if i < len(a) else None) for n, a in steps))
     return results
 
 
@@ -72,9 +107,9 @@ def route_and_evaluate(orders: DataFrame, definitions: DefinitionSet, folds: boo
 
 def failed_scripts(evaluated: DataFrame, definitions: DefinitionSet) -> DataFrame:
     """Routed orders whose script gave no number, with the reason."""
-    texts = F.array(*[F.lit(s.text) for s in definitions.scripts])
-    problems = F.array(*[F.lit(s.problem or NOT_A_NUMBER) for s in definitions.scripts])
-    text, reason = F.get(texts, F.col("script_id")), F.get(problems, F.col("script_id"))
-    return evaluated.where(F.col("increment").isNull()).select(
-        "ref_name", "dimension_key", "order_id", text.alias("acc_script"), reason.alias("reason")
-    )
+    failed = evaluated.where(F.col("increment").isNull()).select("def_ord", "dimension_key", "order_id", "arrival_seq")
+    problems = [(n, F.lit(s.problem)) for n, s in enumerate(definitions.scripts) if not s.runs]
+    reason = choose(F.col("script_id"), problems, F.lit(NOT_A_NUMBER))
+    named = definitions.table.select("def_ord", "ref_name", "acc_script", reason.alias("reason"))
+    rejects = join_definitions(failed, named, "def_ord", definitions)
+    return rejects.select("ref_name", "dimension_key", "order_id", "acc_script", "reason")

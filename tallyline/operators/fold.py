@@ -4,38 +4,43 @@ Sums, extremes and replacements are computed as a two-level scan: a slice's orde
 segments of arrival numbers, each segment is scanned by itself, and the few segment results are
 scanned over the slice.  A slice that receives most of the feed is so spread over many tasks.
 
-An affine script (``current * 0.5 + amount``) composes too: a segment of orders is one affine step.  The segments of a
-slice are short in number, so their steps are composed one after another, and each segment is then read from its own
-starting value, all segments side by side.
+Other scripts are applied order by order by a reader of sorted rows, which carries the value from batch to batch and
+holds one slice at a time.  An affine script (``current * 0.5 + amount``) composes besides: a slice of many orders is
+cut into parts, each part is one affine step, the few steps are read first, and then all parts side by side.
 
-Any other script can only be applied order by order.  Those slices are taken in rounds of a bounded
-number of orders, all slices side by side, each round starting from the values of the one before.
+A script whose success depends on the running value (``if(current < 3, current + a, null)``) decides with it which
+delivery of an order counts.  Such an indicator is read by dimension key: an order counts once over all slices of its
+key.  Keys that have no order delivered into two slices are read slice by slice all the same.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from functools import partial
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tallyline.functions import slices
-from tallyline.functions.script import CURRENT, FOLDS, Path, Script
-from tallyline.functions.text import choose
-from tallyline.operators.accumulate import first_success
-from tallyline.operators.evaluate import route_and_evaluate
-from tallyline.operators.route import OVERRIDDEN, input_columns, join_definitions, may_override
-from tallyline.session import new_run_dir, null_on_error, stored
+from tallyline.functions.script import FOLDS
+from tallyline.functions.step import Step
+from tallyline.operators.accumulate import IDENTITY, delivery_order, first_success
+from tallyline.operators.evaluate import argument_columns, route_and_evaluate
+from tallyline.operators.route import OVERRIDDEN, join_definitions, may_override
+from tallyline.session import stored
 from tallyline.sources.definitions import DefinitionSet
 
 #: Arrival numbers per segment of a scan.
 SEGMENT = 1_000_000
-#: Orders of one slice folded per round by a general script.
-ROUND = 4096
+#: Orders of one slice that an affine script takes in one part.
+PART = 65_536
 
 SLICE = ("ref_ord", "dimension_key", "slice_ts")
-GENERAL, SUM, MAX, MIN, LAST, AFFINE = range(len(FOLDS))
+GENERAL, SUM, MAX, MIN, LAST, AFFINE, ORDERED = range(len(FOLDS))
 _RESULT = ("ref_name", "dimension_key", "slice_ts", "order_id", "arrival_seq", "slice_key", "running_value")
+#: What a fold reads of a counted order, besides its identity.
+CARRIED = ("operand", "factor", "own_current", OVERRIDDEN)
 
 
 def running(
@@ -69,41 +74,87 @@ def running(
 
 
 def running_slice_values(
-    orders: DataFrame, definitions: DefinitionSet, segment: int = SEGMENT, round_size: int = ROUND
+    orders: DataFrame, definitions: DefinitionSet, segment: int = SEGMENT, part: int = PART
 ) -> DataFrame:
     """The value of a slice after each counted order, in arrival order.
 
-    Building this runs jobs: the counted orders are stored, as the scans read them twice, and a general
-    fold takes a number of rounds that depends on the data.
+    Scans read the counted orders twice, so building this stores them first; scripts that are read order by order
+    need no job before the one that reads the result.
     """
+    check_steps(definitions)
     evaluated = route_and_evaluate(orders, definitions, folds=True)
-    general = _has_general(definitions)
-    general_inputs = tuple(input_columns(definitions).values()) if general else ()
-    winners = first_success(evaluated, definitions, carry=("operand", OVERRIDDEN, *general_inputs))
-    facts = definitions.table.select("def_ord", "ref_name", "slice_seconds", "fold", "script_id")
-    rows = stored(join_definitions(winners, facts, "def_ord", definitions), "counted")
-    overrides = may_override(orders, definitions)
-    scanned = _scan(rows.where(~F.col("fold").isin(GENERAL, AFFINE)), definitions, segment, overrides)
-    if any(s.fold == "affine" for s in definitions.scripts if s.runs):
-        affine = _affine(rows.where(F.col("fold") == AFFINE), definitions, segment, round_size)
-        scanned = scanned.unionByName(affine)
-    if not general:
-        return scanned
-    return scanned.unionByName(_rounds(rows.where(F.col("fold") == GENERAL), definitions, segment, round_size))
-
-
-def _has_general(definitions: DefinitionSet) -> bool:
-    kinds = {s.fold for s in definitions.scripts if s.runs}
-    return "general" in kinds or (definitions.repeated_refs and len(kinds) > 1)
-
-
-def _result(rows: DataFrame) -> DataFrame:
+    arguments = argument_columns(definitions)
+    kinds = definitions.fold_kinds
+    results = []
+    if kinds - {"ordered"}:
+        settled = evaluated.where(F.col("fold") != ORDERED) if "ordered" in kinds else evaluated
+        winners = first_success(settled, definitions, carry=(*CARRIED, *arguments))
+        results = counted_values(with_facts(winners, definitions), definitions, may_override(orders, definitions), segment, part)
+    if "ordered" in kinds:
+        results.append(_in_order(evaluated.where(F.col("fold") == ORDERED), definitions))
+    return _result(union(results), definitions)
+
+
+def check_steps(definitions: DefinitionSet) -> None:
+    """Scripts that are read order by order need a step."""
+    if definitions.fold_kinds & {"general", "ordered"}:
+        missing = sorted({f"{s.text} ({s.no_step})" for s in definitions.scripts if s.runs and s.step is None})
+        if missing:
+            raise ValueError(f"these scripts cannot be applied order by order: {missing}")
+
+
+def with_facts(winners: DataFrame, definitions: DefinitionSet) -> DataFrame:
+    facts = definitions.table.select("def_ord", "fold", "script_id")
+    return join_definitions(winners, facts, "def_ord", definitions)
+
+
+def counted_values(
+    rows: DataFrame, definitions: DefinitionSet, overrides: bool, segment: int = SEGMENT, part: int = PART
+) -> list[DataFrame]:
+    """Running values of counted orders, one frame for each way they are made.
+
+    A column ``start`` holds what the slice read before these orders; without it all slices start at 0.
+    """
+    kinds = definitions.fold_kinds - {"ordered"}
+    if "start" not in rows.columns:
+        rows = rows.withColumn("start", F.lit(0.0))
+    scans = kinds - {"general", "affine"}
+    if scans or "affine" in kinds:
+        rows = stored(rows, "counted")
+    results = []
+    if scans:
+        chosen = rows.where(~F.col("fold").isin(GENERAL, AFFINE)) if kinds - scans else rows
+        results.append(_scan(chosen, scans, segment, overrides))
+    if "affine" in kinds:
+        results.append(_affine(rows.where(F.col("fold") == AFFINE), segment, part))
+    if "general" in kinds:
+        chosen = rows.where(F.col("fold") == GENERAL) if kinds - {"general"} else rows
+        results.append(_read(chosen, SLICE, ("arrival_seq",), definitions))
+    return results
+
+
+_VALUE = ("def_ord", "dimension_key", "slice_ts", "order_id", "arrival_seq", "running_value")
+
+
+def union(results: Sequence[DataFrame]) -> DataFrame:
+    found = results[0]
+    for other in results[1:]:
+        found = found.unionByName(other)
+    return found
+
+
+def _result(values: DataFrame, definitions: DefinitionSet) -> DataFrame:
+    names = definitions.table.select("def_ord", "ref_name", "slice_seconds")
+    rows = join_definitions(values, names, "def_ord", definitions)
     name = slices.granularity_name(F.col("slice_seconds"))
     key = slices.slice_key(F.col("ref_name"), F.col("dimension_key"), name, F.col("slice_ts"))
     return rows.withColumn("slice_key", key).select(*_RESULT)
 
 
-def _scan(rows: DataFrame, definitions: DefinitionSet, segment: int, overrides: bool) -> DataFrame:
+# ---------------------------------------------------------------- scans
+
+
+def _scan(rows: DataFrame, kinds: frozenset[str], segment: int, overrides: bool) -> DataFrame:
     # An order that brings its own `current` does not build on the slice: a new epoch starts with it.
     group = list(SLICE)
     if overrides:
@@ -111,7 +162,6 @@ def _scan(rows: DataFrame, definitions: DefinitionSet, segment: int, overrides:
         group.append("epoch")
     else:
         rows = rows.withColumn("epoch", F.lit(0).cast("bigint"))
-    kinds = {s.fold for s in definitions.scripts if s.runs}
     # The order that starts an epoch brings its whole increment, not only its operand.
     step = F.when(F.col(OVERRIDDEN), F.col("increment")).otherwise(F.col("operand"))
     totals = {
@@ -123,133 +173,193 @@ def _scan(rows: DataFrame, definitions: DefinitionSet, segment: int, overrides:
     used = {name: totals[name] for kind, name in wanted.items() if kind in kinds}
     if used:
         rows = running(rows, group, used, segment)
-    start = F.when(F.col("epoch") == 0, F.lit(0.0))
+    start = F.when(F.col("epoch") == 0, F.col("start"))
     value = F.when(F.col("fold") == LAST, F.col("increment"))
     if "total" in used:
-        value = value.when(F.col("fold") == SUM, F.col("total"))
+        value = value.when(F.col("fold") == SUM, F.coalesce(start, F.lit(0.0)) + F.col("total"))
     if "highest" in used:
         value = value.when(F.col("fold") == MAX, F.greatest(start, "highest"))
     if "lowest" in used:
         value = value.when(F.col("fold") == MIN, F.least(start, "lowest"))
-    return _result(rows.withColumn("running_value", value))
-
-
-# ---------------------------------------------------------------- affine scripts
+    return rows.withColumn("running_value", value).select(*_VALUE)
 
 
-def _starts(rows: pd.DataFrame) -> pd.DataFrame:
-    """The value each segment of a slice starts from: one step for each segment, not for each order."""
-    rows = rows.sort_values("part")
-    starts, value = [], 0.0
-    for a, b in zip(rows["a"], rows["b"]):
-        starts.append(value)
-        value = a * value + b
-    return rows[[*SLICE, "part"]].assign(start=starts)
+# ---------------------------------------------------------------- order by order
 
+_Carry = Callable[[pa.RecordBatch], tuple[np.ndarray, list]]
 
-def _affine(rows: DataFrame, definitions: DefinitionSet, segment: int, size: int) -> DataFrame:
-    """Running values of affine scripts, in segments of a bounded number of orders."""
-    factors = [(n, F.lit(s.factor)) for n, s in enumerate(definitions.scripts) if s.factor is not None]
-    factor = choose(F.col("script_id"), factors, F.lit(None).cast("double"))
-    # An order that brings its own `current` does not build on the slice.
-    a = F.when(F.col(OVERRIDDEN), F.lit(0.0)).otherwise(factor)
-    b = F.when(F.col(OVERRIDDEN), F.col("increment")).otherwise(F.col("operand"))
-    numbered = running(rows.withColumns({"a": a, "b": b}), SLICE, {"place": ("sum", F.lit(1).cast("bigint"))}, segment)
-    item = ("place", "a", "b", "order_id", "arrival_seq", "ref_name", "slice_seconds")
-    part = F.call_function("div", F.col("place") - 1, F.lit(size)).alias("part")
-    items = F.array_sort(F.collect_list(F.struct(*item))).alias("items")
-    parts = stored(numbered.groupBy(*SLICE, part).agg(items), "segments")
-    one = F.struct(F.lit(1.0).alias("a"), F.lit(0.0).alias("b"))
-    whole = F.aggregate(
-        "items", one, lambda s, x: F.struct((s["a"] * x["a"]).alias("a"), (s["b"] * x["a"] + x["b"]).alias("b"))
-    )
-    steps = parts.select(*SLICE, "part", whole.alias("whole")).select(*SLICE, "part", "whole.a", "whole.b")
-    schema = "ref_ord long, dimension_key string, slice_ts long, part long, start double"
-    starts = steps.groupBy(*SLICE).applyInPandas(_starts, schema)
-    begun = F.struct(F.col("start").alias("value"), F.array().cast("array<double>").alias("readings"))
-
-    def step(s: Column, x: Column) -> Column:
-        value = s["value"] * x["a"] + x["b"]
-        return F.struct(value.alias("value"), F.concat(s["readings"], F.array(value)).alias("readings"))
 
-    readings = F.aggregate("items", begun, step, lambda s: s["readings"])
-    each = parts.join(starts, [*SLICE, "part"]).select(*SLICE, F.explode(F.arrays_zip("items", readings.alias("readings"))).alias("e"))
-    return _result(each.select(*SLICE, "e.items.*", F.col("e.readings").alias("running_value")))
+def _changes(part: pa.RecordBatch, unit: Sequence[str], last: list | None) -> tuple[list[bool], list]:
+    """Where a row belongs to another unit than the row before it, and the last row's unit."""
+    new = np.zeros(part.num_rows, bool)
+    end = []
+    for i, name in enumerate(unit):
+        codes = part.column(name).dictionary_encode(null_encoding="encode")
+        numbers = codes.indices.to_numpy(zero_copy_only=False)
+        new[1:] |= numbers[1:] != numbers[:-1]
+        new[0] |= last is None or codes[0].as_py() != last[i]
+        end.append(codes[part.num_rows - 1].as_py())
+    return new.tolist(), end
 
 
-# ---------------------------------------------------------------- general scripts
+def _carried(
+    parts: Iterator[pa.RecordBatch], unit: Sequence[str], steps: Mapping[int, Step], arguments: Sequence[str], once: bool
+) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by unit and arrival, with the value after each order; rows that do not count are left out.
 
-
-def _apply(script: Script, names: Mapping[tuple[Path, str], str]) -> str:
-    """The script as SQL over one order ``x`` and the running value ``acc.value``.
-
-    Each name the script reads becomes a lambda variable of that name.
+    What is held is the value of each slice of one unit and, with ``once``, the counted orders that come again.
     """
-    sources: dict[str, list[tuple[Path, str]]] = {}
-    for path, kind in script.inputs.items():
-        sources.setdefault(path[0], []).append((path, f"x.`{names[path, kind]}`"))
-    body = f"({script.text})"
-    for root, reads in sources.items():
-        if len(reads[0][0]) > 1:
-            value = _struct([(path[1:], source) for path, source in reads])
-        elif root == CURRENT:
-            value = f"IF(x.`{OVERRIDDEN}`, {reads[0][1]}, acc.value)"
-        else:
-            value = reads[0][1]
-        quoted = root.replace("`", "``")
-        body = f"transform(array({value}), `{quoted}` -> {body})[0]"
-    return body
-
-
-def _struct(reads: list[tuple[Path, str]]) -> str:
-    parts = []
-    for root in dict.fromkeys(path[0] for path, _ in reads):
-        below = [(path[1:], source) for path, source in reads if path[0] == root]
-        value = below[0][1] if not below[0][0] else _struct(below)
-        parts.append(f"'{root}', {value}")
-    return f"named_struct({', '.join(parts)})"
-
-
-def _fold_sql(definitions: DefinitionSet) -> str:
-    names = input_columns(definitions)
-    cases = " ".join(
-        f"WHEN {n} THEN CAST({_apply(s, names)} AS DOUBLE)" for n, s in enumerate(definitions.scripts) if s.runs
-    )
-    step = f"CASE x.script_id {cases} END"
-    # A script that fails leaves the value as it is and adds no reading.
-    return (
-        "aggregate(items, named_struct('value', coalesce(value, 0D), 'readings', CAST(array() AS array<double>)),"
-        f" (acc, x) -> transform(array({step}), r -> named_struct('value', coalesce(r, acc.value),"
-        " 'readings', concat(acc.readings, array(r))))[0])"
+    functions = {number: step.function() for number, step in steps.items()}
+    last: list | None = None
+    values: dict[int, float] = {}
+    counted: set[str] = set()
+    for part in parts:
+        if not part.num_rows:
+            continue
+        new, last = _changes(part, unit, last)
+        column = {name: part.column(name).to_pylist() for name in ("slice_ts", "script_id", OVERRIDDEN, "own_current", "start")}
+        inputs = zip(*(part.column(a).to_pylist() for a in arguments), strict=True) if arguments else [()] * part.num_rows
+        orders = part.column("order_id").to_pylist() if once else None
+        again = part.column("again").to_pylist() if once else None
+        kept, readings = [], []
+        rows = zip(new, *column.values(), inputs, strict=True)
+        for i, (begins, slice_ts, script, own, current, start, x) in enumerate(rows):
+            if begins:
+                values, counted = {}, set()
+            if once and again[i] is not None and orders[i] in counted:
+                if not again[i]:  # the last delivery: nothing asks for it any more
+                    counted.discard(orders[i])
+                continue
+            before = values.get(slice_ts, start)
+            value = functions[script](current if own else before, x)
+            if value is None:
+                continue
+            values[slice_ts] = value
+            if once and again[i]:
+                counted.add(orders[i])
+            kept.append(i)
+            readings.append(float(value))
+        chosen = part.take(pa.array(kept, pa.int64()))
+        columns = [chosen.column(c) for c in _VALUE[:-1]]
+        yield pa.record_batch([*columns, pa.array(readings, pa.float64())], names=list(_VALUE))
+
+
+_VALUE_TYPES = "def_ord long, dimension_key string, slice_ts long, order_id string, arrival_seq long, running_value double"
+
+
+def _read(rows: DataFrame, unit: Sequence[str], order: Sequence[str], definitions: DefinitionSet, once: bool = False) -> DataFrame:
+    """Apply steps order by order, each unit in one task and in the given order."""
+    arguments = argument_columns(definitions)
+    steps = {n: s.step for n, s in enumerate(definitions.scripts) if s.step}
+    asked = dict.fromkeys((*unit, *order, *_VALUE[:-1], "script_id", OVERRIDDEN, "own_current", "start", *arguments))
+    narrow = rows.select(*asked, *(["again"] if once else []))
+    dealt = narrow.repartition(*unit).sortWithinPartitions(*unit, *order)
+    return dealt.mapInArrow(partial(_carried, unit=unit, steps=steps, arguments=arguments, once=once), _VALUE_TYPES)
+
+
+def _in_order(evaluated: DataFrame, definitions: DefinitionSet) -> DataFrame:
+    """Running values where the value decides which delivery of an order counts.
+
+    Only orders that a key meets more than once have to be remembered, and only until their last delivery.
+    """
+    place = delivery_order(definitions)
+    key = ["ref_ord", "dimension_key"]
+    deliveries = evaluated.groupBy(*IDENTITY).agg(
+        F.count("*").alias("times"), F.max(place).alias("last"), F.min("slice_ts").alias("low"), F.max("slice_ts").alias("high")
     )
+    repeated = deliveries.where("times > 1")
+    # keys in which an order comes into two slices are read as a whole
+    crossing = repeated.where("low < high").select(*key).distinct().withColumn("crosses", F.lit(True))
+    rows = evaluated.where(F.col("script_id").isin([n for n, s in enumerate(definitions.scripts) if s.step]))
+    rows = rows.withColumns({"place": place, "start": F.lit(0.0)})
+    rows = rows.join(repeated.select(*IDENTITY, "last"), list(IDENTITY), "left").join(crossing, key, "left")
+    # null: comes once; true: comes again later
+    rows = rows.withColumn("again", F.when(F.col("last").isNotNull(), F.col("place") < F.col("last")))
+    rows = rows.withColumn("unit", F.when(F.col("crosses").isNull(), F.col("slice_ts")))
+    return _read(rows, (*key, "unit"), ("arrival_seq", "def_ord"), definitions, once=True)
+
+
+# ---------------------------------------------------------------- affine scripts
 
 
-def _rounds(rows: DataFrame, definitions: DefinitionSet, segment: int, round_size: int) -> DataFrame:
-    spark = rows.sparkSession
-    folder = new_run_dir(spark, "fold")
-    numbered = running(rows, SLICE, {"place": ("sum", F.lit(1).cast("bigint"))}, segment)
-    numbered.withColumn("round", F.call_function("div", F.col("place") - 1, F.lit(round_size))).write.partitionBy(
-        "round"
-    ).parquet(f"{folder}/rows")
-    stored = spark.read.parquet(f"{folder}/rows")
-    last = stored.agg(F.max("round")).first()[0]
-    item = ("place", "script_id", "order_id", "arrival_seq", "ref_name", "slice_seconds", OVERRIDDEN)
-    item += tuple(input_columns(definitions).values())
-    fold = _fold_sql(definitions)
-    for number in range(-1 if last is None else last + 1):
-        here = stored.where(F.col("round") == number)
-        items = here.groupBy(*SLICE).agg(F.array_sort(F.collect_list(F.struct(*item))).alias("items"))
-        if number:
-            done = spark.read.parquet(f"{folder}/folded/round={number - 1}").select(*SLICE, "value")
-            items = items.join(done, list(SLICE))
-        else:
-            items = items.withColumn("value", F.lit(0.0))
-        with null_on_error(spark):
-            folded = items.select(*SLICE, "items", F.expr(fold).alias("f"))
-        folded.select(*SLICE, "items", "f.value", "f.readings").write.parquet(f"{folder}/folded/round={number}")
-    if last is None:
-        return _result(stored.withColumn("running_value", F.lit(0.0)))
-    folded = spark.read.parquet(f"{folder}/folded")
-    each = folded.select(*SLICE, F.explode(F.arrays_zip("items", "readings")).alias("e"))
-    flat = each.select(*SLICE, "e.items.*", F.col("e.readings").alias("running_value"))
-    return _result(flat.where(F.col("running_value").isNotNull()))
+def _affine(rows: DataFrame, segment: int, size: int) -> DataFrame:
+    """Running values of affine scripts.  Slices of more than ``size`` orders are cut into parts of that size."""
+    # An order that brings its own `current` does not build on the slice.
+    a = F.when(F.col(OVERRIDDEN), F.lit(0.0)).otherwise(F.col("factor"))
+    b = F.when(F.col(OVERRIDDEN), F.col("increment")).otherwise(F.col("operand"))
+    steps = rows.withColumns({"a": a, "b": b}).select(*_VALUE[:-1], "ref_ord", "a", "b", "start")
+    long = steps.groupBy(*SLICE).count().where(F.col("count") > size).select(*SLICE)
+    numbered = running(steps.join(long, list(SLICE), "left_semi"), SLICE, {"nth": ("sum", F.lit(1).cast("bigint"))}, segment)
+    parts = numbered.withColumn("part", F.call_function("div", F.col("nth") - 1, F.lit(size)))
+    # one row for each part of a long slice, then what each part starts from
+    cell = [*SLICE, "part"]
+    whole = _dealt(parts, cell, ("arrival_seq",), _composed, _STEP)
+    starts = _dealt(whole, SLICE, ("part",), _begun, "ref_ord long, dimension_key string, slice_ts long, part long, begin double")
+    short = steps.join(long, list(SLICE), "left_anti").withColumn("part", F.lit(0).cast("bigint"))
+    placed = parts.drop("start").join(starts.withColumnRenamed("begin", "start"), cell)
+    every = short.unionByName(placed.select(*short.columns))
+    return _dealt(every, cell, ("arrival_seq",), _affine_values, _VALUE_TYPES)
+
+
+_STEP = "ref_ord long, dimension_key string, slice_ts long, part long, a double, b double, start double"
+
+
+def _dealt(rows: DataFrame, unit: Sequence[str], order: Sequence[str], work: Callable, shape: str) -> DataFrame:
+    """Each unit in one task, in order."""
+    return rows.repartition(*unit).sortWithinPartitions(*unit, *order).mapInArrow(partial(work, unit=tuple(unit)), shape)
+
+
+def _composed(parts: Iterator[pa.RecordBatch], unit: Sequence[str]) -> Iterator[pa.RecordBatch]:
+    """One affine step for each unit: its orders applied one after another."""
+    last, row, a, b = None, None, 1.0, 0.0
+    for part in parts:
+        if not part.num_rows:
+            continue
+        new, last = _changes(part, unit, last)
+        done = []
+        for i, (begins, x, y) in enumerate(zip(new, part.column("a").to_pylist(), part.column("b").to_pylist(), strict=True)):
+            if begins:
+                if row is not None:
+                    done.append((*row, a, b))
+                row, a, b = (*(part.column(c)[i].as_py() for c in (*unit, "start")),), 1.0, 0.0
+            a, b = a * x, b * x + y
+        yield _steps(done, unit)
+    yield _steps([(*row, a, b)] if row is not None else [], unit)
+
+
+def _steps(rows: list[tuple], unit: Sequence[str]) -> pa.RecordBatch:
+    names = [*unit, "start", "a", "b"]
+    table = {n: [r[i] for r in rows] for i, n in enumerate(names)}
+    types = {"dimension_key": pa.string(), "start": pa.float64(), "a": pa.float64(), "b": pa.float64()}
+    order = [*unit, "a", "b", "start"]
+    return pa.record_batch([pa.array(table[n], types.get(n, pa.int64())) for n in order], names=order)
+
+
+def _begun(parts: Iterator[pa.RecordBatch], unit: Sequence[str]) -> Iterator[pa.RecordBatch]:
+    """The value that each part of a slice starts from."""
+    last, value = None, 0.0
+    for part in parts:
+        if not part.num_rows:
+            continue
+        new, last = _changes(part, unit, last)
+        begins = []
+        for begin, a, b, start in zip(new, *(part.column(c).to_pylist() for c in ("a", "b", "start")), strict=True):
+            value = start if begin else value
+            begins.append(value)
+            value = a * value + b
+        columns = [part.column(c) for c in (*unit, "part")]
+        yield pa.record_batch([*columns, pa.array(begins, pa.float64())], names=[*unit, "part", "begin"])
+
+
+def _affine_values(parts: Iterator[pa.RecordBatch], unit: Sequence[str]) -> Iterator[pa.RecordBatch]:
+    last, value = None, 0.0
+    for part in parts:
+        if not part.num_rows:
+            continue
+        new, last = _changes(part, unit, last)
+        readings = []
+        for begin, a, b, start in zip(new, *(part.column(c).to_pylist() for c in ("a", "b", "start")), strict=True):
+            value = a * (start if begin else value) + b
+            readings.append(value)
+        columns = [part.column(c) for c in _VALUE[:-1]]
+        yield pa.record_batch([*columns, pa.array(readings, pa.float64())], names=list(_VALUE))

@@ -20,6 +20,8 @@ _ROUTED = (
     "slice_seconds",
     "window_slices",
     "script_id",
+    "params",
+    "slots",
     "fold",
     "n_dims",
 )
@@ -55,9 +57,8 @@ def _input_value(orders: DataFrame, path: Path, wanted: str) -> Column:
 
 
 def input_columns(definitions: DefinitionSet) -> dict[tuple[Path, str], str]:
-    """Column name for every distinct (name, type) that a script reads."""
-    wanted = dict.fromkeys((p, k) for s in definitions.scripts if s.runs for p, k in s.inputs.items())
-    return {pair: f"{RESERVED}in_{n}" for n, pair in enumerate(wanted)}
+    """Column name for every distinct (name, type) that a script reads, in the order of their numbers."""
+    return {pair: f"{RESERVED}in_{n}" for n, pair in enumerate(definitions.inputs)}
 
 
 OVERRIDDEN = f"{RESERVED}overridden"
@@ -109,7 +110,7 @@ def pair_by_event(orders: DataFrame, definitions: DefinitionSet) -> DataFrame:
         # Known codes as a plain filter, which reaches a columnar scan.
         wanted = orders.where(code.isin(*known)) if known else orders.where(F.lit(False))
         keyed = _bind_inputs(wanted.where(~is_blank(code)), definitions).withColumn("route_key", typed_key)
-    table = definitions.table.withColumn("route_key", F.explode("route_keys")).drop("route_keys")
+    table = definitions.table.withColumn("route_key", F.explode("route_keys")).drop("route_keys", "acc_script")
     return join_definitions(keyed, table, "route_key", definitions).drop("route_key")
 
 

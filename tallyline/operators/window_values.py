@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tallyline.functions import slices
 from tallyline.sources.definitions import DefinitionSet
 
-#: Up to this scale a slice number times the scale fits a long for every timestamp.
-_SCALE_LIMIT = 2**15
+#: A slice's place in windows of its indicator: its number over the window's length, to 12 digits.
+_PLACE = "decimal(32,12)"
+#: Just under one window: more than any window of 2^31 slices or less reaches back, less than the next slice.
+_REACH = "0.999999999767"
 
 
 def _with_windows(totals: DataFrame, definitions: DefinitionSet) -> DataFrame:
@@ -53,26 +55,17 @@ def value_at(totals: DataFrame, definitions: DefinitionSet, now_second: int, kee
 def value_at_every_slice(totals: DataFrame, definitions: DefinitionSet) -> DataFrame:
     """Window value of every slice, taken at that slice.
 
-    Slice numbers are scaled to a common window length, so one window expression serves
-    definitions with different windows.
+    Slice numbers are divided by the window's length, so that every window is one long whatever its definition: one
+    window expression reads the totals once for any mix of lengths.
     """
-    rows = _with_windows(totals, definitions)
-    number = F.call_function("div", F.col("slice_ts"), F.col("slice_seconds"))
-    scale = definitions.window_scale
-    if scale <= _SCALE_LIMIT:
-        return _windowed(rows, number * F.call_function("div", F.lit(scale), F.col("window_slices")), scale)
-    parts = [_windowed(rows.where(F.col("window_slices") == n), number, n) for n in definitions.window_sizes]
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
-
-
-def _windowed(rows: DataFrame, place: Column, length: int) -> DataFrame:
-    spec = Window.partitionBy("ref_name", "dimension_key", "granularity").orderBy(place).rangeBetween(1 - length, 0)
-    return rows.select(
-        "ref_name", "dimension_key", "granularity", "slice_ts", F.sum("value").over(spec).alias("window_value")
+    number = F.call_function("div", F.col("slice_ts"), F.col("slice_seconds")).cast("decimal(20,0)")
+    place = (number / F.col("window_slices").cast("decimal(11,0)")).cast(_PLACE)
+    rows = _with_windows(totals, definitions).withColumn("place", place)
+    value = F.expr(
+        "sum(value) OVER (PARTITION BY ref_name, dimension_key, granularity ORDER BY place"
+        f" RANGE BETWEEN CAST({_REACH} AS {_PLACE}) PRECEDING AND CURRENT ROW)"
     )
+    return rows.select("ref_name", "dimension_key", "granularity", "slice_ts", value.alias("window_value"))
 
 
 def retained(updates: DataFrame, now_second: int) -> DataFrame:

@@ -71,10 +71,28 @@ SAME_NAME = (
     },
 )
 
-#: More scripts than Spark compiles into one method.
+#: Many scripts of two forms.
 MANY_SCRIPTS = tuple(
-    {"refName": f"scaled_{n}", "eventTypeCodes": ["purchase"], "dimensions": ["kind"], "accScript": f"current + amount * {n}"}
-    for n in range(1, 101)
+    {
+        "refName": f"scaled_{n}",
+        "eventTypeCodes": ["purchase"],
+        "dimensions": ["kind"],
+        "accScript": f"current + amount * {n}" if n % 2 else f"current + if(k > {n % 100}, amount, 0.5)",
+    }
+    for n in range(1, 2501)
+)
+
+#: Many running values: decays, and values that start again above a bound.
+MANY_FOLDS = tuple(
+    {
+        "refName": f"fold_{n}",
+        "eventTypeCodes": ["error"],
+        "dimensions": ["kind"],
+        "accScript": f"current * 0.{n % 9 + 1} + {('amount', 'k')[n % 2]}"
+        if n < 150
+        else f"if(current > {n}, {('amount', 'k')[n % 2]}, current + 1)",
+    }
+    for n in range(300)
 )
 
 EXTREMES = (
@@ -96,6 +114,46 @@ DECAY = (
     },
 )
 
+#: A value that starts again once it passed a bound.
+GENERAL = (
+    {
+        "refName": "restarts",
+        "eventTypeCodes": ["purchase", "error"],
+        "dimensions": ["userId"],
+        "accScript": "if(current > 100, amount, current + amount)",
+    },
+    {
+        "refName": "restarts_overall",
+        "eventTypeCodes": ["purchase"],
+        "sliceGranularity": "HOUR",
+        "accScript": "if(current > 500, amount, current + amount)",
+    },
+)
+
+#: A slice takes so many orders and no more.
+CAPPED = (
+    {
+        "refName": "first_five",
+        "eventTypeCodes": ["purchase", "click"],
+        "sliceGranularity": "HOUR",
+        "accScript": "if(current < 5, current + 1, null)",
+    },
+    {
+        "refName": "below_300",
+        "eventTypeCodes": ["purchase", "view"],
+        "dimensions": ["kind"],
+        "sliceGranularity": "HOUR",
+        "accScript": "case when current + amount <= 300 then current + amount end",
+    },
+)
+
+#: A definition, one that comes later, and the first with another script.
+LIVE = (
+    {"refName": "live", "eventTypeCodes": ["purchase", "click"], "dimensions": ["userId"]},
+    {"refName": "later", "eventTypeCodes": ["purchase"], "dimensions": ["userId"], "accScript": "current + amount"},
+    {"refName": "live", "eventTypeCodes": ["click"], "dimensions": ["userId"], "accScript": "current + amount + 1"},
+)
+
 TYPED = (
     {
         "refName": "large_buys",

@@ -33,9 +33,10 @@ from tallyline.sources.definitions import (
 )
 from tallyline.sources.orders import read_message_files
 from tallyline.streaming.dedupe import output_mode, streaming_updates
-from tallyline.streaming.fold import streaming_running_values
-from tallyline.streaming.job import Job, dead_letters_of, parquet_sink
+from tallyline.streaming.fold import read_running_values, start_running_values
+from tallyline.streaming.job import Job, dead_letters_of, parquet_batches, parquet_sink
 from tallyline.streaming.sinks import kafka_records, read_parquet, to_parquet
+from tallyline.streaming.totals import read_slice_totals, start_slice_totals
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -239,6 +240,14 @@ def many_scripts_updates(spark: SparkSession, folder: str) -> DataFrame:
     return totals.select("ref_name", _rounded("total"), "orders")
 
 
+def many_scripts_fold(spark: SparkSession, folder: str) -> DataFrame:
+    """The last running value of every one of many scripts, over factors, bounds and fields of their own."""
+    values = running_slice_values(_event_orders(spark, folder), _definitions(spark, samples.MANY_FOLDS))
+    last = values.groupBy("ref_name", "dimension_key", "slice_ts").agg(F.max_by("running_value", "arrival_seq").alias("value"))
+    totals = last.groupBy("ref_name").agg(F.sum("value").alias("total"), F.count("*").alias("slices"))
+    return totals.select("ref_name", F.round(F.col("total"), 3).alias("total"), "slices")
+
+
 def slice_retention(spark: SparkSession, folder: str) -> DataFrame:
     kept = window_values.retained(_event_updates(spark, folder), NOW_SECOND)
     return kept.select("slice_key", "order_id", "ttl_seconds")
@@ -377,10 +386,20 @@ def running_slice_fold(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def running_slice_decay(spark: SparkSession, folder: str) -> DataFrame:
-    """A script that is neither a sum nor an extreme: folded order by order."""
+    """An affine script: its orders compose, so long slices are read in parts."""
     return _running(spark, _event_orders(spark, folder), _definitions(spark, samples.DECAY))
 
 
+def running_slice_general(spark: SparkSession, folder: str) -> DataFrame:
+    """A script that can only be applied order by order."""
+    return _running(spark, feeds.redelivered_orders(_events(spark, folder)), _definitions(spark, samples.GENERAL))
+
+
+def running_slice_capped(spark: SparkSession, folder: str) -> DataFrame:
+    """An order that comes when its slice is full fails, and counts if it comes again in another slice."""
+    return _running(spark, feeds.redelivered_orders(_events(spark, folder)), _definitions(spark, samples.CAPPED))
+
+
 # ---------------------------------------------------------------- streams
 
 
@@ -405,13 +424,25 @@ def stream_slice_updates(spark: SparkSession, folder: str) -> DataFrame:
     return _run(updates, f"{run}/out", f"{run}/checkpoint", output_mode(options))
 
 
-def stream_running_value(spark: SparkSession, folder: str) -> DataFrame:
+def _stream_running(spark: SparkSession, orders: DataFrame, definitions: DefinitionSet) -> DataFrame:
     run = new_run_dir(prepare_streaming(spark), "stream")
-    orders = feeds.event_orders(_event_stream(spark, folder))
-    rows = [*samples.EXTREMES[:1], *(r for r in samples.EVENTS if r["refName"] == "buy_amount_7d")]
-    values = streaming_running_values(orders, _definitions(spark, rows))
-    written = _run(values, f"{run}/out", f"{run}/checkpoint", "append")
-    return written.select("slice_key", "order_id", _settled("running_value"))
+    for query in start_running_values(orders, definitions, f"{run}/out", f"{run}/checkpoint", availableNow=True):
+        query.awaitTermination()
+    return read_running_values(spark, f"{run}/out").select("slice_key", "order_id", _settled("running_value"))
+
+
+def stream_running_value(spark: SparkSession, folder: str) -> DataFrame:
+    rows = [*samples.EXTREMES, *(r for r in samples.EVENTS if r["refName"] == "buy_amount_7d")]
+    return _stream_running(spark, feeds.event_orders(_event_stream(spark, folder)), _definitions(spark, rows))
+
+
+def stream_running_decay(spark: SparkSession, folder: str) -> DataFrame:
+    return _stream_running(spark, feeds.event_orders(_event_stream(spark, folder)), _definitions(spark, samples.DECAY))
+
+
+def stream_running_general(spark: SparkSession, folder: str) -> DataFrame:
+    rows = [*samples.GENERAL, *samples.CAPPED]
+    return _stream_running(spark, feeds.redelivered_orders(_event_stream(spark, folder)), _definitions(spark, rows))
 
 
 def stream_dead_letters(spark: SparkSession, folder: str) -> DataFrame:
@@ -458,6 +489,82 @@ def _restarted(spark: SparkSession, folder: str, before: Iterable[Mapping], afte
     return read_parquet(spark, f"{run}/out", SLICE_UPDATE)
 
 
+def stream_job_outputs(spark: SparkSession, folder: str) -> DataFrame:
+    """Updates, dead letters, script rejects and counters of one run, from one reading of the messages."""
+    run = new_run_dir(prepare_streaming(spark), "job")
+    rows = [r for r in samples.EVENTS if r["refName"] in ("buy_amount_1d", "act_cnt_1d", "fails")]
+    job = Job(
+        spark=spark,
+        read=lambda: read_message_files(spark, f"{run}/messages"),
+        feed=DefinitionFeed(spark, lambda: definitions_from_rows(spark, rows)),
+        options=JobOptions(),
+        checkpoint=f"{run}/checkpoint",
+        updates=parquet_sink(f"{run}/updates"),
+        letters=parquet_batches(f"{run}/letters"),
+        rejects=parquet_batches(f"{run}/rejects"),
+        counters=parquet_batches(f"{run}/counters"),
+        available_now=True,
+    )
+    feeds.event_messages(_events(spark, folder)).write.parquet(f"{run}/messages")
+    job.run_available()
+
+    def output(name: str, kind: Column, about: Column, number: Column) -> DataFrame:
+        found = spark.read.parquet(f"{run}/{name}").groupBy(kind.alias("kind"), about.alias("about"))
+        return found.agg(F.sum(number).alias("number")).withColumn("output", F.lit(name))
+
+    one = F.lit(1).cast("bigint")
+    return (
+        output("updates", F.col("ref_name"), F.col("slice_key"), one)
+        .unionByName(output("letters", F.lit("letter"), F.col("fail_reason"), one))
+        .unionByName(output("rejects", F.col("ref_name"), F.col("reason"), one))
+        .unionByName(output("counters", F.lit("counter"), F.col("reason"), F.col("count")))
+    )
+
+
+def stream_definitions_live(spark: SparkSession, folder: str) -> DataFrame:
+    """Definitions that change twice while the job runs: a second one comes, then the first takes another script.
+
+    Every micro-batch is one file of messages, and nothing is restarted between them.
+    """
+    run = new_run_dir(prepare_streaming(spark), "live")
+    lists = [samples.LIVE[:1], samples.LIVE[:2], samples.LIVE[1:]]
+    online = list(lists[0])
+    messages = feeds.event_messages(_events(spark, folder))
+    job = Job(
+        spark=spark,
+        read=lambda: read_message_files(spark, f"{run}/messages", files_per_trigger=1),
+        feed=DefinitionFeed(spark, lambda: definitions_from_rows(spark, online)),
+        options=JobOptions(checkpoint_interval_ms=100),
+        checkpoint=f"{run}/checkpoint",
+        updates=parquet_sink(f"{run}/out"),
+    )
+    third = F.col("arrival_seq") % 3
+    messages.where(third == 0).coalesce(1).write.parquet(f"{run}/messages")
+    queries = job.start()
+    try:
+        for n, rows in enumerate(lists):
+            if n:
+                online[:] = rows
+                job.refresh()
+                messages.where(third == n).coalesce(1).write.mode("append").parquet(f"{run}/messages")
+            for query in queries:
+                query.processAllAvailable()
+    finally:
+        for query in queries:
+            query.stop()
+    return read_parquet(spark, f"{run}/out", SLICE_UPDATE)
+
+
+def stream_slice_totals(spark: SparkSession, folder: str) -> DataFrame:
+    """Slice totals kept up to date by a stream of redelivered orders."""
+    run = new_run_dir(prepare_streaming(spark), "stream")
+    orders = feeds.redelivered_orders(_event_stream(spark, folder))
+    definitions = _definitions(spark, samples.EVENTS)
+    start_slice_totals(orders, definitions, f"{run}/out", f"{run}/checkpoint", availableNow=True).awaitTermination()
+    found = read_slice_totals(spark, f"{run}/out")
+    return found.select("ref_name", "dimension_key", "granularity", "slice_ts", _rounded(), "orders")
+
+
 QUERIES: dict[str, Query] = {
     "slice_updates_events": slice_updates_events,
     "slice_updates_orders": slice_updates_orders,
@@ -494,9 +601,17 @@ QUERIES: dict[str, Query] = {
     "running_slice_value": running_slice_value,
     "running_slice_fold": running_slice_fold,
     "running_slice_decay": running_slice_decay,
+    "running_slice_general": running_slice_general,
+    "running_slice_capped": running_slice_capped,
+    "many_scripts_fold": many_scripts_fold,
     "stream_slice_updates": stream_slice_updates,
     "stream_running_value": stream_running_value,
+    "stream_running_decay": stream_running_decay,
+    "stream_running_general": stream_running_general,
     "stream_dead_letters": stream_dead_letters,
+    "stream_job_outputs": stream_job_outputs,
+    "stream_definitions_live": stream_definitions_live,
+    "stream_slice_totals": stream_slice_totals,
     "stream_dedupe_restart": stream_dedupe_restart,
     "stream_restart_shared_name": stream_restart_shared_name,
 }

@@ -79,6 +79,10 @@ _SCRIPTS = {
     "amount + current": "coalesce(own_current, 0.0) + amount",
     "greatest(current, amount)": "greatest(0.0, amount)",
     "current * 0.5 + amount": "amount",
+    "current + amount + 1": "coalesce(own_current, 0.0) + amount + 1",
+    "current + missingVar": "NULL",
+    "if(current > 100, amount, current + amount)": "amount",
+    "if(current > 500, amount, current + amount)": "amount",
 }
 
 
@@ -147,7 +151,48 @@ def _running(source: str, rows: Iterable[Mapping], value: str) -> str:
 SELECT {_KEY} AS slice_key, order_id, round({value.format(window=window)} + 1e-7, 4) AS running_value FROM firsts"""
 
 
-_STREAM_RUNNING = [*samples.EXTREMES[:1], *_named("buy_amount_7d")]
+_DECAYED = "list_reduce(list(inc) OVER {window}, lambda a, b: a * 0.5 + b)"
+_RESTARTED = (
+    "list_reduce(list(inc) OVER {window}, lambda a, b: CASE WHEN a > CASE ref WHEN 'restarts' THEN 100 ELSE 500 END"
+    " THEN b ELSE a + b END)"
+)
+
+
+def _order_by_order(source: str, rows: Iterable[Mapping]) -> str:
+    """Deliveries of each indicator one after another: what the slices hold, and which orders counted."""
+    return f"""WITH RECURSIVE {_routed(source, rows)},
+line AS (SELECT *, row_number() OVER (PARTITION BY ref, dim ORDER BY seq, ord) AS nth FROM routed),
+fold AS (
+  SELECT ref, dim, CAST(0 AS BIGINT) AS nth, CAST(MAP {{}} AS MAP(BIGINT, DOUBLE)) AS slices, CAST([] AS VARCHAR[]) AS counted,
+         CAST(NULL AS BIGINT) AS slice_ts, CAST(NULL AS VARCHAR) AS order_id, CAST(NULL AS DOUBLE) AS value
+  FROM (SELECT DISTINCT ref, dim FROM routed)
+  UNION ALL
+  SELECT ref, dim, nth, CASE WHEN value IS NULL THEN slices ELSE map_concat(slices, MAP([slot], [value])) END,
+         CASE WHEN value IS NULL THEN counted ELSE list_append(counted, oid) END, slot, oid, value
+  FROM (
+    SELECT f.ref, f.dim, l.nth, f.slices, f.counted, l.slice_ts AS slot, l.order_id AS oid,
+           CASE WHEN list_contains(f.counted, l.order_id) THEN NULL
+                WHEN f.ref = 'first_five' THEN CASE WHEN coalesce(f.slices[l.slice_ts], 0) < 5 THEN coalesce(f.slices[l.slice_ts], 0) + 1 END
+                WHEN coalesce(f.slices[l.slice_ts], 0) + l.amount <= 300 THEN coalesce(f.slices[l.slice_ts], 0) + l.amount END AS value
+    FROM fold f JOIN line l ON l.ref = f.ref AND l.dim = f.dim AND l.nth = f.nth + 1))
+SELECT 'ind:' || ref || ':' || dim || ':HOUR:' || slice_ts AS slice_key, order_id, round(value + 1e-7, 4) AS running_value
+FROM fold WHERE value IS NOT NULL"""
+
+
+_MANY_FOLDS = f"""WITH RECURSIVE {EVENTS},
+line AS (SELECT *, row_number() OVER (PARTITION BY day ORDER BY seq) AS nth
+         FROM (SELECT seq, amount, CAST(k AS DOUBLE) AS k, (ms // 1000) // 86400 AS day FROM src WHERE code = 'error')),
+fold AS (
+  SELECT n, day, CAST(0 AS BIGINT) AS nth, CAST(0 AS DOUBLE) AS value
+  FROM range({len(samples.MANY_FOLDS)}) AS t(n), (SELECT DISTINCT day FROM line)
+  UNION ALL
+  SELECT n, f.day, l.nth, CASE WHEN n < 150 THEN f.value * ((n % 9 + 1) / 10.0) + CASE n % 2 WHEN 0 THEN amount ELSE k END
+         WHEN f.value > n THEN CASE n % 2 WHEN 0 THEN amount ELSE k END ELSE f.value + 1 END
+  FROM fold f JOIN line l ON l.day = f.day AND l.nth = f.nth + 1)
+SELECT 'fold_' || n AS ref_name, round(sum(value), 3) AS total, count(*) AS slices
+FROM (SELECT n, day, arg_max(value, nth) AS value FROM fold GROUP BY n, day) GROUP BY n"""
+
+_STREAM_RUNNING = [*samples.EXTREMES, *_named("buy_amount_7d")]
 
 _TYPED_REJECTS = """
 SELECT 'large_buys' AS ref_name, user_id AS dimension_key, order_id,
@@ -161,6 +206,31 @@ SELECT 'not_an_expression', user_id, order_id, 'current +', 'does not compile: P
 UNION ALL
 SELECT 'fails', user_id, order_id, 'current + missingVar', 'script returned no number' FROM src WHERE code = 'click'"""
 
+_JOB = _named("buy_amount_1d", "act_cnt_1d", "fails")
+_JOB_OUTPUTS = f"""WITH {_routed(MESSAGES, _JOB)}, {_FIRST},
+reasons AS ({_REASONS}),
+failed AS (SELECT ref, count(*) AS n FROM routed WHERE inc IS NULL GROUP BY ref)
+SELECT 'updates' AS output, ref AS kind, {_KEY} AS about, count(*) AS number FROM firsts GROUP BY ALL
+UNION ALL SELECT 'letters', 'letter', fail_reason, messages FROM reasons
+UNION ALL SELECT 'rejects', ref, 'script returned no number', n FROM failed
+UNION ALL SELECT 'counters', 'counter', reason, number FROM (
+  SELECT 'messages' AS reason, count(*) AS number FROM events
+  UNION ALL SELECT 'routed', count(*) FROM routed
+  UNION ALL SELECT 'script returned no number', sum(n) FROM failed
+  UNION ALL SELECT CASE WHEN starts_with(fail_reason, '反序列化失败') THEN '反序列化失败' ELSE fail_reason END, sum(messages)
+    FROM reasons GROUP BY 1)"""
+
+
+def _live() -> str:
+    """Thirds of the messages under three definition lists; an order counts once under each name."""
+    lists = (samples.LIVE[:1], samples.LIVE[:2], samples.LIVE[1:])
+    parts = []
+    for n, rows in enumerate(lists):
+        third = MESSAGES.replace("FROM events WHERE", f"FROM events WHERE event_id % 3 = {n} AND")
+        parts.append(f"SELECT * FROM (WITH {_routed(third, rows)}, {_FIRST} {_UPDATES})")
+    return " UNION ALL ".join(parts)
+
+
 SQL: dict[str, str] = {
     "slice_updates_events": _updates(EVENTS, samples.EVENTS),
     "slice_updates_orders": _updates(ORDERS, samples.ORDERS, _ORDER_FIELDS),
@@ -214,7 +284,8 @@ FROM totals a JOIN totals b ON a.ref = b.ref AND a.dim = b.dim AND a.gran = b.gr
   AND b.slice_ts BETWEEN a.slice_ts - (a.slices - 1) * a.step AND a.slice_ts
 GROUP BY a.ref, a.dim, a.gran, a.slice_ts""",
     "many_scripts_updates": f"""WITH {EVENTS}
-SELECT 'scaled_' || n AS ref_name, round(sum(amount * n), 4) AS total, count(*) AS orders
+SELECT 'scaled_' || n AS ref_name, round(sum(CASE WHEN n % 2 = 1 THEN amount * n WHEN k > n % 100 THEN amount ELSE 0.5 END), 4) AS total,
+       count(*) AS orders
 FROM src, range(1, {len(samples.MANY_SCRIPTS) + 1}) AS t(n) WHERE code = 'purchase' AND amount IS NOT NULL GROUP BY n""",
     "slice_retention": f"""WITH {_routed(EVENTS, samples.EVENTS)}, {_FIRST}
 SELECT {_KEY} AS slice_key, order_id, step * slices + step AS ttl_seconds
@@ -255,16 +326,25 @@ FROM firsts""",
         REDELIVERED, _named("act_cnt_1d", "buy_amount_7d", "all_cnt_2d"), "sum(inc) OVER {window}"
     ),
     "running_slice_fold": _running(EVENTS, samples.EXTREMES, "max(inc) OVER {window}"),
-    "running_slice_decay": _running(
-        EVENTS, samples.DECAY, "list_reduce(list(inc) OVER {window}, lambda a, b: a * 0.5 + b)"
-    ),
+    "running_slice_decay": _running(EVENTS, samples.DECAY, _DECAYED),
+    "running_slice_general": _running(REDELIVERED, samples.GENERAL, _RESTARTED),
+    "running_slice_capped": _order_by_order(REDELIVERED, samples.CAPPED),
+    "many_scripts_fold": _MANY_FOLDS,
     "stream_slice_updates": _updates(EVENTS, samples.EVENTS),
     "stream_running_value": _running(
         EVENTS,
         _STREAM_RUNNING,
-        "CASE WHEN ref = 'largest' THEN max(inc) OVER {window} ELSE sum(inc) OVER {window} END",
+        "CASE WHEN ref LIKE 'largest%' THEN max(inc) OVER {window} ELSE sum(inc) OVER {window} END",
     ),
+    "stream_running_decay": _running(EVENTS, samples.DECAY, _DECAYED),
+    "stream_running_general": f"""SELECT * FROM ({_running(REDELIVERED, samples.GENERAL, _RESTARTED)})
+UNION ALL SELECT * FROM ({_order_by_order(REDELIVERED, samples.CAPPED)})""",
     "stream_dead_letters": _REASONS,
+    "stream_job_outputs": _JOB_OUTPUTS,
+    "stream_definitions_live": _live(),
+    "stream_slice_totals": f"""WITH {_routed(REDELIVERED, samples.EVENTS)}, {_FIRST}, {_TOTALS}
+SELECT ref AS ref_name, dim AS dimension_key, gran AS granularity, slice_ts, round(value, 4) AS value, n AS orders
+FROM totals""",
     "stream_restart_shared_name": _updates(MESSAGES, samples.SAME_NAME),
     "stream_dedupe_restart": _updates(MESSAGES, _named("act_cnt_1d", "buy_amount_1d", "all_cnt_2d")),
 }

@@ -33,6 +33,28 @@ SLICE_UPDATE = T.StructType(
     ]
 )
 
+#: What one delivery of an order would add, before it is known whether it counts.
+INCREMENT = T.StructType(
+    [
+        *SLICE_UPDATE.fields[:6],
+        T.StructField("slice_seconds", T.LongType()),
+        T.StructField("window_slices", T.IntegerType()),
+        T.StructField("arrival_seq", T.LongType()),
+        T.StructField("def_ord", T.LongType()),
+        T.StructField("event_epoch_ms", T.LongType()),
+    ]
+)
+
+#: How often something happened in a micro-batch, under a version of the definitions.
+COUNTER = T.StructType(
+    [
+        T.StructField("batch", T.LongType()),
+        T.StructField("version", T.LongType()),
+        T.StructField("reason", T.StringType()),
+        T.StructField("count", T.LongType()),
+    ]
+)
+
 # Property names of an order message.
 ORDER_ID = "orderId"
 EVENT_TYPE_CODE = "eventTypeCode"

@@ -63,6 +63,24 @@ def new_run_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def _path(spark: SparkSession, folder: str):
+    """A folder's file system and path, whatever store it is in."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), path
+
+
+def children(spark: SparkSession, folder: str) -> list[str]:
+    """Names of what stands in a folder, in order; none if there is no such folder."""
+    store, path = _path(spark, folder)
+    return sorted(entry.getPath().getName() for entry in store.listStatus(path)) if store.exists(path) else []
+
+
+def remove(spark: SparkSession, folder: str) -> None:
+    """Remove a folder that the engine made."""
+    store, path = _path(spark, folder)
+    store.delete(path, True)
+
+
 def stored(frame: DataFrame, name: str) -> DataFrame:
     """Write a frame to the shared folder and read it back: its lineage ends there."""
     folder = new_run_dir(frame.sparkSession, name)

@@ -4,21 +4,25 @@ from __future__ import annotations
 
 import json
 import logging
-import math
-from collections.abc import Callable, Iterable, Mapping, Sequence
+import time
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from dataclasses import dataclass, replace
-from functools import cached_property
+from functools import cached_property, partial
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tallyline.functions import slices
-from tallyline.functions.script import CURRENT, FOLDS, Script, compile_script
+from tallyline.functions.script import CURRENT, FOLDS, RESERVED, Path, Script, compile_script
+from tallyline.functions.template import Lifted, Shape, keywords_of, lift, name_slot, template_of
 from tallyline.functions.text import as_text
 from tallyline.session import stored
 
 log = logging.getLogger(__name__)
 
 ONLINE = "ONLINE"
+#: What the reason of a refused load begins with.
+REFUSED = "definitions refused: "
 DEFAULT_SCRIPT = "current + 1"
 
 # The built-in definitions used until a definition table was read.
@@ -44,10 +48,10 @@ BOOTSTRAP = (
 #: A definition table up to this size is held as a snapshot and broadcast.
 BROADCAST_ROWS = 20_000
 BROADCAST_BYTES = 32 * 1024 * 1024
+#: Folders of stored definitions, below the shared one.
+RANKS, SNAPSHOT = "definition-ranks", "definitions"
 #: Event codes under which definitions for every event type may be listed one by one.
 LISTED_CODES = 2_000
-#: Distinct scripts, dimension names or window lengths that the driver holds for a plan; more end the load with an error.
-PLAN_NAMES = 100_000
 
 
 # ---------------------------------------------------------------- reading and normalising
@@ -129,10 +133,8 @@ def _is_online(status: Column) -> Column:
 def _finish(rows: DataFrame) -> DataFrame:
     no_names = F.array().cast("array<string>")
     step = slices.step_seconds(F.col("slice_granularity"))
-    # A definition's ordinal is its rank in reading order: it cannot overflow or repeat, and files stand by name.
-    rank = F.row_number().over(Window.orderBy(F.col("def_ord").asc_nulls_last())) - 1
-    return rows.select(
-        rank.cast("bigint").alias("def_ord"),
+    return _ranked(rows).select(
+        F.col("rank").alias("def_ord"),
         "ref_name",
         F.coalesce("event_type_codes", no_names).alias("event_type_codes"),
         F.coalesce("dimensions", no_names).alias("dimensions"),
@@ -144,6 +146,30 @@ def _finish(rows: DataFrame) -> DataFrame:
     )
 
 
+def _ranked(rows: DataFrame) -> DataFrame:
+    """Add ``rank``, a definition's place in reading order: files stand by name, and no number is left out.
+
+    Rows of several scan splits are dealt into ranges of that order and stored, so that both readings below see the
+    same ranges; a row's rank is its place inside its range and the count of all ranges before.
+    """
+    order = F.col("def_ord").asc_nulls_last()
+    place = F.monotonically_increasing_id()
+    if rows.rdd.getNumPartitions() <= 1:
+        return rows.sortWithinPartitions(order).withColumn("rank", place)
+    ordered = rows.repartitionByRange(order).sortWithinPartitions(order)
+    # the upper bits of a place are its range, the lower 33 its number in there
+    ranged = stored(ordered.withColumn("place", place), RANKS)
+    split = F.shiftright("place", 33)
+    before, known = [], 0
+    for number, size in sorted(ranged.groupBy(split).count().collect()):  # one row for each range
+        before.append((number, known))
+        known += size
+    starts = rows.sparkSession.createDataFrame(before, "range bigint, before bigint")
+    inside = F.col("place").bitwiseAND(F.lit((1 << 33) - 1))
+    numbered = ranged.join(F.broadcast(starts), split == F.col("range"))
+    return numbered.withColumn("rank", F.col("before") + inside).drop("place", "range", "before")
+
+
 def read_definitions(spark: SparkSession, path: str, source: str = "json") -> DataFrame:
     """Definitions from a folder of JSON arrays, or from any table format Spark reads."""
     if source == "json":
@@ -155,32 +181,87 @@ def read_definitions(spark: SparkSession, path: str, source: str = "json") -> Da
 
 def definitions_from_rows(spark: SparkSession, rows: Iterable[Mapping]) -> DataFrame:
     """Definitions given in Python, through the same mapping as a JSON document."""
-    return normalise_documents(spark.createDataFrame([(json.dumps(list(rows)),)], "value string"))
+    return normalise_documents(spark.createDataFrame([(json.dumps(list(rows)),)], "value string").coalesce(1))
 
 
 # ---------------------------------------------------------------- the snapshot
 
 
+class _Scripts:
+    """The scripts of a definition list: one template for all of a form, other scripts by themselves."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.keywords = keywords_of(spark)
+        self.scripts: list[Script] = []
+        self.inputs: dict[tuple[Path, str], int] = {}
+        #: Which inputs stand in for a template's names.
+        self.options: dict[str, set[int]] = {}
+        self._numbers: dict[object, int] = {}
+        self._templates: dict[Shape, Script | None] = {}
+
+    def lifted(self, text: str, types: Mapping[str, str]) -> Lifted | None:
+        return lift(text, types, self.keywords)
+
+    def add(self, text: str, types: Mapping[str, str], lifted: Lifted | None) -> tuple[int, Lifted | None]:
+        """The number of a script's expression, and what was lifted out of it if that is a template."""
+        if lifted and lifted.shape not in self._templates:
+            self._templates[lifted.shape] = template_of(self.spark, lifted, text)
+        template = self._templates[lifted.shape] if lifted else None
+        if template is None:
+            lifted = None
+            key: object = (text, tuple(sorted(types.items())))
+        else:
+            key = lifted.shape
+        if key not in self._numbers:
+            self._numbers[key] = len(self.scripts)
+            self.scripts.append(template or compile_script(self.spark, text, types))
+            script = self.scripts[-1]
+            if script.runs:
+                for path, kind in script.inputs.items():
+                    if lifted is None or not path[0].startswith(RESERVED):
+                        self.input(path, kind)
+        return self._numbers[key], lifted
+
+    def input(self, path: Path, kind: str) -> int:
+        return self.inputs.setdefault((path, kind), len(self.inputs))
+
+    def slots(self, shape: Shape, names: Iterable[Path]) -> list[int]:
+        """The inputs that a template's names are, in a definition that uses these."""
+        found = []
+        for i, (path, kind) in enumerate(zip(names, shape.kinds, strict=True)):
+            number = self.input(path, kind)
+            self.options.setdefault(name_slot(i, kind), set()).add(number)
+            found.append(number)
+        return found
+
+
 @dataclass(frozen=True)
 class DefinitionSet:
     """A consistent snapshot of definitions and what a plan needs to know about them.
 
     ``table`` has one row per definition with the columns routing needs.  A snapshot within
     the size bound is broadcast; a larger one is joined by shuffle (see ``operators.route``).
+    ``scripts`` are the distinct forms of script; the numbers and names of a definition's own are in its row.
     """
 
     spark: SparkSession
     table: DataFrame
     size: int
     scripts: tuple[Script, ...]
+    #: What the scripts read, in the order of the numbers that definitions give.
+    inputs: tuple[tuple[Path, str], ...]
+    slot_options: Mapping[str, tuple[int, ...]]
     dimension_names: tuple[str, ...]
     max_dimensions: int
     any_event: bool
     event_codes: tuple[str, ...] | None
     repeated_refs: bool
-    window_sizes: tuple[int, ...]
+    fold_kinds: frozenset[str]
     small: bool
     content: tuple = ()
+    #: The normalised definitions that this was made from.
+    source: DataFrame | None = None
 
     @classmethod
     def of(
@@ -203,7 +284,7 @@ class DefinitionSet:
             found = cls._held(spark, sorted(definitions.collect(), key=lambda r: r.def_ord))
         else:
             found = cls._stored(spark, definitions)
-        return replace(found, content=tuple(measured))
+        return replace(found, content=tuple(measured), source=definitions)
 
     @classmethod
     def of_rows(cls, spark: SparkSession, rows: Iterable[Mapping]) -> DefinitionSet:
@@ -214,23 +295,28 @@ class DefinitionSet:
         first_of_ref: dict[str, int] = {}
         for number, row in enumerate(rows):
             first_of_ref.setdefault(row.ref_name, number)
-        script_ids: dict[tuple, int] = {}
-        for row in rows:
-            script_ids.setdefault(_script_identity(row.acc_script, row.field_types), len(script_ids))
         names = tuple(dict.fromkeys(d for row in rows for d in row.dimensions))
         codes = sorted({c for row in rows for c in row.event_type_codes if c is not None})
-        scripts = tuple(compile_script(spark, t, dict(f)) for t, f in script_ids)
-        ids = [script_ids[_script_identity(r.acc_script, r.field_types)] for r in rows]
+        scripts = _Scripts(spark)
+        own = []
+        for row in rows:
+            types = dict(row.field_types)
+            number, lifted = scripts.add(row.acc_script, types, scripts.lifted(row.acc_script, types))
+            slots = scripts.slots(lifted.shape, lifted.names) if lifted else []
+            own.append((number, list(lifted.numbers) if lifted else [], slots))
         folds: dict[str, set[str]] = {}
-        for row, script_id in zip(rows, ids):
-            folds.setdefault(row.ref_name, set()).add(scripts[script_id].fold)
+        for row, (number, _, _) in zip(rows, own):
+            own_fold = {scripts.scripts[number].fold} if scripts.scripts[number].runs else set()
+            folds.setdefault(row.ref_name, set()).update(own_fold)
+        kinds = {name: _fold_of_name(found) for name, found in folds.items()}
         plain = spark.createDataFrame(
             [
-                (number, first_of_ref[r.ref_name], ids[number], _fold_code(folds[r.ref_name]), *r[1:7])
+                (number, first_of_ref[r.ref_name], *own[number], FOLDS.index(kinds[r.ref_name]), *r[1:7], r.acc_script)
                 for number, r in enumerate(rows)
             ],
-            "def_ord long, ref_ord long, script_id int, fold int, ref_name string, event_type_codes array<string>,"
-            "dimensions array<string>, slice_seconds long, window_slices int, slice_granularity string",
+            "def_ord long, ref_ord long, script_id int, params array<double>, slots array<int>, fold int, ref_name string,"
+            "event_type_codes array<string>, dimensions array<string>, slice_seconds long, window_slices int,"
+            "slice_granularity string, acc_script string",
         ).coalesce(1)
         most = max((len(r.dimensions) for r in rows), default=0)
         any_event = sum(not r.event_type_codes for r in rows)
@@ -239,56 +325,96 @@ class DefinitionSet:
             spark=spark,
             table=_routing_columns(plain, names, most, listed),
             size=len(rows),
-            scripts=scripts,
+            scripts=tuple(scripts.scripts),
+            inputs=tuple(scripts.inputs),
+            slot_options={slot: tuple(sorted(found)) for slot, found in scripts.options.items()},
             dimension_names=names,
             max_dimensions=most,
             any_event=any_event > 0,
             event_codes=None if listed is None else tuple(listed),
             repeated_refs=len(first_of_ref) < len(rows),
-            window_sizes=tuple(sorted({max(1, r.window_slices) for r in rows})),
+            fold_kinds=frozenset(kinds.values()),
             small=True,
         )
 
     @classmethod
     def _stored(cls, spark: SparkSession, definitions: DataFrame) -> DefinitionSet:
-        """A snapshot too large to hold: a stored table, with only its distinct names read here."""
-        definitions = stored(definitions, "definitions")
+        """A snapshot too large to hold: a stored table, with only its script forms and distinct names read here."""
+        definitions = stored(definitions, SNAPSHOT)
         types = F.to_json(F.transform(F.array_sort(F.map_entries("field_types")), lambda e: e))
         keyed = definitions.withColumn("types_text", types)
-        scripts = _distinct(keyed.select("acc_script", "types_text"))
-        names = tuple(sorted(r[0] for r in _distinct(definitions.select(F.explode("dimensions")))))
-        compiled = tuple(
-            compile_script(spark, r[0], {e["key"]: e["value"] for e in json.loads(r[1])}) for r in scripts
+        scripts = _Scripts(spark)
+        distinct = keyed.select("acc_script", "types_text").distinct()
+        lifted = stored(distinct.mapInPandas(partial(_lifted, keywords=scripts.keywords), _LIFTED), SNAPSHOT)
+        forms = lifted.groupBy("form").agg(*[F.min_by(c, "acc_script").alias(c) for c in ("acc_script", "types_text")])
+        ids = []
+        for row in forms.collect():
+            own = {e["key"]: e["value"] for e in json.loads(row.types_text)}
+            ids.append((row.form, *scripts.add(row.acc_script, own, scripts.lifted(row.acc_script, own))))
+        templates = spark.createDataFrame(
+            [(form, n, part is not None) for form, n, part in ids], "form string, template_id int, is_template boolean"
         )
-        ids = spark.createDataFrame(
-            [(n, *s, _fold_code({compiled[n].fold})) for n, s in enumerate(scripts)],
-            "script_id int, acc_script string, types_text string, own_fold int",
+        placed = lifted.join(templates, "form")
+        # forms that are no templates are checked one by one
+        alone = [
+            (r.acc_script, r.types_text, scripts.add(r.acc_script, {e["key"]: e["value"] for e in json.loads(r.types_text)}, None)[0])
+            for r in placed.where("not is_template").select("acc_script", "types_text").collect()
+        ]
+        used = placed.where("is_template").select("template_id", F.explode("names").alias("n")).select("n.*").distinct()
+        for row in used.orderBy("place", "name", "kind").collect():
+            number = scripts.input(tuple(row.name.split(".")), row.kind)
+            scripts.options.setdefault(name_slot(row.place, row.kind), set()).add(number)
+        numbers = {(".".join(path), kind): n for (path, kind), n in scripts.inputs.items()}
+        inputs = spark.createDataFrame([(*k, n) for k, n in numbers.items()], "name string, kind string, number int")
+        slots = (
+            placed.where("is_template")
+            .select("acc_script", "types_text", F.explode("names").alias("n"))
+            .join(F.broadcast(inputs), (F.col("n.name") == F.col("name")) & (F.col("n.kind") == F.col("kind")))
+            .groupBy("acc_script", "types_text")
+            .agg(F.transform(F.array_sort(F.collect_list(F.struct("n.place", "number"))), lambda s: s["number"]).alias("slots"))
         )
-        # The script list is bounded above, the definitions are spread over their names.
-        numbered = keyed.join(F.broadcast(ids), ["acc_script", "types_text"])
-        same_fold = F.min("own_fold") == F.max("own_fold")
-        refs = numbered.groupBy("ref_name").agg(
+        single = spark.createDataFrame(alone, "acc_script string, types_text string, own_id int")
+        identity = ["acc_script", "types_text"]
+        numbered = placed.join(single, identity, "left").join(slots, identity, "left")
+        numbered = numbered.select(
+            *identity,
+            F.coalesce("own_id", "template_id").alias("script_id"),
+            F.when(F.col("is_template"), F.col("params")).otherwise(F.array().cast("array<double>")).alias("params"),
+            F.coalesce("slots", F.array().cast("array<int>")).alias("slots"),
+        )
+        kinds = spark.createDataFrame([(n, s.fold if s.runs else None) for n, s in enumerate(scripts.scripts)], "script_id int, own_fold string")
+        plain = keyed.join(numbered, identity).join(F.broadcast(kinds), "script_id")
+        ordered, general = (F.lit(FOLDS.index(k)) for k in ("ordered", "general"))
+        code = F.array_position(F.array(*map(F.lit, FOLDS)), F.min("own_fold")).cast("int") - 1
+        mixed = F.when(F.max((F.col("own_fold") == "ordered").cast("int")) == 1, ordered).otherwise(general)
+        refs = plain.groupBy("ref_name").agg(
             F.min("def_ord").alias("ref_ord"),
-            F.when(same_fold, F.min("own_fold")).otherwise(_fold_code({"general"})).alias("fold"),
+            F.when(F.min("own_fold") == F.max("own_fold"), code)
+            .when(F.min("own_fold").isNull(), F.lit(FOLDS.index("last")))
+            .otherwise(mixed)
+            .alias("fold"),
         )
-        plain = numbered.join(refs, "ref_name")
+        plain = plain.join(refs, "ref_name")
+        names = tuple(sorted(r[0] for r in definitions.select(F.explode("dimensions")).distinct().collect()))
         facts = definitions.agg(
             F.count("*"),
             F.max(F.size("dimensions")),
             F.max((F.size("event_type_codes") == 0).cast("int")),
         ).first()
-        windows = _distinct(definitions.select(F.greatest(F.lit(1), "window_slices")))
+        plain = stored(plain, SNAPSHOT)
         return cls(
             spark=spark,
             table=_routing_columns(plain, names, facts[1], None),
             size=facts[0],
-            scripts=compiled,
+            scripts=tuple(scripts.scripts),
+            inputs=tuple(scripts.inputs),
+            slot_options={slot: tuple(sorted(found)) for slot, found in scripts.options.items()},
             dimension_names=names,
             max_dimensions=facts[1],
             any_event=bool(facts[2]),
             event_codes=None,
             repeated_refs=True,
-            window_sizes=tuple(sorted(r[0] for r in windows)),
+            fold_kinds=frozenset(FOLDS[r[0]] for r in plain.select("fold").distinct().collect()),
             small=False,
         )
 
@@ -299,32 +425,39 @@ class DefinitionSet:
     @cached_property
     def input_names(self) -> tuple[str, ...]:
         """Fields the scripts read.  An order field called ``current`` hides the slice value."""
-        return tuple(sorted({name for s in self.scripts for name in s.field_names}))
-
-    @property
-    def window_scale(self) -> int:
-        """The smallest length that every window size divides."""
-        return math.lcm(*self.window_sizes) if self.window_sizes else 1
+        return tuple(sorted({path[0] for path, _ in self.inputs}))
 
     def same_as(self, other: DefinitionSet) -> bool:
         """The same definitions in the same order, whatever their number."""
         return self.content == other.content
 
 
-def _fold_code(folds: set[str]) -> int:
-    """One number for how an indicator's running value is made; mixed kinds need the general way."""
-    return FOLDS.index(folds.pop()) if len(folds) == 1 else FOLDS.index("general")
+def _fold_of_name(folds: set[str]) -> str:
+    """How an indicator's running value is made; mixed kinds need the general way."""
+    if len(folds) < 2:
+        return next(iter(folds), "last")
+    return "ordered" if "ordered" in folds else "general"
 
 
-def _script_identity(text: str, types: Mapping[str, str]) -> tuple:
-    return text, tuple(sorted(types.items()))
+_LIFTED = (
+    "acc_script string, types_text string, form string, params array<double>,"
+    " names array<struct<place: int, name: string, kind: string>>"
+)
 
 
-def _distinct(frame: DataFrame) -> list[T.Row]:
-    found = frame.distinct().limit(PLAN_NAMES + 1).collect()
-    if len(found) > PLAN_NAMES:
-        raise ValueError(f"more than {PLAN_NAMES} distinct values of {frame.columns} to compile into a plan")
-    return found
+def _lifted(parts: Iterator[pd.DataFrame], keywords: frozenset[str]) -> Iterator[pd.DataFrame]:
+    """The form of each distinct script, and what is lifted out of it; a script without a form is one of its own."""
+    for part in parts:
+        rows = []
+        for text, types_text in zip(part["acc_script"], part["types_text"], strict=True):
+            found = lift(text, {e["key"]: e["value"] for e in json.loads(types_text)}, keywords)
+            if found is None:
+                rows.append((text, types_text, json.dumps([text, types_text]), [], []))
+                continue
+            names = [(i, ".".join(path), kind) for i, (path, kind) in enumerate(zip(found.names, found.shape.kinds, strict=True))]
+            form = json.dumps([found.shape.text, found.shape.fractions, found.shape.kinds])
+            rows.append((text, types_text, form, list(found.numbers), names))
+        yield pd.DataFrame(rows, columns=["acc_script", "types_text", "form", "params", "names"])
 
 
 def _routing_columns(plain: DataFrame, names: Sequence[str], most: int, codes: Sequence[str] | None) -> DataFrame:
@@ -345,11 +478,14 @@ def _routing_columns(plain: DataFrame, names: Sequence[str], most: int, codes: S
         "def_ord",
         "ref_ord",
         "script_id",
+        "params",
+        "slots",
         "fold",
         "ref_name",
         "slice_seconds",
         "window_slices",
         "slice_granularity",
+        "acc_script",
         F.size("dimensions").alias("n_dims"),
         *dimension_columns,
         keys.alias("route_keys"),
@@ -363,7 +499,7 @@ class DefinitionFeed:
     """Keeps the latest good snapshot.
 
     It starts with the built-in definitions.  A load that fails or finds nothing leaves
-    the snapshot as it is.
+    the snapshot as it is; a failed one is kept as a refusal until somebody takes it.
     """
 
     MIN_REFRESH_SECONDS = 5.0
@@ -373,6 +509,7 @@ class DefinitionFeed:
         self.refresh_seconds = max(self.MIN_REFRESH_SECONDS, refresh_seconds)
         self.snapshot = DefinitionSet.of_rows(spark, BOOTSTRAP)
         self.last_error: str | None = None
+        self._refusals: list[tuple[float, str]] = []
 
     def refresh(self) -> bool:
         """Load once; True when the snapshot changed."""
@@ -380,6 +517,10 @@ class DefinitionFeed:
             fresh = DefinitionSet.of(self._load())
         except Exception as error:  # any failed load leaves the snapshot in place
             self.last_error = str(error)
+            # the same refusal over and over is one
+            text = f"{REFUSED}{self.last_error.splitlines()[0] if self.last_error else type(error).__name__}"
+            if not self._refusals or self._refusals[-1][1] != text:
+                self._refusals.append((time.time(), text))
             log.warning("definitions were not refreshed: %s", error)
             return False
         self.last_error = None
@@ -387,3 +528,8 @@ class DefinitionFeed:
             return False
         self.snapshot = fresh
         return True
+
+    def take_refusals(self) -> list[tuple[float, str]]:
+        """(time, reason) of refused loads since this was last asked."""
+        taken, self._refusals = self._refusals, []
+        return taken

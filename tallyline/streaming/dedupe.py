@@ -10,7 +10,7 @@ import warnings
 
 from pyspark.sql import DataFrame, functions as F
 
-from tallyline.operators.accumulate import delivery_order, describe, slice_updates
+from tallyline.operators.accumulate import delivery_place, describe, slice_updates
 from tallyline.operators.evaluate import route_and_evaluate
 from tallyline.plans.options import JobOptions
 from tallyline.sources.definitions import DefinitionSet
@@ -25,37 +25,42 @@ def output_mode(options: JobOptions) -> str:
 def streaming_updates(orders: DataFrame, definitions: DefinitionSet, options: JobOptions) -> DataFrame:
     """Slice updates of a stream of orders; write them in ``output_mode(options)``."""
     evaluated = route_and_evaluate(orders, definitions)
-    good = evaluated.where(F.col("increment").isNotNull()).withColumn("place", delivery_order(definitions, fixed_type=True))
+    if options.dedupe == "any" and definitions.repeated_refs:
+        warnings.warn("indicators share a name: with dedupe='any' either may count an order", stacklevel=2)
+    good = describe(evaluated.where(F.col("increment").isNotNull()), definitions)
+    return updates_of_increments(good, options)
+
+
+def updates_of_increments(increments: DataFrame, options: JobOptions) -> DataFrame:
+    """The slice updates of deliveries that count, from what each delivery would add."""
+    facts = ("granularity", "slice_seconds", "window_slices")
     if options.dedupe == "first_arrival":
-        winners = _first_arrival(good)
+        place = delivery_place()
+        winners = first_arrival(increments.withColumn("place", place), facts)
     else:
-        if definitions.repeated_refs:
-            warnings.warn("indicators share a name: with dedupe='any' either may count an order", stacklevel=2)
-        winners = _any_delivery(good, options)
-    return slice_updates(describe(winners, definitions))
+        winners = _any_delivery(increments, options, facts)
+    return slice_updates(winners.withColumn("slice_granularity", F.col("granularity")))
 
 
-def _first_arrival(good: DataFrame) -> DataFrame:
+def first_arrival(good: DataFrame, carry: tuple[str, ...] = ()) -> DataFrame:
     """The earliest delivery, reduced before the shuffle and kept in aggregation state.
 
     An identity belongs to this micro-batch when the batch that first saw it is the one that
     sees it now; redeliveries in later batches leave it unequal and emit nothing.
     """
-    kept = ("def_ord", "arrival_seq", "slice_ts", "increment")
+    kept = ("def_ord", "arrival_seq", "slice_ts", "increment", *carry)
     stamped = good.select(*IDENTITY, *kept, "place", F.unix_millis(F.current_timestamp()).alias("batch"))
     first = stamped.groupBy(*IDENTITY).agg(
         *[F.min_by(c, "place").alias(c) for c in kept],
         F.min("batch").alias("first_seen"),
         F.max("batch").alias("last_seen"),
     )
-    return first.where(F.col("first_seen") == F.col("last_seen")).select("dimension_key", "order_id", *kept)
+    return first.where(F.col("first_seen") == F.col("last_seen")).select(*IDENTITY, *kept)
 
 
-def _any_delivery(good: DataFrame, options: JobOptions) -> DataFrame:
-    narrow = good.select(*IDENTITY, "def_ord", "arrival_seq", "slice_ts", "increment", "event_epoch_ms")
+def _any_delivery(increments: DataFrame, options: JobOptions, facts: tuple[str, ...]) -> DataFrame:
+    narrow = increments.select(*IDENTITY, "slice_ts", "increment", "event_epoch_ms", *facts)
     if options.forget_after:
         timed = narrow.withColumn("event_time", F.timestamp_millis("event_epoch_ms"))
-        unique = timed.withWatermark("event_time", options.forget_after).dropDuplicatesWithinWatermark(IDENTITY)
-    else:
-        unique = narrow.dropDuplicates(IDENTITY)
-    return unique.select("dimension_key", "order_id", "def_ord", "arrival_seq", "slice_ts", "increment")
+        return timed.withWatermark("event_time", options.forget_after).dropDuplicatesWithinWatermark(IDENTITY)
+    return narrow.dropDuplicates(IDENTITY)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import DataStreamWriter
 
@@ -39,6 +41,15 @@ def to_kafka(records: DataFrame, options: JobOptions, topic: str, mode: str) ->
     return records.writeStream.format("kafka").options(**kafka_sink_options(options, topic)).outputMode(mode)
 
 
+def to_batches(rows: DataFrame, folder: str) -> Callable[[int], None]:
+    """Write rows below ``folder`` under a micro-batch's number; a batch that runs again replaces its own."""
+
+    def write(number: int) -> None:
+        rows.write.mode("overwrite").parquet(f"{folder}/batch={number}")
+
+    return write
+
+
 def to_parquet(rows: DataFrame, folder: str, mode: str) -> DataStreamWriter:
     """Rows below ``folder``, each micro-batch exactly once.
 
@@ -48,10 +59,7 @@ def to_parquet(rows: DataFrame, folder: str, mode: str) -> DataStreamWriter:
     if mode == "append":
         return rows.writeStream.format("parquet").option("path", folder).outputMode("append")
 
-    def write(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{folder}/batch={number}")
-
-    return rows.writeStream.outputMode(mode).foreachBatch(write)
+    return rows.writeStream.outputMode(mode).foreachBatch(lambda batch, number: to_batches(batch, folder)(number))
 
 
 def read_parquet(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+from dataclasses import replace
 
 import pytest
 from helpers import HOUR, definitions, message, messages, orders, rows
@@ -190,19 +191,23 @@ def test_window_leaves_out_old_and_future_slices(spark):
     assert at(200) == [(0.0,)] and at(200, keep_empty=False) == []
 
 
-def test_windows_of_different_length_in_one_pass(spark, monkeypatch):
+def test_windows_of_different_length_in_one_pass(spark):
     known = definitions(
         spark,
         {**SUM, "refName": "d1", "sliceGranularity": "HOUR"},
         {**SUM, "refName": "d7", "windowDays": 7},
+        {**SUM, "refName": "d11", "windowDays": 11, "sliceGranularity": "HOUR"},
+        {**SUM, "refName": "d13", "windowDays": 13},
         {**SUM, "refName": "m", "sliceGranularity": "MINUTE"},
     )
     rng = random.Random(1)
     entries = [(rng.randint(-20, 20) * 21_600 + rng.randint(0, 7200), float(rng.randint(1, 9))) for _ in range(80)]
     totals = totals_of(spark, known, entries)
-    assert known.window_scale == 10080
-    got = rows(window_values.value_at_every_slice(totals, known), "ref_name", "slice_ts", "window_value")
-    sizes = {"d1": (3600, 24), "d7": (86400, 7), "m": (60, 1440)}
+    values = window_values.value_at_every_slice(totals, known)
+    plan = values._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window [") == 1 and "Union" not in plan
+    got = rows(values, "ref_name", "slice_ts", "window_value")
+    sizes = {"d1": (3600, 24), "d7": (86400, 7), "d11": (3600, 264), "d13": (86400, 13), "m": (60, 1440)}
     by_ref = {}
     for r in totals.collect():
         by_ref.setdefault(r.ref_name, []).append((r.slice_ts, r.value))
@@ -212,8 +217,22 @@ def test_windows_of_different_length_in_one_pass(spark, monkeypatch):
         for ts, _ in found
     )
     assert got == expected
-    monkeypatch.setattr(window_values, "_SCALE_LIMIT", 1)
-    assert rows(window_values.value_at_every_slice(totals, known), "ref_name", "slice_ts", "window_value") == expected
+
+
+@pytest.mark.parametrize("slices", [1, 2, 3, 7, 1440, 525_600, 2**31 - 1])
+def test_a_window_ends_at_its_last_slice(spark, slices):
+    """Slices exactly one window apart do not meet, those one slice nearer do; early, late and negative slices."""
+    known = definitions(spark, {"refName": "w", "sliceGranularity": "MINUTE"})
+    known = replace(known, table=known.table.withColumn("window_slices", F.lit(slices)))
+    for first in (0, -3, 28_000_000, 2**40):
+        found = [(first, 1.0), (first + slices - 1, 2.0), (first + slices, 4.0)]
+        totals = spark.createDataFrame(
+            [("w", "", "MINUTE", n * 60, v, 1) for n, v in dict(found).items()],
+            "ref_name string, dimension_key string, granularity string, slice_ts long, value double, orders long",
+        )
+        got = rows(window_values.value_at_every_slice(totals, known), "slice_ts", "window_value")
+        kept = dict(found).items()
+        assert got == sorted((n * 60, sum(v for m, v in kept if n - slices < m <= n)) for n, _ in kept)
 
 
 def test_retention_outlives_the_window(spark):

@@ -6,6 +6,7 @@ import pytest
 from helpers import definitions, message, messages, rows
 from pyspark.sql import functions as F
 
+from tallyline.operators.accumulate import slice_totals
 from tallyline.operators.fold import running_slice_values
 from tallyline.operators.parse import field_schema, good_orders, parse_messages
 from tallyline.plans.backfill import backfill_messages
@@ -14,9 +15,11 @@ from tallyline.schemas import SLICE_UPDATE
 from tallyline.session import new_run_dir, prepare_streaming
 from tallyline.sources.definitions import DefinitionFeed, definitions_from_rows
 from tallyline.sources.orders import kafka_options, read_message_files, read_text_files
-from tallyline.streaming.fold import streaming_running_values
-from tallyline.streaming.job import Job, parquet_sink, script_rejects_of
+from tallyline.streaming.fold import read_running_values, running_value_writers, start_running_values
+from tallyline.streaming.job import Job, Versions, parquet_batches, parquet_sink, script_rejects_of
 from tallyline.streaming.sinks import dead_letter_records, kafka_records, kafka_sink_options, read_parquet, to_parquet
+from tallyline.streaming.state import SliceState
+from tallyline.streaming.totals import read_slice_totals, start_slice_totals
 
 SUM = {"refName": "s", "dimensions": ["m"], "accScript": "current + amount"}
 CNT = {"refName": "c"}
@@ -35,7 +38,8 @@ class Harness:
             options=JobOptions(**options),
             checkpoint=f"{self.run_dir}/checkpoint",
             updates=parquet_sink(f"{self.run_dir}/out"),
-            letters=parquet_sink(f"{self.run_dir}/letters"),
+            letters=parquet_batches(f"{self.run_dir}/letters"),
+            counters=parquet_batches(f"{self.run_dir}/counters"),
             available_now=True,
         )
 
@@ -113,37 +117,109 @@ def test_script_rejects_stream(spark):
     assert rows(spark.read.parquet(f"{run_dir}/out"), "order_id", "ref_name") == [("a", "s")]
 
 
-def test_running_values_stream_equals_batch(spark):
-    raw = [
+FOLDS = {
+    "scans": [
         {**SUM, "sliceGranularity": "HOUR"},
         {"refName": "top", "dimensions": ["m"], "accScript": "greatest(current, amount)"},
         {"refName": "low", "dimensions": ["m"], "accScript": "least(current, amount)"},
         {"refName": "latest", "accScript": "amount"},
-    ]
-    known = definitions(spark, *raw)
+    ],
+    "affine": [{"refName": "decay", "dimensions": ["m"], "accScript": "current * 0.5 + amount"}],
+    "general": [{"refName": "restart", "accScript": "if(current > 9, amount, current + amount)"}],
+    "ordered": [{"refName": "capped", "sliceGranularity": "HOUR", "accScript": "if(current < 3, current + amount, null)"}],
+}
+FOLDS["all"] = [row for some in list(FOLDS.values()) for row in some]
+
+
+@pytest.mark.parametrize("kind", FOLDS)
+def test_running_values_stream_equals_batch(spark, kind):
+    """Three runs on one checkpoint; orders come again, in their own run and in later ones."""
+    known = definitions(spark, *FOLDS[kind])
     texts = [
-        message(f"o{i % 25}", "E", i * 900_000, m=f"M{i % 2}", amount=(i * 7) % 11 - 4, **({"current": 3} if i == 9 else {}))
-        for i in range(40)
+        message(f"o{i * 7 % 25}", "E", i * 900_000, m=f"M{i % 2}", amount=(i * 7) % 11 - 4, **({"current": 3} if i == 9 else {}))
+        for i in range(45)
     ]
     run_dir = new_run_dir(prepare_streaming(spark), "test")
     parse = lambda found: good_orders(parse_messages(found, field_schema(known)))
-    for part in (texts[:20], texts[20:]):
-        numbered = [(texts.index(t), t) for t in part]
+    for at in (0, 15, 30):
+        numbered = list(enumerate(texts))[at : at + 15]
         spark.createDataFrame(numbered, "arrival_seq long, value string").repartition(3).write.mode("append").parquet(
             f"{run_dir}/messages"
         )
-        values = streaming_running_values(parse(read_message_files(spark, f"{run_dir}/messages")), known)
-        writer = to_parquet(values, f"{run_dir}/out", "append").option("checkpointLocation", f"{run_dir}/cp")
-        writer.trigger(availableNow=True).start().awaitTermination()
+        found = parse(read_message_files(spark, f"{run_dir}/messages"))
+        for query in start_running_values(found, known, f"{run_dir}/out", f"{run_dir}/cp", availableNow=True):
+            query.awaitTermination()
     columns = ("ref_name", "dimension_key", "slice_ts", "order_id", "slice_key", "running_value")
     batch = running_slice_values(parse(messages(spark, texts)), known)
-    assert rows(spark.read.parquet(f"{run_dir}/out"), *columns) == rows(batch, *columns)
+    assert rows(read_running_values(spark, f"{run_dir}/out"), *columns) == rows(batch, *columns)
+
+
+def test_slice_versions_are_compacted_and_read_as_of_a_batch(spark):
+    shape = "ref_name string, dimension_key string, slice_ts long, value double"
+    state = SliceState(spark, f"{new_run_dir(spark, 'test')}/state", *shape.rsplit(", ", 1), compact=3)
+
+    def values(number):
+        return rows(state.latest(state.before(number)), "slice_ts", "value")
+
+    for number in range(7):
+        state.forget(number)
+        state.write(spark.createDataFrame([("r", "", number % 3, float(number)), ("r", "", 100 + number, 0.5)], shape), number)
+        state.write(spark.createDataFrame([("r", "", number % 3, float(number)), ("r", "", 100 + number, 0.5)], shape), number)
+    assert values(0) == [] or values(6)  # what early batches read is gone by now
+    assert values(6) == [(0, 3.0), (1, 4.0), (2, 5.0), *((100 + n, 0.5) for n in range(6))]
+    assert values(7) == [(0, 6.0), (1, 4.0), (2, 5.0), *((100 + n, 0.5) for n in range(7))]
+    state.forget(7)
+    whole, batches = state.versions()
+    assert sorted(whole) == [5] and sorted(batches) == [6]
 
 
-def test_general_scripts_are_refused_on_a_stream(spark):
-    known = definitions(spark, {"refName": "r", "accScript": "current * 2 + 1"})
-    with pytest.raises(ValueError, match="batch fold"):
-        streaming_running_values(spark.range(1), known)
+def test_streamed_totals_equal_batch_totals(spark):
+    known = definitions(spark, SUM, {"refName": "h", "sliceGranularity": "HOUR"})
+    texts = [message(f"o{i % 20}", "E", i * 900_000, m=f"M{i % 2}", amount=i) for i in range(40)]
+    run_dir = new_run_dir(prepare_streaming(spark), "test")
+    parse = lambda found: good_orders(parse_messages(found, field_schema(known)))
+    for at in range(0, 40, 10):
+        numbered = list(enumerate(texts))[at : at + 10]
+        spark.createDataFrame(numbered, "arrival_seq long, value string").write.mode("append").parquet(f"{run_dir}/messages")
+        found = parse(read_message_files(spark, f"{run_dir}/messages"))
+        start_slice_totals(found, known, f"{run_dir}/out", f"{run_dir}/cp", compact=2, availableNow=True).awaitTermination()
+    columns = ("ref_name", "dimension_key", "granularity", "slice_ts", "value", "orders")
+    batch = slice_totals(backfill_messages(messages(spark, texts), known).updates)
+    assert rows(read_slice_totals(spark, f"{run_dir}/out"), *columns) == rows(batch, *columns)
+
+
+def test_counters_and_refusals_are_rows(spark):
+    run = Harness(spark, [SUM])
+    run.send(message("a", m="M", amount=1), message("b", m="M"), "{ not json", "", message("c", m="M", amount=2), "[]")
+    run.run()
+    run.online = [{"refName": "bad", "sliceGranularity": "WEEK"}]
+    run.send(message("d", m="M", amount=1))
+    run.run()
+    found = spark.read.schema("version long, reason string, count long, batch long").parquet(f"{run.run_dir}/counters")
+    counts = {(r.batch, r.reason): r["count"] for r in found.collect()}
+    assert counts[0, "messages"] == 6 and counts[0, "空消息"] == 1 and counts[0, "反序列化失败"] == 2
+    assert counts[0, "routed"] == 3 and counts[0, "script returned no number"] == 1 and counts[1, "messages"] == 1
+    assert any(batch == 1 and reason.startswith("definitions refused: ") for batch, reason in counts)
+
+
+def test_a_batch_keeps_the_version_it_took(spark):
+    versions = Versions(spark, f"{new_run_dir(spark, 'test')}/definitions")
+    first, second = definitions(spark, SUM), definitions(spark, CNT)
+    versions.add(first)
+    versions.add(definitions(spark, SUM))
+    assert versions.of_batch(0)[0] == 0 and versions.of_batch(1)[0] == 0
+    versions.add(second)
+    again = Versions(spark, versions.folder)  # as after a restart
+    assert again.of_batch(1)[0] == 0 and again.of_batch(1)[1].same_as(first)
+    assert again.of_batch(2)[0] == 1 and again.of_batch(2)[1].same_as(second)
+    again.forget(3)
+    assert again._numbers("lists") == [1] and again._numbers("batches") == [2]
+
+
+def test_scripts_without_a_step_are_refused(spark):
+    known = definitions(spark, {"refName": "r", "accScript": "sin(current) + amount"})
+    with pytest.raises(ValueError, match="Sin"):
+        running_value_writers(spark.range(1), known, "/nowhere")
 
 
 def test_default_options():
