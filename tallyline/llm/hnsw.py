@@ -37,6 +37,12 @@ class Settings:
     blocks_at_once: int = 32
 
 
+def _mixed(nodes: np.ndarray, of: int) -> np.ndarray:
+    """An order of equally near nodes that differs from node to node, so that no node is left out by all others."""
+    shift = np.uint64(of * 0x9E3779B97F4A7C15 & (1 << 64) - 1)
+    return (nodes.astype(np.uint64) + shift) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(20)
+
+
 class Graph:
     """A hierarchical navigable small-world graph over the rows of ``vectors``."""
 
@@ -44,7 +50,7 @@ class Graph:
         self.x = vectors.astype(np.float32)
         self.links = links
         n = len(vectors)
-        self.ground = np.full((n, 2 * links), -1, np.int32)
+        self.ground = np.full((n, 2 * links + 1), -1, np.int32)  # the last one is for nodes that no other leads to
         self.upper: list[tuple[np.ndarray, np.ndarray]] = []  # row of each node (-1: not there), neighbours by row
         self.entry = 0
         self.seen = np.zeros(n, np.int32)
@@ -60,7 +66,7 @@ class Graph:
 
     def set_neighbours(self, layer: int, node: int, found: np.ndarray) -> None:
         if layer == 0:
-            row = self.ground[node]
+            row = self.ground[node, :-1]
         else:
             rows, table = self.upper[layer - 1]
             row = table[rows[node]]
@@ -140,7 +146,7 @@ class Graph:
             return
         nodes = np.append(near, np.int32(other))
         ds = self.distances(self.x[node], nodes)
-        order = np.argsort(ds, kind="stable")
+        order = np.lexsort((_mixed(nodes, node), ds))
         self.set_neighbours(layer, node, self.diverse(ds[order], nodes[order], most))
 
     def build(self, breadth: int, seed: int) -> Graph:
@@ -160,15 +166,36 @@ class Graph:
                 found = self.search(q, at, breadth, layer)
                 ds = np.array([d for d, _ in found], np.float32)
                 nodes = np.array([i for _, i in found], np.int32)
-                chosen = self.diverse(ds, nodes, self.links)
+                order = np.lexsort((_mixed(nodes, node), ds))
+                chosen = self.diverse(ds[order], nodes[order], self.links)
                 self.set_neighbours(layer, node, chosen)
                 for other in chosen.tolist():
                     self.link(layer, other, node)
                 at = found[0][1]
             if height > top:
                 top, self.entry = height, node
+        self.reach_all()
         return self
 
+    def reach_all(self) -> None:
+        """Nodes that no path from the entry leads to get a link from one that is reached, near ones first."""
+        reached = np.zeros(len(self.x), bool)
+
+        def spread(front: np.ndarray) -> None:
+            while len(front):
+                reached[front] = True
+                near = np.unique(self.ground[front])
+                front = near[(near >= 0) & ~reached[near]]
+
+        spread(np.array([self.entry], np.int64)[: len(self.x)])
+        for node in np.flatnonzero(~reached).tolist():
+            if not reached[node]:
+                able = np.flatnonzero(reached & (self.ground[:, -1] < 0))
+                known = np.intersect1d(able, self.ground[node])
+                able = known if len(known) else able
+                self.ground[able[self.distances(self.x[node], able).argmin()], -1] = node
+                spread(np.array([node]))
+
     def ask(self, q: np.ndarray, breadth: int) -> np.ndarray:
         at = self.entry
         for layer in range(len(self.upper), 0, -1):
@@ -235,7 +262,7 @@ def _graph(row: dict, links: int) -> tuple[Graph, np.ndarray, np.ndarray, np.nda
     """A stored shard again: graph, exact vectors, members and where each node's members start."""
     x = np.frombuffer(row["vectors"], np.float64).reshape(row["n"], row["dim"])
     graph = Graph(x, links)
-    graph.ground = np.frombuffer(row["ground"], np.int32).reshape(row["n"], 2 * links)
+    graph.ground = np.frombuffer(row["ground"], np.int32).reshape(row["n"], 2 * links + 1)
     nodes, tables = np.frombuffer(row["upper_nodes"], np.int32), np.frombuffer(row["upper"], np.int32).reshape(-1, links)
     at = 0
     for count in np.frombuffer(row["upper_counts"], np.int64).tolist():
@@ -289,7 +316,10 @@ def _asked(parts: Iterator[pa.RecordBatch], k: int, settings: Settings) -> Itera
         apart = x[nodes] - q
         scores = np.sqrt((apart * apart).sum(axis=1))
         found = []
-        for i in np.argsort(scores, kind="stable")[: k + 1]:
+        # k + 1 nodes are enough without the query's own; all that are as near as the last of them count, so that equal
+        # scores are cut by id
+        far = np.partition(scores, min(k, len(scores) - 1))[min(k, len(scores) - 1)] if len(scores) else 0.0
+        for i in np.flatnonzero(scores <= far):
             node = int(nodes[i])
             own = members[starts[node] : starts[node + 1]]
             found += [(float(scores[i]), m) for m in own.tolist() if m != query]

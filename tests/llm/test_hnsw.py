@@ -82,3 +82,18 @@ def test_graph_reaches_every_node():
     x = np.concatenate([rng.standard_normal((150, 6)), rng.standard_normal((150, 6)) * 1e-3 + 5])
     graph = Graph(x, 6).build(40, 0)
     assert all(graph.ask(v.astype(np.float32), 40)[0] == i for i, v in enumerate(x))
+
+
+def test_equal_distances_go_to_the_smaller_ids(spark):
+    """60 one-hot vectors: all as far from the query as each other."""
+    rows = [(i, [float(j == n) for j in range(60)]) for n, i in enumerate([*range(1, 60), 100])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    for settings in (Settings(), Settings(shard_rows=16)):
+        got = neighbours(frame, F.col("vec_id") == 100, 10, settings)
+        assert [(r["rank"], r["vec_id"]) for r in got.orderBy("rank").collect()] == [(n, n) for n in range(1, 11)]
+
+
+def test_every_node_is_reached_when_all_are_as_near():
+    for n in (1, 2, 60, 700):
+        graph = Graph(np.eye(n), 16).build(64, 0)
+        assert len(graph.ask(np.eye(n, dtype=np.float32)[n // 2], n)) == n
