@@ -41,8 +41,9 @@ _TAG = re.compile(
     r"|<(?P<end>/?)(?P<name>[A-Za-z][^\s/>]*)(?P<rest>(?:\"[^\"]*\"|'[^']*'|[^'\">])*)>",
     re.S,
 )
-_MARKS = re.compile(r"(?:class|id|role|itemprop)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
-_HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
+_ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+_TELLING = re.compile(r"class|id|role|itemprop|hidden|style", re.I)
+_UNSEEN = re.compile(r"display\s*:\s*none", re.I)
 _WORD = re.compile(r"\w+")
 #: Fixed names of HTML: elements without an end tag, elements whose text is not markup, elements that end a block.
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -86,8 +87,16 @@ _FURNITURE_MARKS = frozenset(
 _OTHERS_MARKS = frozenset(
     "ad ads advert adverts advertisement comment comments disqus promo related replies sidebar sponsor sponsored widget".split()
 )
-#: What follows these words in a name says how the element is laid out, not what it is: content-with-sidebar, no-comments.
-_LAYOUT = frozenset("has have no not with without".split())
+#: What may stand beside such a word in one name: ad-box, comment-body, related-posts; but not search-results.
+_BESIDE = frozenset(
+    "area bar block body bottom box button buttons container content entry form group icon icons inner item items label"
+    " left link links list message meta outer panel post posts right row section slot text title top unit wrap wrapper".split()
+)
+#: Those that drop an element in the middle of a line.
+_INLINE_MARKS = frozenset("ad ads advert adverts advertisement promo share social sponsor sponsored subscribe".split())
+_HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+#: Elements of other languages: only there a slash at the end of a tag closes it.
+_FOREIGN = frozenset("math svg".split())
 #: What makes an element furniture: nothing, a mark, a mark of another's article, its tag.
 _NO, _MARK, _OTHERS, _TAGGED = range(4)
 
@@ -102,6 +111,17 @@ class Settings:
     shard_tokens: int = 1 << 20
 
 
+def attributes(rest: str) -> tuple[dict[str, str], bool]:
+    """The attributes of a tag, and whether it ends in a slash of its own (one that is no part of a value)."""
+    found: dict[str, str] = {}
+    end = 0
+    for match in _ATTRIBUTE.finditer(rest):
+        name, *values = match.groups()
+        found.setdefault(name.lower(), next((v for v in values if v is not None), ""))
+        end = match.end()
+    return found, rest[end:].strip() == "/"
+
+
 def _kind(name: str, rest: str, inside: bool) -> tuple[bool, int]:
     """(content, what makes it furniture) of an element; ``inside``: within content, where a header is not the page's."""
     if name in ("html", "body"):
@@ -109,28 +129,32 @@ def _kind(name: str, rest: str, inside: bool) -> tuple[bool, int]:
     if name in _FURNITURE and not (inside and name == "header"):
         return False, _TAGGED
     content, mark = name in _CONTENT, _NO
-    if rest:
-        for found in _MARKS.finditer(rest):
-            value = "".join(filter(None, found.groups())).lower()
-            named = found[0][:4].lower() in ("role", "item") or name in ("div", "section")
-            content |= named and value in ("main", "articlebody")
+    if rest and _TELLING.search(rest):
+        given, _ = attributes(rest)
+        if "hidden" in given or given.get("aria-hidden", "").lower() == "true" or _UNSEEN.search(given.get("style", "")):
+            return False, _TAGGED
+        for key in ("class", "id", "role", "itemprop"):
+            value = given.get(key, "").lower()
+            content |= (key in ("role", "itemprop") or name in ("div", "section")) and value in ("main", "articlebody")
+            if name in _HEADINGS:  # a heading's name is that of its section: <h2 id="related-work">
+                continue
             for word in value.split():
-                if word in _OTHERS_MARKS:
+                if name not in _BLOCK:
+                    mark = _MARK if word in _INLINE_MARKS else mark
+                elif word in _OTHERS_MARKS:
                     mark = _OTHERS
-                elif mark == _NO and _marked(word, inside):
+                elif mark == _NO and _marked(word, key, inside):
                     mark = _MARK
-        if _HIDDEN.search(rest):
-            return False, _TAGGED
     return content, mark
 
 
-def _marked(word: str, inside: bool) -> bool:
-    for part in re.split(r"[^a-z0-9]+", word):
-        if part in _LAYOUT:
-            return False
-        if part in _FURNITURE_MARKS and not (inside and part == "header"):
-            return True
-    return False
+def _marked(word: str, key: str, inside: bool) -> bool:
+    """Whether a name is one of furniture: such a word, in classes also with words beside it that say nothing else."""
+    marks = _FURNITURE_MARKS - {"header"} if inside else _FURNITURE_MARKS
+    if word in marks:
+        return True
+    parts = re.split(r"[-_]+", word)
+    return key == "class" and len(parts) > 1 and any(p in marks for p in parts) and all(p in marks or p in _BESIDE for p in parts)
 
 
 def blocks_of(page: str) -> list[tuple[int, str]]:
@@ -138,7 +162,7 @@ def blocks_of(page: str) -> list[tuple[int, str]]:
     out: list[tuple[int, str]] = []
     parts: list[str] = []
     stack: list[list] = []  # name, content, what makes it furniture
-    furniture = content = doubtful = 0
+    furniture = content = doubtful = dropped = 0
     at = 0
 
     def ended() -> None:
@@ -148,8 +172,11 @@ def blocks_of(page: str) -> list[tuple[int, str]]:
             out.append((-1 if furniture else (2 if doubtful else 1) if content else -1 if doubtful else 0, text))
 
     def close(first: int) -> None:
-        nonlocal furniture, content, doubtful
-        for _, own, mark in stack[first:]:
+        nonlocal furniture, content, doubtful, dropped
+        for name, own, mark in stack[first:]:
+            if name not in _BLOCK and name not in _FURNITURE:
+                dropped -= mark > _NO
+                continue
             content -= own
             furniture -= mark > _NO
             doubtful -= mark < _NO
@@ -173,7 +200,8 @@ def blocks_of(page: str) -> list[tuple[int, str]]:
             if stack and stack[-1][0] == "head" and not text.isspace():
                 ended()
                 close(len(stack) - 1)
-            parts.append(html.unescape(text))
+            if not dropped:
+                parts.append(html.unescape(text))
         if not tag:
             break
         at = tag.end()
@@ -198,13 +226,19 @@ def blocks_of(page: str) -> list[tuple[int, str]]:
             implied(frozenset(["p"]), _AROUND_P)
         if name in _ENDS:
             implied(*_ENDS[name])
-        if name in _VOID or tag["rest"].endswith("/"):
+        if name in _VOID:
+            continue
+        if tag["rest"].endswith("/") and (name in _FOREIGN or any(e[0] in _FOREIGN for e in stack)) and attributes(tag["rest"])[1]:
             continue
         if name in _RAW:  # no markup inside: go on behind its end tag
             end = re.compile(rf"</{name}\s*>", re.I).search(page, at)
             at = end.end() if end else len(page)
             continue
         own, mark = _kind(name, tag["rest"], content > 0)
+        if name not in _BLOCK and name not in _FURNITURE:  # in the middle of a line
+            stack.append([name, False, mark])
+            dropped += mark > _NO
+            continue
         stack.append([name, own, mark])
         content += own
         furniture += mark > _NO

@@ -40,6 +40,17 @@ CASES = [
     ('<main><article>text</article><div id="comments"><article class="comment-body">c</article></div></main>', "text"),
     ('<div class="related"><article>only</article></div>', "only"),
     ("<header>site</header><article><header class='entry-header'><h1>title</h1><nav>n</nav></header>text<footer>f</footer></article>", "title\ntext"),
+    # names that only hold such a word, and attributes that are none
+    ('<article><h2 id="search-algorithm">h</h2><h2 id="related-work">r</h2><h2 class="share">s</h2>t</article>', "h\nr\ns\nt"),
+    ('<article><section id="comments-on-the-law"><p>one</p></section><div class="search-results">two</div></article>', "one\ntwo"),
+    ('<main><div class="search-results">found</div><p title="the hidden costs">p</p><p title=\'class="ad"\'>q</p></main>', "found\np\nq"),
+    ('<article><p data-x="hidden">a</p><p HIDDEN>b</p><p hidden="">c</p><p aria-hidden=true>d</p><p style="color:red">e</p></article>', "a\ne"),
+    ('<article data-path=/a/><p>text</p></article><footer>f</footer>', "text"),
+    ("<article><div class=\"ad\" />x</div><p>a</p><section/>b</section></article>", "a\nb"),
+    ('<article><p>see <a class="share" href=#>tweet</a>this <span class="ad">buy <b>now</b></span>text</p></article>', "see this text"),
+    ('<article><p>a <span class="comment">b</span> <code class="header">c</code></p><div class="comment-body">d</div></article>', "a b c"),
+    ('<article><div class="related-posts"><p>r</p></div><div class="share_buttons">s</div><ul class="social-links"><li>x</ul>t</article>', "t"),
+    ("<article><p>a<svg><path d=x /><text>t</text></svg>b</p></article>", "a\nb"),
     # end tags left out
     ('<article><p class="notice">x<div>body</div><p>more</article>', "body\nmore"),
     ('<article><p class="notice">x<p>body<p>more</article>', "body\nmore"),
