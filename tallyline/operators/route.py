@@ -4,14 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
 
 from tallyline.functions.script import CURRENT, RESERVED, Path
 from tallyline.functions.text import as_input, as_text, choose, is_blank
 from tallyline.sources.definitions import DefinitionSet
 
-#: Copies of a definition table too large to broadcast, so that a frequent event type is spread.
+#: Copies that a stream keeps of a definition table too large to broadcast, as it cannot be measured beforehand.
 SALTS = 64
+#: Orders of one event type in a backfill from which its definitions are copied.
+SPREAD = 1_000_000
 _ROUTED = (
     "def_ord",
     "ref_ord",
@@ -28,12 +30,48 @@ _ROUTED = (
 
 
 def join_definitions(left: DataFrame, table: DataFrame, key: str, definitions: DefinitionSet) -> DataFrame:
-    """Inner join with definition rows: by broadcast within the size bound, else by a salted shuffle."""
+    """Inner join with definition rows: by broadcast within the size bound, else by shuffle.
+
+    A backfill's shuffle join leaves keys with many rows to Spark, which splits them at run time; a stream, where it
+    does not, spreads every key over copies of the table.
+    """
     if definitions.small:
         return left.join(F.broadcast(table), key)
-    salted_left = left.withColumn("salt", F.pmod(F.xxhash64("order_id", "arrival_seq"), F.lit(SALTS)))
-    salted_table = table.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<bigint>")))
-    return salted_left.join(salted_table, [key, "salt"]).drop("salt")
+    if not left.isStreaming:
+        return left.join(table, key)
+    copies = F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<bigint>")
+    salted = left.withColumn("salt", F.pmod(F.xxhash64("order_id", "arrival_seq"), F.lit(SALTS)))
+    return salted.join(table.withColumn("salt", F.explode(copies)), [key, "salt"]).drop("salt")
+
+
+def frequent_keys(keyed: DataFrame) -> dict[str, int]:
+    """Route keys that hold more than a quarter of a core's share of a backfill's orders, and how many shares each has.
+
+    There can be four times as many as cores at most.
+    """
+    shares = 4 * keyed.sparkSession.sparkContext.defaultParallelism
+    counts = keyed.groupBy("route_key").count()
+    seen = Observation()
+    top = counts.observe(seen, F.coalesce(F.sum("count"), F.lit(0)).alias("all")).orderBy(F.desc("count")).limit(shares)
+    found = top.collect()
+    share = max(SPREAD, seen.get["all"] // shares)
+    return {r["route_key"]: -(-r["count"] // share) for r in found if r["count"] > share}
+
+
+def _join_routes(keyed: DataFrame, table: DataFrame, definitions: DefinitionSet) -> DataFrame:
+    """Orders with the definitions of their route key; frequent keys are spread over as many copies as they need."""
+    frequent = {} if definitions.small or keyed.isStreaming else frequent_keys(keyed)
+    if not frequent:
+        return join_definitions(keyed, table, "route_key", definitions)
+    salts = keyed.sparkSession.createDataFrame(list(frequent.items()), "route_key string, salts bigint")
+
+    def salted(rows: DataFrame, salt: Column) -> DataFrame:
+        return rows.join(F.broadcast(salts), "route_key", "left").withColumn("salt", salt).drop("salts")
+
+    known = F.coalesce("salts", F.lit(1))
+    left = salted(keyed, F.pmod(F.xxhash64("order_id", "arrival_seq"), known))
+    right = salted(table, F.explode(F.sequence(F.lit(0).cast("bigint"), known - 1)))
+    return left.join(right, ["route_key", "salt"]).drop("salt")
 
 
 def _leaf(orders: DataFrame, name: str) -> tuple[Column, T.DataType]:
@@ -111,7 +149,7 @@ def pair_by_event(orders: DataFrame, definitions: DefinitionSet) -> DataFrame:
         wanted = orders.where(code.isin(*known)) if known else orders.where(F.lit(False))
         keyed = _bind_inputs(wanted.where(~is_blank(code)), definitions).withColumn("route_key", typed_key)
     table = definitions.table.withColumn("route_key", F.explode("route_keys")).drop("route_keys", "acc_script")
-    return join_definitions(keyed, table, "route_key", definitions).drop("route_key")
+    return _join_routes(keyed, table, definitions).drop("route_key")
 
 
 def _dimension_values(pairs: DataFrame, definitions: DefinitionSet) -> list[Column]:

@@ -4,7 +4,10 @@ import json
 
 import pytest
 from helpers import definitions, message, orders, rows
+from pyspark.sql import functions as F
 
+from tallyline.operators import route as routing
+from tallyline.operators.evaluate import route_and_evaluate
 from tallyline.operators.route import route
 from tallyline.sources.definitions import (
     BOOTSTRAP,
@@ -132,7 +135,7 @@ def test_feed_keeps_last_good_snapshot(spark):
     assert feed.refresh() and names() == ["c"] and feed.last_error is None
 
 
-def test_large_table_routes_like_a_small_one(spark):
+def test_large_table_routes_like_a_small_one(spark, monkeypatch):
     """Beyond the size bound definitions are stored and joined by shuffle, with the same result."""
     raw = [
         {"refName": "any", "dimensions": []},
@@ -148,7 +151,42 @@ def test_large_table_routes_like_a_small_one(spark):
     got = rows(route(orders(spark, large, texts), large), *columns)
     assert got == rows(route(orders(spark, small, texts), small), *columns)
     plan = route(orders(spark, large, texts), large)._jdf.queryExecution().executedPlan().toString()
+    assert "salt" not in plan and "NestedLoop" not in plan and "Cartesian" not in plan
+    # an event type with many orders is spread over copies of its definitions, others are not
+    texts += [message(f"p{i}", "F", i * 1000, m=f"M{i % 2}", n=i % 4, amount=i) for i in range(40)]
+    monkeypatch.setattr(routing, "SPREAD", 20)
+    sent = orders(spark, large, texts)
+    keyed = sent.select(F.concat(F.lit("="), "event_type_code").alias("route_key"))
+    assert routing.frequent_keys(keyed) == {"=F": 3}
+    spread = route(sent, large)
+    plan = spread._jdf.queryExecution().executedPlan().toString()
     assert "salt" in plan and "NestedLoop" not in plan and "Cartesian" not in plan
+    assert rows(spread, *columns) == rows(route(orders(spark, small, texts), small), *columns)
+
+
+def test_many_scripts_of_a_large_table_are_templates(spark):
+    """The stored path finds the same templates, numbers and names as the held one."""
+    raw = [{"refName": f"s{n}", "accScript": f"current + {('a', 'b')[n % 2]} * {n}"} for n in range(30)]
+    raw += [{"refName": "odd", "accScript": "current + round(a, 1)"}, {"refName": "bad", "accScript": "current +"}]
+    raw += [{"refName": "text", "accScript": "if(kind = 'x', current + a, null)", "fieldTypes": {"kind": "string"}}]
+    raw += [{"refName": "decay", "accScript": "current * 0.5 + b"}, {"refName": "cap", "accScript": "if(current < 3, a, null)"}]
+    small, large = definitions(spark, *raw), DefinitionSet.of(definitions_from_rows(spark, raw), broadcast_rows=0)
+    assert len(small.scripts) == len(large.scripts) == 6
+    sent = [message(f"o{i}", "E", i, a=i, b=2 * i, kind="xy"[i % 2]) for i in range(6)]
+    columns = ("ref_name", "order_id", "increment")
+    got = [rows(route_and_evaluate(orders(spark, d, sent), d), *columns) for d in (small, large)]
+    assert got[0] == got[1]
+    assert dict(((r, o), v) for r, o, v in got[0])["s7", "o3"] == 6 * 7
+    folds = [{r.ref_name: r.fold for r in d.table.collect()} for d in (small, large)]
+    assert folds[0] == folds[1]
+
+
+def test_definitions_of_several_splits_keep_their_order(spark):
+    """Rows are ranked in ranges; no window sees all of them."""
+    table = spark.createDataFrame([(n, f"r{n}") for n in range(400)], "def_ord long, ref_name string").repartition(7)
+    ranked = normalise_table(table)
+    assert "Window" not in ranked._jdf.queryExecution().optimizedPlan().toString()
+    assert [(r.def_ord, r.ref_name) for r in ranked.orderBy("def_ord").collect()] == [(n, f"r{n}") for n in range(400)]
 
 
 def test_ordinals_follow_files_and_places_without_gaps(spark, tmp_path):
