@@ -10,10 +10,10 @@ Candidates are confirmed on full sets.  No step emits all pairs of a group:
 
 1. Equal sets are one node.
 2. Leaders.  Each A table links its members to one leader, the set that meets most others.  These stars, where the B
-   keys agree too, are confirmed and joined to components.
-3. What is left are tables (A_i, B_j) that hold more than one component.  Their members meet in blocks of bounded size;
-   a task confirms pairs of different components there, each in the first A table they share, and returns a spanning
-   forest of the links it found.
+   keys agree too, are confirmed and joined to components.  A set's family is its leader that meets most.
+3. Families and tables (A_i, B_j) may hold more than one component still.  Their members meet in blocks of bounded size,
+   those of a family once, those of different families in the first A table they share; a task confirms pairs of
+   different components that agree in some A and some B, and returns a spanning forest of the links it found.
 
 Sets are not stored: those of documents that take part are made again from the texts, which a bounded filter of their
 ids lets through.
@@ -169,18 +169,18 @@ def _confirmed(parts: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Rec
 
 
 class _Block:
-    """Some members of one table."""
+    """Some members of one family or table."""
 
     def __init__(self, rows: list[tuple]):
-        nodes, comps, a, b, members = zip(*rows, strict=True)
-        self.nodes, self.comps = np.array(nodes), np.array(comps)
+        nodes, comps, families, a, b, members = zip(*rows, strict=True)
+        self.nodes, self.comps, self.families = np.array(nodes), np.array(comps), np.array(families)
         self.a, self.b = np.array(a), np.array(b)
         self.sets = [np.frombuffer(m, np.uint64) for m in members]
         self.sizes = np.array([len(s) for s in self.sets])
 
 
-def _forest(key: int, left: _Block, right: _Block, percent: int, same: bool) -> Iterator[tuple[int, int]]:
-    """A spanning forest of the links between two blocks of a table, over the components known so far."""
+def _forest(table: bool, key: int, left: _Block, right: _Block, percent: int, same: bool) -> Iterator[tuple[int, int]]:
+    """A spanning forest of the links between two blocks of a family or table, over the components known so far."""
     root: dict[int, int] = {}
 
     def find(x: int) -> int:
@@ -189,15 +189,16 @@ def _forest(key: int, left: _Block, right: _Block, percent: int, same: bool) ->
             x = up
         return x
 
-    place = (left.a == key).argmax(axis=1)  # the same for all members: a key holds the number of its table
-    earlier = int(place[0]) if len(place) else 0
+    # a table's place is the same for all members, as a key holds its number
+    earlier = int((left.a[0] == key).argmax()) if table else left.a.shape[1]
     for i in range(len(left.nodes)):
         size = left.sizes[i]
         able = (right.comps != left.comps[i]) & (100 * np.minimum(right.sizes, size) >= percent * np.maximum(right.sizes, size))
         if same:
             able[: i + 1] = False
         able &= (right.b == left.b[i]).any(axis=1)
-        able &= ~(right.a[:, :earlier] == left.a[i, :earlier]).any(axis=1)
+        met = (right.a[:, :earlier] == left.a[i, :earlier]).any(axis=1)
+        able &= ~met & (right.families != left.families[i]) if table else met
         others = np.flatnonzero(able)
         if len(others):
             own = find(int(left.comps[i]))
@@ -216,28 +217,29 @@ def _forest(key: int, left: _Block, right: _Block, percent: int, same: bool) ->
 
 
 def _meetings(parts: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by table, block pair and side; the two blocks of one pair are held at a time."""
+    """Rows sorted by family or table, block pair and side; the two blocks of one pair are held at a time."""
 
     def rows() -> Iterator[tuple]:
         held: tuple | None = None
         sides: tuple[list, list] = [], []
         for part in parts:
             columns = (c.to_pylist() for c in part.columns)
-            for key, left, right, side, *member in zip(*columns, strict=True):
-                if (key, left, right) != held:
+            for table, key, left, right, side, *member in zip(*columns, strict=True):
+                if (table, key, left, right) != held:
                     yield from met(held, sides)
-                    held, sides = (key, left, right), ([], [])
+                    held, sides = (table, key, left, right), ([], [])
                 sides[side].append(tuple(member))
         yield from met(held, sides)
 
     def met(held: tuple | None, sides: tuple[list, list]) -> Iterator[tuple]:
         if held is None or not sides[0]:
             return
+        table, key, one, other = held
         first = _Block(sides[0])
-        if held[1] == held[2]:
-            yield from _forest(held[0], first, first, percent, same=True)
+        if one == other:
+            yield from _forest(table, key, first, first, percent, same=True)
         elif sides[1]:
-            yield from _forest(held[0], first, _Block(sides[1]), percent, same=False)
+            yield from _forest(table, key, first, _Block(sides[1]), percent, same=False)
 
     yield from batches(rows(), _EDGES)
     give_back()
@@ -262,9 +264,10 @@ class _Join:
 
     def links(self) -> DataFrame:
         members = self._members()
-        stars = cut(self._stars(members))
+        pairs, families = self._pairs(members)
+        stars = cut(self._stars(pairs))
         roots = cut(components(stars))
-        return stars.unionByName(cut(self._left_over(members, roots)))
+        return stars.unionByName(cut(self._left_over(members, families, roots)))
 
     def _members(self) -> DataFrame:
         """(key, node, score) of every A table with two members or more; a node's score is the number it meets."""
@@ -282,47 +285,67 @@ class _Join:
         sets = self.docs.mapInArrow(partial(_sets, size=self.size, wanted=filter_), shape).dropDuplicates(["d1", "d2"])
         return cut(sets.join(wanted.select("node", "d1", "d2"), ["d1", "d2"]).select("node", "members"))
 
-    def _stars(self, members: DataFrame) -> DataFrame:
+    def _pairs(self, members: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """(node, leader) that agree in some A and some B and could be similar by their sizes, and each node's family."""
         # the best score and, of those, the smallest node, as one number that a hash aggregation can hold
         place = F.col("score").cast("decimal(38,0)") * F.expr("10000000000000000000BD") - F.col("node")
-        leaders = members.groupBy("key").agg(F.max_by("node", place).alias("leader"))
-        pairs = members.join(leaders, "key").where("node <> leader").select("node", "leader").distinct()
+        leaders = members.groupBy("key").agg(F.max_by("node", place).alias("leader"), F.max(place).alias("place"))
+        led = members.join(leaders, "key").groupBy("node", "leader").agg(F.max("place").alias("place"))
         facts = self.nodes.select("node", "n", "b")
         lead = facts.select(F.col("node").alias("leader"), F.col("n").alias("m"), F.col("b").alias("c"))
         near = 100 * F.least("n", "m") >= self.percent * F.greatest("n", "m")
-        pairs = cut(pairs.join(facts, "node").join(lead, "leader").where(near & F.arrays_overlap("b", "c")).select("node", "leader"))
+        met = led.join(facts, "node").join(lead, "leader").where(near & F.arrays_overlap("b", "c"))
+        met = cut(met.select("node", "leader", "place"))
+        families = met.groupBy("node").agg(F.max_by("leader", "place").alias("family"))
+        return met.where("node <> leader").select("node", "leader"), cut(families)
+
+    def _stars(self, pairs: DataFrame) -> DataFrame:
         sets = self._sets(pairs.select("node").unionByName(pairs.select(F.col("leader").alias("node"))).distinct())
         both = pairs.join(sets, "node").join(sets.select(F.col("node").alias("leader"), F.col("members").alias("others")), "leader")
         return both.select("node", "leader", "members", "others").mapInArrow(partial(_confirmed, percent=self.percent), "a long, b long")
 
-    def _left_over(self, members: DataFrame, roots: DataFrame) -> DataFrame:
-        """Links between the components that the stars left, from tables that hold several of them."""
-        rooted = members.select("key", "node").join(roots, "node", "left").select("key", "node", F.coalesce("root", "node").alias("comp"))
+    def _left_over(self, members: DataFrame, families: DataFrame, roots: DataFrame) -> DataFrame:
+        """Links between the components that the stars left."""
+
+        def rooted(rows: DataFrame) -> DataFrame:
+            return rows.join(roots, "node", "left").withColumn("comp", F.coalesce("root", "node")).drop("root")
+
         several = F.min("comp") < F.max("comp")
-        mixed_tables = rooted.groupBy("key").agg(several.alias("mixed")).where("mixed").select("key")
-        rooted = cut(rooted.join(mixed_tables, "key"))
-        pairs = rooted.join(self.nodes.select("node", "b"), "node").select("key", "node", "comp", F.explode("b").alias("other"))
+        # families that hold several components
+        known = cut(rooted(families))
+        open_ = known.join(known.groupBy("family").agg(several.alias("mixed")).where("mixed").select("family"), "family")
+        of_family = open_.select(F.lit(False).alias("table"), F.col("family").alias("key"), "node", "comp", "family")
+        # tables that hold several components of several families
+        placed = rooted(members.select("key", "node").join(families, "node", "left"))
+        placed = placed.withColumn("family", F.coalesce("family", "node"))
+        several = several & (F.min("family") < F.max("family"))
+        placed = placed.join(placed.groupBy("key").agg(several.alias("mixed")).where("mixed").select("key"), "key")
+        pairs = cut(placed).join(self.nodes.select("node", "b"), "node")
+        pairs = pairs.select("key", "node", "comp", "family", F.explode("b").alias("other"))
         meet = pairs.groupBy("key", "other").agg(several.alias("mixed")).where("mixed").select("key", "other")
-        alive = cut(pairs.join(meet, ["key", "other"]).select("key", "node", "comp").distinct())
+        of_table = pairs.join(meet, ["key", "other"]).select("key", "node", "comp", "family").distinct()
+        alive = cut(of_family.unionByName(of_table.select(F.lit(True).alias("table"), "*")))
         facts = self.nodes.select("node", "n", "a", "b").join(alive.select("node").distinct(), "node", "left_semi")
         whole = facts.join(self._sets(facts.select("node")), "node")
-        # tables are cut into blocks of bounded size, and every two blocks of a table meet
-        size = alive.join(facts.select("node", "n"), "node").groupBy("key").agg(F.sum(F.col("n") * 8 + 400).alias("bytes"))
-        blocks = size.select("key", F.ceil(F.col("bytes") / self.block_bytes).cast("int").alias("blocks"))
+        # they are cut into blocks of bounded size, and every two blocks of one family or table meet
+        group = ["table", "key"]
+        size = alive.join(facts.select("node", "n"), "node").groupBy(*group).agg(F.sum(F.col("n") * 8 + 400).alias("bytes"))
+        blocks = size.select(*group, F.ceil(F.col("bytes") / self.block_bytes).cast("int").alias("blocks"))
         own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-        spread = alive.join(blocks, "key").withColumn("own", own)
+        spread = alive.join(blocks, group).withColumn("own", own)
         spread = spread.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
         meeting = spread.select(
-            "node",
-            "comp",
-            "key",
+            *group,
             F.least("own", "other").alias("left"),
             F.greatest("own", "other").alias("right"),
             (F.col("own") > F.col("other")).cast("int").alias("side"),
+            "node",
+            "comp",
+            "family",
         )
-        rows = meeting.join(whole, "node").select("key", "left", "right", "side", "node", "comp", "a", "b", "members")
-        dealt = rows.repartition(partitions(self.spark), "key", "left", "right")
-        dealt = dealt.sortWithinPartitions("key", "left", "right", "side")
+        rows = meeting.join(whole, "node").select(*meeting.columns, "a", "b", "members")
+        place = [*group, "left", "right"]
+        dealt = rows.repartition(partitions(self.spark), *place).sortWithinPartitions(*place, "side")
         return dealt.mapInArrow(partial(_meetings, percent=self.percent), "a long, b long")
 
 

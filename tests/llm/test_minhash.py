@@ -105,7 +105,7 @@ def test_documents(docs, clashing):
     wanted = sorted((*r[:3], r[0] is None and r[2] is None or r[3]) for r in by_hand(rows) if r[0] is not None)
     got = found(clashing(docs(rows)))
     assert sorted(r for r in got if r[0] is not None) == wanted
-    assert {r for r in got if r[0] is None} == {(None, 0, None, True), (None, 19, 10, False), (None, 2, None, True)}
+    assert {r for r in got if r[0] is None} == {(None, 0, None, True), (None, 20, 10, False), (None, 2, None, True)}
 
 
 def test_exact_copies_are_one_node(docs):
