@@ -511,7 +511,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, settings: Settings = Settings()
     the same for the item's last sentence.  Words are runs of letters, digits, underscores and non-ASCII characters,
     in lower case.
 
-    Null and empty texts and items have no words and never match; rows without an id are searched but not reported.
+    Null and empty texts and items have no words and never match; rows without an id are left out.
     Repeated rows and items give one row for each pair of ids.  Without documents or items there are no rows.
     """
     spark = docs.sparkSession

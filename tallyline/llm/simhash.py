@@ -307,7 +307,11 @@ def simhash_groups(docs: DataFrame, size: int = 3, budget: int = 3, doc_id: str
 
 
 def one_per_group(docs: DataFrame, size: int = 3, budget: int = 3) -> DataFrame:
-    """The documents whose id is their group's smallest; rows without an id have no group to lose to and stay."""
+    """The documents whose id is their group's smallest, with all their columns.
+
+    Null and empty texts are one group like any other.  Rows without an id have no group to lose to and stay; repeated
+    rows of a kept id all stay.
+    """
     groups = simhash_groups(docs, size, budget)
     losers = groups.where("doc_id <> component_id").select(F.col("doc_id").alias("id")).distinct()
     rows = packed(docs, key=F.col("doc_id").cast("long"))

@@ -181,5 +181,9 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, settings: Settings = Sett
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """The rows of ``docs``, all columns as they are, whose score stays below the threshold."""
+    """The rows of ``docs``, all columns as they are, whose score stays below the threshold.
+
+    Null and empty texts are judged by the constant's score alone; rows without an id and repeated rows are judged by
+    their texts like all others.
+    """
     return unpacked(_with_scores(docs, labels, settings).where(F.col("score") < settings.threshold), docs.columns)

@@ -95,3 +95,21 @@ def test_stages_take_empty_documents(spark, docs, tables):
     empty = docs([])
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, empty, tables).collect() == []
+
+
+def test_stages_keep_extra_columns_and_rows_without_an_id(spark, docs, clashing, tables):
+    """Null and repeated ids, null texts and columns of any name pass all stages that return documents."""
+    rows = [(1, "a clean text of a few words"), (1, "a clean text of a few words"), (2, None), (2, ""), (None, "nobody's text"), (None, None)]
+    frame = clashing(docs(rows))
+    kept = {
+        "toxicity": rows,
+        "line_dedup": [(i, t or "") for i, t in rows],
+        "near_dedup": [r for r in rows if r[0] != 99],
+        "decontamination": rows,
+    }
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        found = stage(spark, frame, tables)
+        assert found.columns == frame.columns, name
+        got = sorted(((i, t or "") for i, t in pairs(found)), key=str)
+        assert got == sorted(((i, t or "") for i, t in kept[name]), key=str), name
+        assert found.select("row", "key", "drops").distinct().collect() == [("own row", "own key", "own drops")], name

@@ -5,9 +5,11 @@ import zlib
 
 import numpy as np
 import pytest
+from tokenizers import Tokenizer
 
 from tallyline.llm import token_files
-from tallyline.llm.token_files import STRIDE, canonical, code_lengths, pack_bits, read_token_files, unpack_bits, write_token_files
+from tallyline.llm.bpe import default_path
+from tallyline.llm.token_files import STRIDE, canonical, code_lengths, pack_bits, read_token_files, unpack_bits, write_texts, write_token_files
 from tallyline.session import new_run_dir
 
 
@@ -75,3 +77,21 @@ def test_empty(spark):
     folder = new_run_dir(spark, "files")
     write_token_files(spark.createDataFrame([], "doc_id long, ids array<int>"), folder)
     assert read_token_files(spark, folder).collect() == []
+
+
+def test_texts_are_written_as_the_library_encodes_them(spark, docs, clashing, monkeypatch):
+    monkeypatch.setattr(token_files, "_BLOCK_TOKENS", 500)
+    rng = np.random.default_rng(3)
+    vocabulary = ["the", "House", "of", "élan", "日本", "x" * 60, "3.14", "don't", "\u00a0", "😀"]
+    rows = [(int(d), " ".join(rng.choice(vocabulary, int(rng.integers(0, 50))))) for d in rng.permutation(150)]
+    rows += [(500, None), (501, ""), (502, " \n\t "), (7, "twice"), (7, "twice"), (None, "no id"), (503, "long text of words " * 20_000)]
+    folder = new_run_dir(spark, "files")
+    write_texts(clashing(docs(rows)).repartition(5), folder)
+    library = Tokenizer.from_file(default_path())
+    wanted = [(d, [*library.encode(t or "", add_special_tokens=False).ids, 1]) for d, t in rows]
+    got = sorted(read_token_files(spark, folder).collect(), key=lambda r: r["start"])
+    assert sorted(((r["doc_id"], r["ids"]) for r in got), key=str) == sorted(wanted, key=str)
+    names = [r["doc_id"] for r in got]
+    assert names[0] is None and names[1:] == sorted(names[1:])
+    assert [r["start"] for r in got] == np.concatenate([[0], np.cumsum([len(r["ids"]) for r in got])])[:-1].tolist()
+    assert all(r["ids_crc32"] == zlib.crc32(np.array(r["ids"], "<u4").tobytes()) for r in got)

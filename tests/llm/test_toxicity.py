@@ -1,14 +1,16 @@
 from __future__ import annotations
 
+import math
 import random
 import zlib
 
 import numpy as np
 from pyspark.sql import functions as F
 
-from tallyline.llm.toxicity import Settings, features, learning_rows, score_toxicity, without_toxic
+from tallyline.llm.toxicity import Settings, _Hashes, features, learning_rows, score_toxicity, without_toxic, word_hashes
 
 LABELS = "doc_id long, toxic int"
+hashes = _Hashes()
 GOOD = [f"word{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(300)]
 BAD = ["vile", "rotten", "foul", "nasty"]
 
@@ -92,3 +94,45 @@ def test_features_hold_words_pairs_triples_and_skips():
     assert len(features(words, 40)) == 4 + 3 + 2 + 2
     assert len(features(np.zeros(0, np.uint64), 40)) == 0 and len(features(words[:1], 40)) == 1
     assert set(features(words[:2], 40)) <= set(features(words, 40))
+
+
+def test_scores_equal_a_plain_ftrl(spark, docs):
+    """FTRL-proximal written out, one coordinate after another, over the same rows in the same order."""
+    rows, labels = corpus(300, 5)
+    rows += [(1000, None), (1001, "")]
+    settings = Settings(bits=14, passes=2)
+    known = spark.createDataFrame(labels, LABELS)
+    sample = learning_rows(docs(rows), known, settings).collect()
+    order = sorted(sample, key=lambda r: (r["place"], r["label"], word_hashes(r["text"], hashes).tobytes()))
+    z, n = {}, {}
+
+    def weight(i):
+        l1 = 0.0 if i < 0 else settings.l1
+        if abs(z.get(i, 0.0)) <= l1:
+            return 0.0
+        step = (settings.beta + math.sqrt(n.get(i, 0.0))) / settings.alpha + settings.l2
+        return -math.copysign(abs(z[i]) - l1, z[i]) / step
+
+    def coordinates(text):
+        return [*features(word_hashes(text or "", hashes), settings.bits).tolist(), -1]
+
+    for _ in range(settings.passes):
+        for row in order:
+            at = coordinates(row["text"])
+            weights = {i: weight(i) for i in at}
+            gradient = 1 / (1 + math.exp(-sum(weights.values()))) - row["label"]
+            for i, w in weights.items():
+                before = n.get(i, 0.0)
+                n[i] = before + gradient**2
+                z[i] = z.get(i, 0.0) + gradient - (math.sqrt(n[i]) - math.sqrt(before)) / settings.alpha * w
+    got = {r["doc_id"]: r["score"] for r in score_toxicity(docs(rows), known, settings).collect()}
+    for doc, text in rows:
+        wanted = 1 / (1 + math.exp(-sum(map(weight, coordinates(text)))))
+        assert abs(got[doc] - wanted) < 1e-9
+
+
+def test_features_are_words_pairs_triples_and_skips():
+    """As many as the distinct n-grams and skip-grams of a text, and the same for the same ones in another order."""
+    assert len(features(word_hashes("a b c d", hashes), 40)) == 4 + 3 + 2 + 2
+    assert len(features(word_hashes("a a a a", hashes), 40)) == 4
+    assert len(features(word_hashes("A b!", hashes), 40)) == 3 and len(features(word_hashes("", hashes), 40)) == 0
