@@ -2,10 +2,12 @@
 
 1. Every scan task folds its documents' line keys into two Bloom filters, one for hashes seen once and one for
    hashes seen twice.  The filters of all tasks are merged bit by bit: a bit that two tasks (or two documents) set
-   in the first filter is set in the second.  The second filter has no false negatives for "in two documents".
+   in the first filter is set in the second.  The second filter has no false negatives for "in two documents".  A task
+   hands on the two bitmaps of a segment, or the positions of its bits where these are fewer bytes.
 2. Documents are read again; only keys that the second filter holds travel, as 128-bit digests with their document
    id.  Their exact document counts and the last document that holds them are computed there.
-3. Each document gets the digests it has to drop, and its text is rebuilt.
+3. Documents that have digests to drop get them, and their texts are rebuilt.  A Bloom filter of their ids tells them
+   apart where they are read, so all other texts pass without a shuffle.
 
 The filter is sized from the measured number of lines, up to ``most_bits``.  Beyond that bound more lines are
 suspected and travel; the result stays exact.
@@ -14,7 +16,7 @@ suspected and travel; the result stays exact.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import partial
 
 import numpy as np
@@ -24,12 +26,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tallyline.llm.common import batches, give_back, packed, partitions, small_batches, text_of, unpacked
+from tallyline.llm.bloom import filter_of, may_hold
+from tallyline.llm.common import batches, cut, give_back, packed, partitions, small_batches, text_of, unpacked
 
 BLANKS = b" \t\n\x0b\x0c\r"
 SEGMENT_BITS = 1 << 20
 PROBES = 3
-_POSITIONS = pa.schema([("segment", pa.int32()), ("once", pa.binary()), ("twice", pa.binary())])
+_FOLDED = pa.schema([("segment", pa.int32()), ("packed", pa.bool_()), ("once", pa.binary()), ("twice", pa.binary())])
 _BITMAP = pa.schema([("segment", pa.int32()), ("bits", pa.binary())])
 _SUSPECTS = pa.schema([("id", pa.int64()), ("digest", pa.binary())])
 
@@ -63,26 +66,50 @@ def _hashes(keys: set[bytes]) -> np.ndarray:
 
 
 def _task_filters(parts: Iterator[pa.RecordBatch], least_chars: int, segments: int) -> Iterator[pa.RecordBatch]:
+    """The two filters of a task's documents, by segment."""
+    held: dict[int, list[np.ndarray]] = {}
+    for part in parts:
+        found = [_hashes(long_keys(text, least_chars)) for text in part.column("text").to_pylist()]
+        hashes = np.concatenate(found) if found else np.zeros(0, np.uint64)
+        segment, bits = probes(hashes, segments)
+        # a position counts once for each key, however many of the key's probes meet there
+        spots = np.sort(bits, axis=1)
+        fresh = np.ones(spots.shape, bool)
+        fresh[:, 1:] = spots[:, 1:] != spots[:, :-1]
+        flat = (segment[:, None].astype(np.int64) * SEGMENT_BITS + spots)[fresh]
+        where, counts = np.unique(flat, return_counts=True)
+        for s, lo, hi in _runs(where // SEGMENT_BITS):
+            inside = (where[lo:hi] % SEGMENT_BITS).astype(np.uint32)
+            _fold(held.setdefault(int(s), [np.zeros(0, np.uint32), np.zeros(0, np.uint32)]), inside, inside[counts[lo:hi] > 1])
+
     def rows() -> Iterator[tuple]:
-        for part in parts:
-            found = [_hashes(long_keys(text, least_chars)) for text in part.column("text").to_pylist()]
-            hashes = np.concatenate(found) if found else np.zeros(0, np.uint64)
-            segment, bits = probes(hashes, segments)
-            # a position counts once for each key, however many of the key's probes meet there
-            spots = np.sort(bits, axis=1)
-            fresh = np.ones(spots.shape, bool)
-            fresh[:, 1:] = spots[:, 1:] != spots[:, :-1]
-            flat = (segment[:, None].astype(np.int64) * SEGMENT_BITS + spots)[fresh]
-            where, counts = np.unique(flat, return_counts=True)
-            at = where // SEGMENT_BITS
-            for s, lo, hi in _runs(at):
-                inside, many = (where[lo:hi] % SEGMENT_BITS).astype(np.uint32), counts[lo:hi] > 1
-                yield int(s), inside[~many].tobytes(), inside[many].tobytes()
-
-    yield from batches(rows(), _POSITIONS)
+        for s, (once, twice) in held.items():
+            yield s, len(once) == SEGMENT_BITS // 8 and once.dtype == np.uint8, once.tobytes(), twice.tobytes()
+
+    yield from batches(rows(), _FOLDED)
     give_back()
 
 
+def _fold(pair: list[np.ndarray], seen: np.ndarray, again: np.ndarray) -> None:
+    """Add positions to a segment's filters: distinct ones seen, and those of them seen more than once."""
+    once, twice = pair
+    if once.dtype == np.uint32 and 4 * (len(once) + len(seen)) > SEGMENT_BITS // 8:
+        pair[:] = once, twice = _packed(once), _packed(twice)
+    if once.dtype == np.uint8:
+        there = (once[seen >> 3] >> (7 - (seen & 7)).astype(np.uint8) & 1).astype(bool)
+        pair[0] = once | _packed(seen)
+        pair[1] = twice | _packed(seen[there]) | _packed(again)
+    else:
+        pair[1] = np.unique(np.concatenate([twice, again, np.intersect1d(once, seen, assume_unique=True)]))
+        pair[0] = np.union1d(once, seen)
+
+
+def _packed(positions: np.ndarray) -> np.ndarray:
+    bits = np.zeros(SEGMENT_BITS, bool)
+    bits[positions] = True
+    return np.packbits(bits)
+
+
 def _runs(values: np.ndarray) -> Iterator[tuple[int, int, int]]:
     """(value, start, end) of each run of equal values."""
     if len(values):
@@ -93,23 +120,24 @@ def _runs(values: np.ndarray) -> Iterator[tuple[int, int, int]]:
 
 def _merged(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by segment: one pass, one segment's two bitmaps held at a time."""
+    nothing = np.zeros(SEGMENT_BITS // 8, np.uint8)
+
+    def bitmap(given: bytes, is_packed: bool) -> np.ndarray:
+        return np.frombuffer(given, np.uint8) if is_packed else _packed(np.frombuffer(given, np.uint32))
 
     def rows() -> Iterator[tuple]:
-        held, once, twice = None, np.zeros(0, bool), np.zeros(0, bool)
+        held, once, twice = None, nothing, nothing
         for part in parts:
-            for segment, one, two in zip(*(c.to_pylist() for c in part.columns), strict=True):
+            for segment, is_packed, one, two in zip(*(c.to_pylist() for c in part.columns), strict=True):
                 if segment != held:
                     if held is not None:
-                        yield held, np.packbits(twice).tobytes()
-                    held, once, twice = segment, np.zeros(SEGMENT_BITS, bool), np.zeros(SEGMENT_BITS, bool)
-                seen = np.frombuffer(one, np.uint32)
-                again = np.frombuffer(two, np.uint32)
-                twice[seen[once[seen]]] = True
-                twice[again] = True
-                once[seen] = True
-                once[again] = True
+                        yield held, twice.tobytes()
+                    held, once, twice = segment, nothing, nothing
+                seen = bitmap(one, is_packed)
+                twice = twice | bitmap(two, is_packed) | (once & seen)
+                once = once | seen
         if held is not None:
-            yield held, np.packbits(twice).tobytes()
+            yield held, twice.tobytes()
 
     yield from batches(rows(), _BITMAP)
 
@@ -118,7 +146,7 @@ def twice_filter(docs: DataFrame, least_chars: int, segments: int) -> np.ndarray
     """The merged "twice" filter, one row of packed bits per segment; its size is ``segments`` alone."""
     spark = docs.sparkSession
     sets = docs.select(text_of(docs).alias("text")).mapInArrow(
-        partial(_task_filters, least_chars=least_chars, segments=segments), "segment int, once binary, twice binary"
+        partial(_task_filters, least_chars=least_chars, segments=segments), "segment int, packed boolean, once binary, twice binary"
     )
     tasks = min(segments, partitions(spark))
     bitmaps = sets.repartition(tasks, "segment").sortWithinPartitions("segment").mapInArrow(_merged, "segment int, bits binary")
@@ -206,17 +234,29 @@ def dedup_lines(
     suspects = docs.select(ids.alias("id"), text_of(docs, text).alias("text")).mapInArrow(
         partial(_suspects, least_chars=least_chars, twice=twice), "id long, digest binary"
     )
-    drops = _drops(suspects, least_docs)
-    whole = packed(docs, id=ids, text=text_of(docs, text)).join(
-        drops.withColumnRenamed("id", "drop_id"), F.expr("id <=> drop_id"), "left"
-    )
+    drops = cut(_drops(suspects, least_docs))
+    losing = docs.sparkSession.sparkContext.broadcast(filter_of(drops.select("id")))
+    rows = packed(docs, id=ids, text=text_of(docs, text)).withColumn("touched", _touched(losing)(F.col("id")))
+    whole = rows.where("touched").join(drops.withColumnRenamed("id", "drop_id"), F.expr("id <=> drop_id"), "left")
     shape = StructType([whole.schema["row"]]).add("text", "string").add("n_lines", "long").add("n_dropped", "long")
-    result = whole.select("row", "text", "drops").mapInArrow(partial(_rebuilt, least_chars=least_chars), shape)
+    rebuilt = whole.select("row", "text", "drops").mapInArrow(partial(_rebuilt, least_chars=least_chars), shape)
+    lines = F.length("text") - F.length(F.replace(F.col("text"), F.lit("\n"), F.lit(""))) + 1
+    passed = rows.where(~F.col("touched")).select("row", "text", lines.cast("long"), F.lit(0).cast("long"))
     return unpacked(
-        result, docs.columns, **{text: F.col("text"), "n_lines": F.col("n_lines"), "n_dropped": F.col("n_dropped")}
+        rebuilt.union(passed), docs.columns, **{text: F.col("text"), "n_lines": F.col("n_lines"), "n_dropped": F.col("n_dropped")}
     )
 
 
+def _touched(losing) -> Callable[[Column], Column]:
+    """Whether the filter may hold an id; ids alone go to Python, texts stay where they are."""
+
+    @F.arrow_udf("boolean")
+    def touched(ids: pa.Array) -> pa.Array:
+        return pa.array(may_hold(losing.value, ids))
+
+    return touched
+
+
 def _drops(suspects: DataFrame, least_docs: int) -> DataFrame:
     """(id, drops): the digests that each document has to lose.  Counts are exact; hot digests are counted before
     they travel, and a join on a hot digest is split by Spark (skew join)."""
