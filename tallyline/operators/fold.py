@@ -1,7 +1,7 @@
 """Running slice values: what a slice reads after each counted order.
 
 Sums, extremes and replacements are computed as a two-level scan: a slice's orders are cut into
-segments of arrival numbers, each segment is scanned by itself, and the few segment results are
+segments by arrival (of about as many orders each, however sparse the arrival numbers are), each segment is scanned by itself, and the few segment results are
 scanned over the slice.  A slice that receives most of the feed is so spread over many tasks.
 
 Other scripts are applied order by order by a reader of sorted rows, which carries the value from batch to batch and
@@ -31,7 +31,7 @@ from tallyline.operators.route import OVERRIDDEN, join_definitions, may_override
 from tallyline.session import stored
 from tallyline.sources.definitions import DefinitionSet
 
-#: Arrival numbers per segment of a scan.
+#: Orders per segment of a scan, about.
 SEGMENT = 1_000_000
 #: Orders of one slice that an affine script takes in one part.
 PART = 65_536
@@ -43,18 +43,31 @@ _RESULT = ("ref_name", "dimension_key", "slice_ts", "order_id", "arrival_seq", "
 CARRIED = ("operand", "factor", "own_current", OVERRIDDEN)
 
 
-def running(
-    rows: DataFrame, group: Sequence[str], totals: Mapping[str, tuple[str, Column]], segment: int = SEGMENT
-) -> DataFrame:
+def segments_of(rows: DataFrame, size: int) -> Column:
+    """The number of the segment that an order's arrival falls into, for segments of about ``size`` orders.
+
+    Arrival numbers may be as sparse as they like: the bounds are quantiles of those that are there, one for each
+    segment.  It reads the rows, which should be stored.
+    """
+    parts = -(-rows.count() // size)
+    if parts < 2:
+        return F.lit(0).cast("bigint")
+    bounds = rows.approxQuantile("arrival_seq", [n / parts for n in range(1, parts)], 1 / (4 * parts))
+    known = F.array(*[F.lit(int(b)).cast("bigint") for b in sorted(set(bounds))])
+    return F.size(F.filter(known, lambda b: b <= F.col("arrival_seq"))).cast("bigint")
+
+
+def running(rows: DataFrame, group: Sequence[str], totals: Mapping[str, tuple[str, Column]], segment: Column) -> DataFrame:
     """Add running aggregates over each group in arrival order, the row itself included.
 
-    ``totals`` maps a new column to an aggregate (``sum``, ``max`` or ``min``) and its input.
+    ``totals`` maps a new column to an aggregate (``sum``, ``max`` or ``min``) and its input; ``segment`` rises with the
+    arrival number.
     """
     aggregates = {"sum": F.sum, "max": F.max, "min": F.min}
     merges = {"sum": lambda a, b: a + b, "max": F.greatest, "min": F.least}
     inputs = rows.withColumns(
         {f"{name}_in": value for name, (_, value) in totals.items()}
-        | {"segment": F.call_function("div", F.col("arrival_seq"), F.lit(segment))}
+        | {"segment": segment}
     )
     cell = [*group, "segment"]
     of_segment = inputs.groupBy(*cell).agg(*[aggregates[k](f"{n}_in").alias(f"{n}_part") for n, (k, _) in totals.items()])
@@ -119,14 +132,15 @@ def counted_values(
     if "start" not in rows.columns:
         rows = rows.withColumn("start", F.lit(0.0))
     scans = kinds - {"general", "affine"}
+    results = []
     if scans or "affine" in kinds:
         rows = stored(rows, "counted")
-    results = []
+        place = segments_of(rows, segment)
     if scans:
         chosen = rows.where(~F.col("fold").isin(GENERAL, AFFINE)) if kinds - scans else rows
-        results.append(_scan(chosen, scans, segment, overrides))
+        results.append(_scan(chosen, scans, place, overrides))
     if "affine" in kinds:
-        results.append(_affine(rows.where(F.col("fold") == AFFINE), segment, part))
+        results.append(_affine(rows.where(F.col("fold") == AFFINE), place, part))
     if "general" in kinds:
         chosen = rows.where(F.col("fold") == GENERAL) if kinds - {"general"} else rows
         results.append(_read(chosen, SLICE, ("arrival_seq",), definitions))
@@ -154,7 +168,7 @@ def _result(values: DataFrame, definitions: DefinitionSet) -> DataFrame:
 # ---------------------------------------------------------------- scans
 
 
-def _scan(rows: DataFrame, kinds: frozenset[str], segment: int, overrides: bool) -> DataFrame:
+def _scan(rows: DataFrame, kinds: frozenset[str], segment: Column, overrides: bool) -> DataFrame:
     # An order that brings its own `current` does not build on the slice: a new epoch starts with it.
     group = list(SLICE)
     if overrides:
@@ -282,7 +296,7 @@ def _in_order(evaluated: DataFrame, definitions: DefinitionSet) -> DataFrame:
 # ---------------------------------------------------------------- affine scripts
 
 
-def _affine(rows: DataFrame, segment: int, size: int) -> DataFrame:
+def _affine(rows: DataFrame, segment: Column, size: int) -> DataFrame:
     """Running values of affine scripts.  Slices of more than ``size`` orders are cut into parts of that size."""
     # An order that brings its own `current` does not build on the slice.
     a = F.when(F.col(OVERRIDDEN), F.lit(0.0)).otherwise(F.col("factor"))

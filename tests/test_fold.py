@@ -5,7 +5,7 @@ import random
 import pytest
 from helpers import definitions, message, orders, rows
 
-from tallyline.operators.fold import running_slice_values
+from tallyline.operators.fold import running_slice_values, segments_of
 
 
 def model(entries, step):
@@ -118,6 +118,18 @@ def test_order_by_order_takes_one_job_and_no_driver_loop(spark):
     assert plan.count("MapInArrow") == 1
 
 
+def test_segments_hold_a_bounded_number_of_sparse_arrivals(spark):
+    """Numbers made of an offset and a partition, and redeliveries far behind them."""
+    numbers = [offset * 65536 + partition for offset in range(300) for partition in (0, 1, 4000)]
+    numbers += [2**40 + n * 10**7 for n in range(100)]
+    rows_ = spark.createDataFrame([(n,) for n in numbers], "arrival_seq long").repartition(5)
+    found = rows_.withColumn("segment", segments_of(rows_, 50)).orderBy("arrival_seq").collect()
+    numbered = [r.segment for r in found]
+    assert numbered == sorted(numbered)
+    assert max(numbered.count(n) for n in set(numbered)) <= 100 and len(set(numbered)) >= 15
+    assert {r.segment for r in rows_.withColumn("segment", segments_of(rows_, 5000)).collect()} == {0}
+
+
 def test_long_affine_slices_are_read_in_parts(spark):
     known = definitions(spark, {"refName": "r", "accScript": "current * 0.5 + amount"})
     sent = [message(f"o{i}", "E", i, amount=i % 7, **({"current": 2} if i == 300 else {})) for i in range(1000)]
