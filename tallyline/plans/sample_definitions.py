@@ -130,20 +130,19 @@ GENERAL = (
     },
 )
 
-#: A slice takes so many orders and no more.
+#: A slice takes so much and no more.
 CAPPED = (
     {
-        "refName": "first_five",
+        "refName": "first_two",
         "eventTypeCodes": ["purchase", "click"],
-        "sliceGranularity": "HOUR",
-        "accScript": "if(current < 5, current + 1, null)",
+        "dimensions": ["k"],
+        "accScript": "if(current < 2, current + 1, null)",
     },
     {
-        "refName": "below_300",
+        "refName": "below_100",
         "eventTypeCodes": ["purchase", "view"],
-        "dimensions": ["kind"],
-        "sliceGranularity": "HOUR",
-        "accScript": "case when current + amount <= 300 then current + amount end",
+        "dimensions": ["k", "kind"],
+        "accScript": "case when current + amount <= 100 then current + amount end",
     },
 )
 

@@ -172,10 +172,10 @@ fold AS (
   FROM (
     SELECT f.ref, f.dim, l.nth, f.slices, f.counted, l.slice_ts AS slot, l.order_id AS oid,
            CASE WHEN list_contains(f.counted, l.order_id) THEN NULL
-                WHEN f.ref = 'first_five' THEN CASE WHEN coalesce(f.slices[l.slice_ts], 0) < 5 THEN coalesce(f.slices[l.slice_ts], 0) + 1 END
-                WHEN coalesce(f.slices[l.slice_ts], 0) + l.amount <= 300 THEN coalesce(f.slices[l.slice_ts], 0) + l.amount END AS value
+                WHEN f.ref = 'first_two' THEN CASE WHEN coalesce(f.slices[l.slice_ts], 0) < 2 THEN coalesce(f.slices[l.slice_ts], 0) + 1 END
+                WHEN coalesce(f.slices[l.slice_ts], 0) + l.amount <= 100 THEN coalesce(f.slices[l.slice_ts], 0) + l.amount END AS value
     FROM fold f JOIN line l ON l.ref = f.ref AND l.dim = f.dim AND l.nth = f.nth + 1))
-SELECT 'ind:' || ref || ':' || dim || ':HOUR:' || slice_ts AS slice_key, order_id, round(value + 1e-7, 4) AS running_value
+SELECT 'ind:' || ref || ':' || dim || ':DAY:' || slice_ts AS slice_key, order_id, round(value + 1e-7, 4) AS running_value
 FROM fold WHERE value IS NOT NULL"""
 
 
