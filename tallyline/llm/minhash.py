@@ -37,6 +37,8 @@ from tallyline.llm.words import split_words
 
 #: Shingles that are hashed at once: they and a buffer stay in the processor's cache.
 _AT_ONCE = 1 << 15
+#: Links that a task takes while components are made.
+_EDGES_PER_TASK = 2_000
 _EDGES = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
@@ -262,12 +264,22 @@ class _Join:
         self.classes = cut(some.groupBy("d1", "d2").agg(F.min("node").alias("node"), F.min("id").alias("first")))
         self.nodes = cut(some.join(self.classes.select("node"), "node", "left_semi"))
 
-    def links(self) -> DataFrame:
+    def roots(self) -> DataFrame:
+        """(node, root) of every set that is linked to another."""
         members = self._members()
         pairs, families = self._pairs(members)
         stars = cut(self._stars(pairs))
-        roots = cut(components(stars))
-        return stars.unionByName(cut(self._left_over(members, families, roots)))
+        roots = cut(components(stars, _EDGES_PER_TASK))
+        others = cut(self._left_over(members, families, roots))
+        # the later links join components only: each node's root, then its root's root
+        known = [roots.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}")) for c in ("a", "b")]
+        joined = others.join(known[0], "a", "left").join(known[1], "b", "left")
+        joined = joined.select(F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b"))
+        later = cut(components(joined, _EDGES_PER_TASK)).select(F.col("node").alias("below"), F.col("root").alias("top"))
+        first = roots.join(later, F.col("root") == F.col("below"), "left").select("node", F.coalesce("top", "root").alias("root"))
+        # sets that only the later links join are in no component of the first
+        alone = later.join(roots.select("node"), F.col("below") == F.col("node"), "left_anti")
+        return first.unionByName(alone.select(F.col("below").alias("node"), F.col("top").alias("root")))
 
     def _members(self) -> DataFrame:
         """(key, node, score) of every A table with two members or more; a node's score is the number it meets."""
@@ -370,7 +382,7 @@ def minhash_groups(
     small_batches(docs.sparkSession)
     texts = docs.select(F.col(doc_id).cast("long").alias("id"), text_of(docs, text).alias("text"))
     join = _Join(texts, size, percent, groups, rows, block_bytes)
-    rooted = join.classes.join(components(join.links()), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    rooted = join.classes.join(join.roots(), "node", "left").withColumn("root", F.coalesce("root", "node"))
     firsts = rooted.groupBy("root").agg(F.min("first").alias("component"))
     of_set = rooted.join(firsts, "root").select("d1", "d2", "component")
     rows_ = join.sketches.select("id", "n", "d1", "d2")
