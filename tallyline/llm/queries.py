@@ -159,4 +159,5 @@ SQL = {
     "op9_chat": sql.CHAT,
     "op11_periodic": sql.PERIODIC,
     "op12_fim": sql.FIM,
+    "op13_minhash": sql.MINHASH,
 }

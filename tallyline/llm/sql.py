@@ -145,3 +145,38 @@ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS pre
     sha256(text) AS restored_sha256
 FROM made
 """
+
+MINHASH = r"""
+WITH RECURSIVE cut AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words
+    FROM documents
+),
+sets AS (
+    SELECT doc_id, CASE len(words) WHEN 0 THEN [] WHEN 1 THEN words WHEN 2 THEN [words[1] || ' ' || words[2]]
+        WHEN 3 THEN [array_to_string(words, ' ')]
+        ELSE list_distinct(list_transform(range(1, len(words) - 2), lambda i:
+            words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] || ' ' || words[i + 3])) END AS shingles
+    FROM cut
+),
+sized AS (SELECT doc_id, len(shingles) AS n FROM sets),
+held AS (SELECT doc_id, unnest(shingles) AS shingle FROM sets),
+pair AS (
+    SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common FROM held x JOIN held y ON x.shingle = y.shingle AND x.doc_id < y.doc_id
+    GROUP BY ALL
+),
+link AS (
+    SELECT a, b FROM pair JOIN sized x ON x.doc_id = a JOIN sized y ON y.doc_id = b WHERE 100 * common >= 80 * (x.n + y.n - common)
+),
+edge AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+reach AS (
+    SELECT a AS doc_id, b AS other FROM edge
+    UNION
+    SELECT reach.doc_id, edge.b FROM reach JOIN edge ON edge.a = reach.other
+),
+least AS (SELECT doc_id, min(other) AS other FROM reach GROUP BY doc_id)
+SELECT sized.doc_id, n AS n_shingles, least(sized.doc_id, coalesce(other, sized.doc_id)) AS component_id,
+    sized.doc_id <= coalesce(other, sized.doc_id) AS kept
+FROM sized LEFT JOIN least ON least.doc_id = sized.doc_id
+"""
