@@ -4,14 +4,20 @@ The sorted distinct fingerprints are a binary trie: a node is a range of equal l
 pair (root, root) and goes down both sides together.  A pair of nodes carries the number of bits in which its two
 paths differ; a pair above the error budget is dropped with everything below it.
 
-The trie is cut into blocks, each a subtree of bounded size with its path.  The upper part of the traversal runs on
-block paths: two blocks meet only if their paths are within the budget.  Each meeting block pair is one work item that
-walks the two subtrees.  A work item returns a spanning forest of the links it found, never all pairs.
+One trie of a large table would send each subtree to every subtree whose path is within the budget, ever more of them
+as paths grow longer.  So the bits are read in several orders: with a budget of b the 64 bits are b + 1 chunks, of which
+two linked fingerprints have at least one in common.  Trie r reads chunk r first, with a budget of zero there, then the
+chunks before r, each of which has to differ (else an earlier trie has found the pair), then the others.  A subtree so
+meets itself and, only below its first chunk, others.
+
+Each trie is cut into blocks, subtrees of bounded size with their paths.  A block is walked against itself where it
+lies; only blocks that meet others travel.  A walk returns a spanning forest of the links it found, never all pairs.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import partial
 
 import numpy as np
@@ -28,11 +34,59 @@ BLANKS = b" \t\n\x0b\x0c\r"
 _AT_ONCE = 1 << 16
 #: Node pairs that are expanded at once; a walk holds a few such stretches for each level of the trie.
 _FRONTIER = 1 << 16
-_BLOCKS = pa.schema([("path", pa.int64()), ("depth", pa.int32()), ("members", pa.binary())])
-_MEETINGS = pa.schema([("left", pa.int64()), ("right", pa.int64()), ("side", pa.int32()), ("common", pa.int32()), ("members", pa.binary())])
+_BLOCKS = pa.schema([("turn", pa.int32()), ("path", pa.int64()), ("depth", pa.int32()), ("members", pa.binary())])
+_BLOCKS_SQL = "turn int, path long, depth int, members binary"
+_MEETINGS = pa.schema(
+    [
+        ("left", pa.int64()), ("right", pa.int64()), ("side", pa.int32()), ("turn", pa.int32()), ("common", pa.int32()),
+        ("members", pa.binary()),
+    ]
+)
+_MEETINGS_SQL = "left long, right long, side int, turn int, common int, members binary"
 _EDGES = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
+@dataclass(frozen=True)
+class Turn:
+    """An order of the bits: chunks (first bit, width), the first ``lead`` bits without errors, and after that
+    ``earlier`` chunks with at least one error each."""
+
+    chunks: tuple[tuple[int, int], ...] = ((0, BITS),)
+    lead: int = 0
+    earlier: int = 0
+
+    def read(self, values: np.ndarray) -> np.ndarray:
+        """Values with their bits in this order."""
+        return self._moved(values, back=False)
+
+    def back(self, values: np.ndarray) -> np.ndarray:
+        return self._moved(values, back=True)
+
+    def _moved(self, values: np.ndarray, back: bool) -> np.ndarray:
+        out, at = np.zeros(len(values), np.uint64), 0
+        for start, width in self.chunks:
+            old, new = (at, start) if back else (start, at)
+            piece = (values >> np.uint64(BITS - old - width)) & np.uint64((1 << width) - 1)
+            out |= piece << np.uint64(BITS - new - width)
+            at += width
+        return out
+
+    def bounds(self, budget: int) -> tuple[np.ndarray, np.ndarray]:
+        """The least and most errors that the first d bits may hold, for d from 0 to 64."""
+        depths = np.arange(BITS + 1)
+        ends = np.cumsum([width for _, width in self.chunks])[1 : self.earlier + 1]
+        return (depths[:, None] >= ends[None, :]).sum(axis=1), np.where(depths <= self.lead, 0, budget)
+
+
+def turns(budget: int) -> list[Turn]:
+    """One order for each of ``budget + 1`` chunks of the bits."""
+    if budget + 1 > BITS // 4:  # chunks of a few bits tell nothing apart
+        return [Turn()]
+    edges = [i * BITS // (budget + 1) for i in range(budget + 2)]
+    chunks = [(a, b - a) for a, b in zip(edges[:-1], edges[1:], strict=True)]
+    return [Turn((chunks[r], *chunks[:r], *chunks[r + 1 :]), chunks[r][1], r) for r in range(len(chunks))]
+
+
 def shingle_hashes(text: str, size: int) -> Iterator[np.ndarray]:
     """XXH64 (seed 42) of every shingle, in arrays of bounded length.  Words are split at ASCII blanks only."""
     words = text.encode().lower().split()  # bytes: lower and split know ASCII alone
@@ -69,13 +123,17 @@ def _fingerprints(parts: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Rec
 
 
 def _subtrees(values: np.ndarray, most: int) -> Iterator[tuple[int, int, np.ndarray]]:
-    """(path, depth, members) of trie nodes with at most so many members, over sorted distinct values."""
+    """(path, depth, members) of trie nodes with at most so many members, over sorted distinct values.
+
+    A path goes down to where members part: what a task's edge leaves of a wide node has the path of what is left.
+    """
     stack = [(0, len(values), 0)]
     while stack:
         lo, hi, depth = stack.pop()
         if hi - lo <= most or depth == BITS:
             if hi > lo:
-                yield int(values[lo]) >> (BITS - depth) if depth else 0, depth, values[lo:hi]
+                shared = BITS - (int(values[lo]) ^ int(values[hi - 1])).bit_length()
+                yield int(values[lo]) >> (BITS - shared), shared, values[lo:hi]
             continue
         middle = lo + _half(values[lo:hi], depth)
         stack += [(middle, hi, depth + 1), (lo, middle, depth + 1)]
@@ -88,41 +146,59 @@ def _half(values: np.ndarray, depth: int) -> int:
     return int(np.searchsorted(values, np.uint64(edge)))
 
 
+def _turned(parts: Iterator[pa.RecordBatch], ways: list[Turn]) -> Iterator[pa.RecordBatch]:
+    for part in parts:
+        values = part.column("fp").to_numpy().view(np.uint64)
+        for turn, way in enumerate(ways):
+            yield pa.record_batch([np.full(len(values), turn, np.int32), way.read(values).view(np.int64)], names=["turn", "fp"])
+
+
 def _blocks(parts: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
-    """Blocks of a partition's sorted fingerprints, read in stretches so that memory stays bounded."""
+    """Blocks of a partition's sorted fingerprints, read in stretches of one trie so that memory stays bounded."""
 
     def rows() -> Iterator[tuple]:
         held: list[np.ndarray] = []
-        size = 0
+        size, turn = 0, -1
         for part in parts:
-            held.append(part.column("fp").to_numpy().view(np.uint64))
-            size += len(held[-1])
-            if size >= 8 * most:
-                yield from stretch(held)
-                held, size = [], 0
+            of = part.column("turn").to_numpy()
+            values = part.column("fp").to_numpy().view(np.uint64)
+            edges = [0, *(np.flatnonzero(np.diff(of)) + 1).tolist(), len(of)]
+            for lo, hi in zip(edges[:-1], edges[1:], strict=True):
+                if lo == hi:
+                    continue
+                if size and (of[lo] != turn or size >= 8 * most):
+                    yield from stretch(turn, held)
+                    held, size = [], 0
+                turn = int(of[lo])
+                held.append(values[lo:hi])
+                size += hi - lo
         if size:
-            yield from stretch(held)
+            yield from stretch(turn, held)
 
-    def stretch(held: list[np.ndarray]) -> Iterator[tuple]:
+    def stretch(turn: int, held: list[np.ndarray]) -> Iterator[tuple]:
         for path, depth, members in _subtrees(np.sort(np.concatenate(held)), most):
-            yield np.uint64(path).astype(np.int64).item(), depth, members.tobytes()
+            yield turn, np.uint64(path).astype(np.int64).item(), depth, members.tobytes()
 
     yield from batches(rows(), _BLOCKS)
 
 
-def _meetings(parts: Iterator[pa.RecordBatch], known, budget: int) -> Iterator[pa.RecordBatch]:
-    """Each block once for every block whose path is within the budget, itself included."""
-    ids, paths, depths = known.value
+def _meetings(parts: Iterator[pa.RecordBatch], known, ways: list[Turn], budget: int) -> Iterator[pa.RecordBatch]:
+    """Each block once for every other block of its trie that it can be linked with by their paths."""
+    bounds = [way.bounds(budget) for way in ways]
 
     def rows() -> Iterator[tuple]:
         for part in parts:
-            for me, path, depth, members in zip(*(c.to_pylist() for c in part.columns), strict=True):
+            for me, turn, path, depth, members in zip(*(c.to_pylist() for c in part.columns), strict=True):
+                ids, paths, depths = known.value[turn]
                 common = np.minimum(depths, depth)
-                own = np.uint64(path & (2**BITS - 1))
-                differ = _prefix(paths, depths, common) ^ _prefix(np.full(len(paths), own), np.full(len(paths), depth), common)
-                for i in np.flatnonzero(np.bitwise_count(differ) <= budget):
+                own, deep = np.full(len(paths), np.uint64(path & (2**BITS - 1))), np.full(len(paths), depth)
+                errors = np.bitwise_count(_prefix(paths, depths, common) ^ _prefix(own, deep, common))
+                lead = np.minimum(common, ways[turn].lead)
+                same = _prefix(paths, depths, lead) == _prefix(own, deep, lead)
+                least, most = bounds[turn]
+                for i in np.flatnonzero(same & (errors >= least[common]) & (errors <= most[common]) & (ids != me)):
                     other = int(ids[i])
-                    yield min(me, other), max(me, other), int(me > other), int(common[i]), members
+                    yield min(me, other), max(me, other), int(me > other), turn, int(common[i]), members
 
     yield from batches(rows(), _MEETINGS)
 
@@ -131,35 +207,46 @@ def _prefix(paths: np.ndarray, depths: np.ndarray, length: np.ndarray) -> np.nda
     return paths >> (depths - length).astype(np.uint64)
 
 
-def _walks(parts: Iterator[pa.RecordBatch], budget: int) -> Iterator[pa.RecordBatch]:
+def _own_walks(parts: Iterator[pa.RecordBatch], ways: list[Turn], budget: int) -> Iterator[pa.RecordBatch]:
+    """Each block against itself."""
+
+    def rows() -> Iterator[tuple]:
+        for part in parts:
+            for turn, depth, members in zip(*(part.column(c).to_pylist() for c in ("turn", "depth", "members")), strict=True):
+                values = np.frombuffer(members, np.uint64)
+                yield from _forest(values, values, depth, ways[turn], budget, same=True)
+
+    yield from batches(rows(), _EDGES)
+    give_back()
+
+
+def _walks(parts: Iterator[pa.RecordBatch], ways: list[Turn], budget: int) -> Iterator[pa.RecordBatch]:
     """Rows sorted by block pair: walk each pair of subtrees when both sides are there."""
 
     def rows() -> Iterator[tuple]:
         held = None
         for part in parts:
-            for left, right, side, common, members in zip(*(c.to_pylist() for c in part.columns), strict=True):
+            for left, right, side, turn, common, members in zip(*(c.to_pylist() for c in part.columns), strict=True):
                 values = np.frombuffer(members, np.uint64)
-                if left == right:
-                    yield from _forest(values, values, common, budget, same=True)
-                elif side == 0:
+                if side == 0:
                     held = left, right, values
                 else:
                     assert held is not None and held[:2] == (left, right)
-                    yield from _forest(held[2], values, common, budget, same=False)
+                    yield from _forest(held[2], values, common, ways[turn], budget, same=False)
 
     yield from batches(rows(), _EDGES)
     give_back()
 
 
-def _forest(left: np.ndarray, right: np.ndarray, depth: int, budget: int, same: bool) -> Iterator[tuple[int, int]]:
+def _forest(left: np.ndarray, right: np.ndarray, depth: int, way: Turn, budget: int, same: bool) -> Iterator[tuple[int, int]]:
     """A spanning forest of the links between two sorted blocks."""
     shift = 0 if same else len(left)
     everything = left if same else np.concatenate([left, right])
     roots = np.arange(len(everything))
-    for a, b in _links(left, right, depth, budget, same):
+    for a, b in _links(left, right, depth, way, budget, same):
         roots = _joined(roots, a, b + shift)
     members = np.flatnonzero(roots != np.arange(len(roots)))
-    signed = everything.view(np.int64)
+    signed = way.back(everything).view(np.int64)
     yield from zip(signed[roots[members]].tolist(), signed[members].tolist(), strict=True)
 
 
@@ -179,14 +266,18 @@ def _joined(roots: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
             roots = shorter
 
 
-def _links(left: np.ndarray, right: np.ndarray, depth: int, budget: int, same: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Index pairs within the budget: breadth first over node pairs, in chunks taken from a stack.
+def _links(
+    left: np.ndarray, right: np.ndarray, depth: int, way: Turn, budget: int, same: bool
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Index pairs within the budget: breadth first over node pairs, in stretches taken from a stack.
 
-    ``depth`` is the number of leading bits the members of each side share with one another.
+    ``depth`` is the number of leading bits the members of each side share with one another.  Pairs that another trie
+    has to find are left to it, or found here too where few members are compared at once.
     """
+    least, most = way.bounds(budget)
     start = np.array([[0], [len(left)], [0], [len(right)]], np.int64)
     differ = 0 if same else int(_lead(left[0], depth) ^ _lead(right[0], depth)).bit_count()
-    stack = [(depth, start, np.array([differ], np.int8))]
+    stack = [(depth, start, np.array([differ], np.int8))] if least[depth] <= differ <= most[depth] else []
     while stack:
         depth, nodes, errors = stack.pop()
         if nodes.shape[1] > _FRONTIER:
@@ -211,7 +302,7 @@ def _links(left: np.ndarray, right: np.ndarray, depth: int, budget: int, same: b
         ]
         kept, wrong = [], []
         for child, error, allowed in below:
-            alive = (child[0] < child[1]) & (child[2] < child[3]) & (error <= budget)
+            alive = (child[0] < child[1]) & (child[2] < child[3]) & (error >= least[depth + 1]) & (error <= most[depth + 1])
             if allowed is not None:
                 alive &= allowed
             kept.append(child[:, alive])
@@ -257,28 +348,45 @@ def _close(left: np.ndarray, right: np.ndarray, nodes: np.ndarray, budget: int,
             yield a[near], b[near]
 
 
-def linked(prints: DataFrame, budget: int = 3, least_block: int = 1 << 14, most_blocks: int = 1 << 13) -> DataFrame:
+def trie_blocks(prints: DataFrame, ways: list[Turn], n: int, least_block: int, most_blocks: int) -> DataFrame:
+    """(block, turn, path, depth, members): the blocks of one trie for each order of the bits, cut."""
+    most = max(least_block, -(-n * len(ways) // most_blocks))
+    tasks = max(1, -(-n * len(ways) // (4 * most)))
+    turned = prints.mapInArrow(partial(_turned, ways=ways), "turn int, fp long")
+    ordered = turned.repartitionByRange(tasks, "turn", "fp").sortWithinPartitions("turn", "fp")
+    cut_up = ordered.mapInArrow(partial(_blocks, most=most), _BLOCKS_SQL)
+    return cut(cut_up.select(F.monotonically_increasing_id().alias("block"), "turn", "path", "depth", "members"))
+
+
+def block_meetings(blocks: DataFrame, ways: list[Turn], budget: int) -> DataFrame:
+    """(left, right, side, turn, common, members): both sides of each pair of blocks to be walked."""
+    paths = blocks.select("block", "turn", "path", "depth").toPandas()
+    known = []
+    for turn in range(len(ways)):
+        mine = paths[paths["turn"] == turn]
+        known.append((mine["block"].to_numpy(np.int64), mine["path"].to_numpy(np.int64).view(np.uint64), mine["depth"].to_numpy(np.int64)))
+    sent = blocks.sparkSession.sparkContext.broadcast(known)
+    return blocks.mapInArrow(partial(_meetings, known=sent, ways=ways, budget=budget), _MEETINGS_SQL)
+
+
+def linked(prints: DataFrame, budget: int = 3, least_block: int = 1 << 14, most_blocks: int = 1 << 15) -> DataFrame:
     """(node, root) of every fingerprint (column ``fp``, distinct) that is within ``budget`` bits of another.
 
-    Blocks hold ``least_block`` fingerprints, more only where the table is so large that it would have over
-    ``most_blocks`` of them: what is broadcast is the path of each block and has that bound.
+    Blocks hold ``least_block`` fingerprints, more only where the table is so large that its tries would have over
+    ``most_blocks`` of them: what is broadcast is the path of each block and has that bound.  A table of one block is
+    one trie.
     """
     spark = prints.sparkSession
     n = prints.count()
-    most = max(least_block, -(-n // most_blocks))
-    tasks = max(1, -(-n // (4 * most)))
-    cut_up = prints.repartitionByRange(tasks, "fp").sortWithinPartitions("fp")
-    cut_up = cut_up.mapInArrow(partial(_blocks, most=most), "path long, depth int, members binary")
-    blocks = cut(cut_up.select(F.monotonically_increasing_id().alias("block"), "path", "depth", "members"))
-    paths = blocks.select("block", "path", "depth").toPandas()
-    known = spark.sparkContext.broadcast(
-        (paths["block"].to_numpy(np.int64), paths["path"].to_numpy(np.int64).view(np.uint64), paths["depth"].to_numpy(np.int64))
-    )
-    meetings = blocks.mapInArrow(
-        partial(_meetings, known=known, budget=budget), "left long, right long, side int, common int, members binary"
+    ways = turns(budget) if n > least_block else [Turn()]
+    blocks = trie_blocks(prints, ways, n, least_block, most_blocks)
+    meetings = block_meetings(blocks, ways, budget)
+    pairs = meetings.repartition(max(partitions(spark), blocks.rdd.getNumPartitions()), "left", "right")
+    walks = pairs.sortWithinPartitions("left", "right", "side").mapInArrow(
+        partial(_walks, ways=ways, budget=budget), "a long, b long"
     )
-    walks = meetings.repartition(max(partitions(spark), 4 * tasks), "left", "right").sortWithinPartitions("left", "right", "side")
-    return components(walks.mapInArrow(partial(_walks, budget=budget), "a long, b long"))
+    own = blocks.mapInArrow(partial(_own_walks, ways=ways, budget=budget), "a long, b long")
+    return components(own.unionByName(walks))
 
 
 def simhash_groups(docs: DataFrame, size: int = 3, budget: int = 3, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

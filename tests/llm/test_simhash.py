@@ -9,7 +9,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from tallyline.llm.components import components
-from tallyline.llm.simhash import linked, one_per_group, simhash_groups
+from tallyline.llm.simhash import block_meetings, linked, one_per_group, simhash_groups, trie_blocks, turns
 
 
 def fingerprint(text, size=3):
@@ -51,7 +51,7 @@ def clustered(n, seed):
     return sorted(out)[:n]
 
 
-@pytest.mark.parametrize(("budget", "block", "many"), [(3, 4, 8192), (3, 64, 8192), (0, 16, 8192), (5, 16, 8), (3, 1 << 14, 8192)])
+@pytest.mark.parametrize(("budget", "block", "many"), [(3, 4, 8192), (3, 64, 8192), (0, 16, 8192), (5, 16, 8), (20, 64, 8192), (3, 1 << 14, 8192)])
 def test_trie_join_equals_brute_force(spark, budget, block, many):
     prints = clustered(700, budget)
     signed = [(p - (1 << 64) if p >> 63 else p,) for p in prints]
@@ -67,6 +67,26 @@ def test_trie_join_equals_brute_force(spark, budget, block, many):
     assert all(len(r) == 1 for r in mine.values()) and len({next(iter(r)) for r in mine.values()}) == len(mine)
 
 
+def test_bit_orders_turn_back_and_cover_all_budgets():
+    values = np.random.default_rng(3).integers(0, 1 << 64, 500, np.uint64, endpoint=False)
+    for budget in (0, 1, 3, 5, 15, 20):
+        for way in turns(budget):
+            assert (way.back(way.read(values)) == values).all()
+            assert sorted(b for a, w in way.chunks for b in range(a, a + w)) == list(range(64))
+            least, most = way.bounds(budget)
+            assert (least <= np.maximum(most, 0)).all() and least[64] == way.earlier
+
+
+def test_few_blocks_travel(spark):
+    """Random fingerprints in hundreds of blocks: what meets another block does so at the edge of a task only."""
+    values = np.unique(np.random.default_rng(4).integers(-(1 << 63), 1 << 63, 20_000, np.int64))
+    frame = spark.createDataFrame([(int(v),) for v in values], "fp long")
+    blocks = trie_blocks(frame, turns(3), len(values), 256, 1 << 15)
+    n, tasks = blocks.count(), blocks.rdd.getNumPartitions()
+    assert n > 250
+    assert block_meetings(blocks, turns(3), 3).count() <= 8 * tasks
+
+
 TEXT = "the quick brown fox jumps over the lazy dog and runs away from the old grey wolf in the deep dark forest near town"
 
 
