@@ -127,6 +127,26 @@ def _cuts_as_here(model: dict) -> bool:
     return normal == ["NFC", "Replace", "Lowercase"] and cut.get("pattern") == {"Regex": pattern} and cut.get("invert") is True
 
 
+def _steps(part: dict | None, inner: str) -> list[dict]:
+    return [] if not part else part[inner] if part.get("type") == "Sequence" else [part]
+
+
+def known_tokenizer(path: str | None) -> str:
+    """A tokenizer file's content; a file whose words cannot be encoded one by one is refused.
+
+    White space has to part words and be dropped (the given file's cut, or ``Whitespace`` and ``WhitespaceSplit``), no
+    normaliser or added token may reach over it, and decoding has to join pieces with a space (no decoder).
+    """
+    content = read_tokenizer(path or default_path())
+    file = json.loads(content)
+    first = (_steps(file.get("pre_tokenizer"), "pretokenizers") or [{}])[0].get("type")
+    plain = all(n.get("type") in ("NFC", "NFD", "NFKC", "NFKD", "Lowercase") for n in _steps(file.get("normalizer"), "normalizers"))
+    added = all(not t["content"].split()[1:] and t["content"] == t["content"].strip() for t in file.get("added_tokens", []))
+    if not (_cuts_as_here(file) or plain and first in ("Whitespace", "WhitespaceSplit")) or not added or file.get("decoder"):
+        raise ValueError(f"{path}: words of this tokenizer are not encoded and decoded one by one")
+    return content
+
+
 @functools.lru_cache(maxsize=2)
 def load_tokenizer(content: str) -> Tokenizer:
     tokenizer = Tokenizer.from_str(content)
@@ -369,7 +389,7 @@ def encoded_by(
     """
     spark = docs.sparkSession
     small_batches(spark)
-    content = spark.sparkContext.broadcast(read_tokenizer(path or default_path()))
+    content = spark.sparkContext.broadcast(known_tokenizer(path))
     texts = docs.select(F.col(doc_id).cast("long").alias("id"), text_of(docs, text).alias("text"))
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = int(min(1 << 20, max(8, size // _BUCKET_BYTES)))
@@ -407,7 +427,7 @@ def encode_and_decode(docs: DataFrame, path: str | None = None, doc_id: str = "d
 
 
 def _pieces(path: str | None) -> list[str]:
-    tokenizer = load_tokenizer(read_tokenizer(path or default_path()))
+    tokenizer = load_tokenizer(known_tokenizer(path))
     return [tokenizer.id_to_token(i) for i in range(tokenizer.get_vocab_size())]
 
 

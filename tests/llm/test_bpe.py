@@ -1,8 +1,10 @@
 from __future__ import annotations
 
+import json
 import random
 
 import numpy as np
+import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
@@ -47,6 +49,27 @@ def test_equals_the_library(docs, library, monkeypatch, clashing, block):
     assert sorted((str(r["doc_id"]), r["ids"], r["decoded"]) for r in got) == sorted((str(i), *wanted(library, t)) for i, t in rows)
 
 
+def test_tokenizers_that_keep_white_space_are_refused(docs):
+    whole = public_tokenizers.path("byte_bpe_50k.json")
+    with pytest.raises(ValueError, match="one by one"):
+        encode(docs([(1, "Hello world")]), whole)
+    with pytest.raises(ValueError, match="one by one"):
+        decode(docs([]).selectExpr("doc_id", "array(1) AS ids"), whole)
+
+
+def test_another_tokenizer_that_cuts_at_white_space(docs, tmp_path):
+    """Without a normaliser and with a cut of its own, the tokenizer sees whole words."""
+    file = json.loads(Tokenizer.from_file(default_path()).to_str())
+    file["normalizer"] = {"type": "Lowercase"}
+    file["pre_tokenizer"]["pretokenizers"][0] = {"type": "WhitespaceSplit"}
+    path = tmp_path / "other.json"
+    path.write_text(json.dumps(file))
+    other = Tokenizer.from_file(str(path))
+    texts = [t for t in TEXTS if t and "\x00" not in t]
+    got = {r["doc_id"]: (r["ids"], r["decoded"]) for r in decode(encode(docs(list(enumerate(texts))), str(path)), str(path)).collect()}
+    assert got == {i: wanted(other, t) for i, t in enumerate(texts)}
+
+
 def test_empty_table(docs):
     assert encode(docs([])).collect() == []
 
