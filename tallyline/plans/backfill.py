@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
-from tallyline.operators.accumulate import describe, first_success, slice_updates
+from tallyline.operators.accumulate import counted_orders, describe, slice_updates
 from tallyline.operators.evaluate import failed_scripts, route_and_evaluate
 from tallyline.operators.parse import dead_letters, field_schema, good_orders, parse_messages
 from tallyline.session import prepare
@@ -24,9 +24,8 @@ class Backfill:
 
 def backfill_orders(orders: DataFrame, definitions: DefinitionSet) -> Backfill:
     """Slice updates for typed orders: one row per order and indicator that counted it."""
-    evaluated = route_and_evaluate(orders, definitions)
-    updates = slice_updates(describe(first_success(evaluated, definitions), definitions))
-    return Backfill(updates, failed_scripts(evaluated, definitions))
+    updates = slice_updates(describe(counted_orders(orders, definitions), definitions))
+    return Backfill(updates, failed_scripts(route_and_evaluate(orders, definitions), definitions))
 
 
 def backfill_messages(messages: DataFrame, definitions: DefinitionSet) -> Backfill:

@@ -7,6 +7,7 @@ import pytest
 from helpers import HOUR, definitions, message, messages, orders, rows
 from pyspark.sql import functions as F
 
+from tallyline.operators import accumulate
 from tallyline.functions import slices
 from tallyline.operators import window_values
 from tallyline.operators.accumulate import counted_flags, slice_totals
@@ -271,3 +272,28 @@ def test_windows_of_a_shared_name_keep_their_own_steps(spark):
     at = window_values.value_at_every_slice(totals, known).orderBy("slice_ts")
     assert [r.window_value for r in at.collect()] == [1.0, 2.0, 3.0]
     assert window_values.value_at(totals, known, 20 * 3600).first().window_value == 3.0
+
+
+def test_orders_that_match_many_definitions_meet_before_they_fan_out(spark, monkeypatch):
+    """Orders once, a few times and often, null ids and failures; no pair of an order that comes once is shuffled."""
+    rows_ = [{"refName": f"r{n}", "dimensions": ["m"], "accScript": f"current + amount * {n}"} for n in range(40)]
+    known = definitions(spark, *rows_)
+    columns = ("ref_name", "dimension_key", "order_id", "slice_ts", "increment")
+    sent = spark.range(60).selectExpr(
+        "case when id % 7 = 0 then null when id < 20 then 'often' when id < 40 then concat('o', id % 9) else concat('p', id) end order_id",
+        "'E' event_type_code", "(60 - id) * 40000000 event_epoch_ms", "id arrival_seq",
+        "named_struct('m', if(id % 3 = 1, 'a', 'b'), 'amount', if(id % 5 = 0, null, cast(id as double))) fields",
+    )
+
+    def found(hot, wide):
+        monkeypatch.setattr(accumulate, "HOT_ORDER", hot)
+        monkeypatch.setattr(accumulate, "WIDE", wide)
+        updates = backfill_orders(sent, known).updates.select(*columns)
+        return sorted(map(repr, updates.collect()))
+
+    assert found(10, 32) == found(1000, 32) == found(10, 1000)
+    monkeypatch.setattr(accumulate, "WIDE", 32)
+    single = backfill_orders(sent.where("arrival_seq >= 40 and arrival_seq % 7 > 0"), known).updates
+    assert len(single.collect()) == 40 * sum(n % 7 > 0 and n % 5 > 0 for n in range(40, 60))
+    plan = single._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "hashpartitioning(ref_ord" not in plan
