@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tallyline.functions import slices
 from tallyline.functions.script import FOLDS
 from tallyline.functions.step import Step
-from tallyline.operators.accumulate import IDENTITY, delivery_order, first_success
+from tallyline.operators.accumulate import IDENTITY, counted_orders, delivery_order, first_success
 from tallyline.operators.evaluate import argument_columns, route_and_evaluate
 from tallyline.operators.route import OVERRIDDEN, join_definitions, may_override
 from tallyline.session import stored
@@ -95,13 +95,16 @@ def running_slice_values(
     need no job before the one that reads the result.
     """
     check_steps(definitions)
-    evaluated = route_and_evaluate(orders, definitions, folds=True)
-    arguments = argument_columns(definitions)
+    carry = (*CARRIED, *argument_columns(definitions))
     kinds = definitions.fold_kinds
     results = []
+    if "ordered" in kinds:
+        evaluated = route_and_evaluate(orders, definitions, folds=True)
     if kinds - {"ordered"}:
-        settled = evaluated.where(F.col("fold") != ORDERED) if "ordered" in kinds else evaluated
-        winners = first_success(settled, definitions, carry=(*CARRIED, *arguments))
+        if "ordered" in kinds:
+            winners = first_success(evaluated.where(F.col("fold") != ORDERED), definitions, carry)
+        else:
+            winners = counted_orders(orders, definitions, folds=True, carry=carry)
         results = counted_values(with_facts(winners, definitions), definitions, may_override(orders, definitions), segment, part)
     if "ordered" in kinds:
         results.append(_in_order(evaluated.where(F.col("fold") == ORDERED), definitions))
@@ -302,7 +305,8 @@ def _affine(rows: DataFrame, segment: Column, size: int) -> DataFrame:
     a = F.when(F.col(OVERRIDDEN), F.lit(0.0)).otherwise(F.col("factor"))
     b = F.when(F.col(OVERRIDDEN), F.col("increment")).otherwise(F.col("operand"))
     steps = rows.withColumns({"a": a, "b": b}).select(*_VALUE[:-1], "ref_ord", "a", "b", "start")
-    long = steps.groupBy(*SLICE).count().where(F.col("count") > size).select(*SLICE)
+    # one row for each ``size`` orders at most, and so are the parts below: orders need not travel to meet them
+    long = F.broadcast(steps.groupBy(*SLICE).count().where(F.col("count") > size).select(*SLICE))
     numbered = running(steps.join(long, list(SLICE), "left_semi"), SLICE, {"nth": ("sum", F.lit(1).cast("bigint"))}, segment)
     parts = numbered.withColumn("part", F.call_function("div", F.col("nth") - 1, F.lit(size)))
     # one row for each part of a long slice, then what each part starts from
@@ -310,7 +314,7 @@ def _affine(rows: DataFrame, segment: Column, size: int) -> DataFrame:
     whole = _dealt(parts, cell, ("arrival_seq",), _composed, _STEP)
     starts = _dealt(whole, SLICE, ("part",), _begun, "ref_ord long, dimension_key string, slice_ts long, part long, begin double")
     short = steps.join(long, list(SLICE), "left_anti").withColumn("part", F.lit(0).cast("bigint"))
-    placed = parts.drop("start").join(starts.withColumnRenamed("begin", "start"), cell)
+    placed = parts.drop("start").join(F.broadcast(starts.withColumnRenamed("begin", "start")), cell)
     every = short.unionByName(placed.select(*short.columns))
     return _dealt(every, cell, ("arrival_seq",), _affine_values, _VALUE_TYPES)
 
