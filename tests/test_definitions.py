@@ -189,6 +189,20 @@ def test_definitions_of_several_splits_keep_their_order(spark):
     assert [(r.def_ord, r.ref_name) for r in ranked.orderBy("def_ord").collect()] == [(n, f"r{n}") for n in range(400)]
 
 
+def test_documents_of_several_splits_are_ranked_where_they_lie(spark, monkeypatch):
+    texts = [(json.dumps([{"refName": f"r{n}_{i}", "status": "OFFLINE" if i == n % 3 else "ONLINE"} for i in range(3)]),) for n in range(50)]
+    documents = spark.createDataFrame(texts, "value string").repartition(5)
+
+    def refused(*_):
+        raise AssertionError("all rows were read once more to deal them out")
+
+    monkeypatch.setattr(type(documents), "repartitionByRange", refused)
+    found = normalise_documents(documents).orderBy("def_ord").collect()
+    assert [r.def_ord for r in found] == list(range(100))
+    # the rows of a document stand together and in order
+    assert all(a.ref_name.split("_")[0] == b.ref_name.split("_")[0] and a.ref_name < b.ref_name for a, b in zip(found[::2], found[1::2]))
+
+
 def test_ordinals_follow_files_and_places_without_gaps(spark, tmp_path):
     for name in ("b", "a", "c"):
         (tmp_path / f"{name}.json").write_text(json.dumps([{"refName": f"{name}{n}"} for n in range(3)]))
