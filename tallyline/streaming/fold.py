@@ -84,10 +84,12 @@ class SliceReplay(StatefulProcessor):
         batch = pd.concat(list(rows)).sort_values(["arrival_seq", "def_ord"])
         seen: set[str] = set()
         values: dict[int, float] = {}
+        changed: set[int] = set()
+        known = self._counted.exists()
         readings = []
         columns = (batch[c].tolist() for c in ("slice_ts", "order_id", "arrival_seq", "script_id", "slice_key", "own", "current", "args"))
         for slice_ts, order_id, arrival, script, slice_key, own, current, args in zip(*columns, strict=True):
-            if order_id in seen or self._counted.containsKey((order_id,)):
+            if order_id in seen:
                 continue
             if slice_ts not in values:
                 at = (slice_ts,)
@@ -96,15 +98,17 @@ class SliceReplay(StatefulProcessor):
             if own:
                 before = None if pd.isna(current) else current
             value = self._functions[script](before, [None if pd.isna(a) else a for a in args])
-            if value is None:
+            # most orders of a full slice fail, so the state is asked for those that do not
+            if value is None or known and self._counted.containsKey((order_id,)):
                 continue
             seen.add(order_id)
+            changed.add(slice_ts)
             values[slice_ts] = float(value)
             readings.append((*key, slice_ts, order_id, arrival, slice_key, float(value)))
         for order_id in seen:
             self._counted.updateValue((order_id,), (True,))
-        for slice_ts, value in values.items():
-            self._values.updateValue((slice_ts,), (value,))
+        for slice_ts in changed:
+            self._values.updateValue((slice_ts,), (values[slice_ts],))
         yield pd.DataFrame(readings, columns=[c.split()[0] for c in _OUTPUT.split(",")])
 
     def close(self) -> None:

@@ -1,7 +1,9 @@
 from __future__ import annotations
 
 import json
+from types import SimpleNamespace
 
+import pandas as pd
 import pytest
 from helpers import definitions, message, messages, rows
 from pyspark.sql import functions as F
@@ -11,11 +13,13 @@ from tallyline.operators.fold import running_slice_values
 from tallyline.operators.parse import field_schema, good_orders, parse_messages
 from tallyline.plans.backfill import backfill_messages
 from tallyline.plans.options import JobOptions
-from tallyline.schemas import SLICE_UPDATE
-from tallyline.session import new_run_dir, prepare_streaming
+from tallyline.plans.sample_queries import stream_definitions_live
+from tallyline.schemas import INCREMENT, SLICE_UPDATE
+from tallyline.session import children, new_run_dir, prepare_streaming, shared_dir
 from tallyline.sources.definitions import DefinitionFeed, definitions_from_rows
 from tallyline.sources.orders import kafka_options, read_message_files, read_text_files
-from tallyline.streaming.fold import read_running_values, running_value_writers, start_running_values
+from tallyline.streaming.dedupe import updates_of_increments
+from tallyline.streaming.fold import SliceReplay, read_running_values, running_value_writers, start_running_values
 from tallyline.streaming.job import Job, Versions, parquet_batches, parquet_sink, script_rejects_of
 from tallyline.streaming.sinks import dead_letter_records, kafka_records, kafka_sink_options, read_parquet, to_parquet
 from tallyline.streaming.state import SliceState
@@ -216,6 +220,81 @@ def test_a_batch_keeps_the_version_it_took(spark):
     assert again._numbers("lists") == [1] and again._numbers("batches") == [2]
 
 
+def test_counting_increments_is_a_hash_aggregation(spark):
+    plan = updates_of_increments(spark.createDataFrame([], INCREMENT), JobOptions())._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("HashAggregate") == 2 and "SortAggregate" not in plan
+
+
+@pytest.mark.parametrize("row", [{"accScript": "1"}, {"dimensions": ["a b", "A,b"]}, {"dimensions": ["x", "X"]}])
+def test_a_batch_holds_no_parsed_messages(spark, monkeypatch, row):
+    """Messages parsed are read again in splits, whatever fields they have; a cached block of them is as long as its file."""
+    run = Harness(spark, [{"refName": "c", **row}])
+    run.send(message("o", **{"a b": 1, "A,b": 2, "x": 3, "X": 4}), "{ not json", json.dumps({"orderId": "p", "eventTypeCode": "E"}))
+
+    def refused(*_):
+        raise AssertionError("parsed messages are held")
+
+    monkeypatch.setattr(type(spark.range(1)), "persist", refused)
+    keys = {"1": ["", ""], "a b": ["a b#1;A,b#2"], "x": ["x#3;X#4"]}[row.get("accScript") or row["dimensions"][0]]
+    assert [key for _, key, _, _ in run.run()] == keys
+    assert run.letters() == [("{ not json", "反序列化失败: not an order object")]
+    assert children(spark, f"{run.run_dir}/checkpoint/work") == []
+
+
+def test_live_messages_come_in_many_files(spark, tmp_path):
+    events = spark.range(300).selectExpr(
+        "id event_id", "timestamp_ntz'2024-01-01 00:00:00' ts", "id % 9 user_id", "if(id % 2 = 0, 'click', 'purchase') event_type",
+        "cast(id as double) value", "'{\"k\": 60}' props",
+    )
+    events.write.parquet(f"{tmp_path}/events.parquet")
+    known = set(children(spark, shared_dir(spark)))
+    found = stream_definitions_live(spark, str(tmp_path))
+    (run,) = [n for n in set(children(spark, shared_dir(spark))) - known if n.startswith("live-")]
+    files = [n for n in children(spark, f"{shared_dir(spark)}/{run}/messages") if n.endswith(".parquet")]
+    assert len(files) > 3
+    counts = {r.ref_name: r["count"] for r in found.groupBy("ref_name").count().collect()}
+    expected_live = sum(1 for n in range(300) if n % 3 < 2 or n % 2 == 0)
+    assert counts == {"live": expected_live, "later": sum(1 for n in range(300) if n % 3 and n % 2)}
+
+
+class _Map(dict):
+    """A map state that notes what it is asked for."""
+
+    def __init__(self):
+        self.asked = []
+
+    def exists(self):
+        return bool(self)
+
+    def containsKey(self, key):
+        self.asked.append(key)
+        return key in self
+
+    def getValue(self, key):
+        return self[key]
+
+    def updateValue(self, key, value):
+        self[key] = value
+
+
+def test_replay_asks_its_state_for_orders_that_succeed_only(spark):
+    known = definitions(spark, {"refName": "r", "accScript": "if(current < 2, current + 1, null)"})
+    states = {"counted": _Map(), "values": _Map()}
+    replay = SliceReplay({n: s.step for n, s in enumerate(known.scripts)})
+    replay.init(SimpleNamespace(getMapState=lambda name, *_: states[name]))
+
+    def batch(*ids):
+        rows_ = [(0, o, n, 0, 0, "k", False, None, [1.0] * 4) for n, o in enumerate(ids)]
+        names = ["slice_ts", "order_id", "arrival_seq", "def_ord", "script_id", "slice_key", "own", "current", "args"]
+        (found,) = replay.handleInputRows(("r", ""), iter([pd.DataFrame(rows_, columns=names)]), None)
+        return found["order_id"].tolist()
+
+    assert batch("a") == ["a"] and states["counted"].asked == []
+    assert batch("a", "b", "a") == ["b"] and states["counted"].asked == [("a",), ("b",)]
+    states["counted"].asked.clear()
+    assert batch(*map(str, range(50))) == [] and states["counted"].asked == []
+
+
 def test_scripts_without_a_step_are_refused(spark):
     known = definitions(spark, {"refName": "r", "accScript": "sin(current) + amount"})
     with pytest.raises(ValueError, match="Sin"):
