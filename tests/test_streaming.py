@@ -284,7 +284,7 @@ def test_replay_asks_its_state_for_orders_that_succeed_only(spark):
     replay.init(SimpleNamespace(getMapState=lambda name, *_: states[name]))
 
     def batch(*ids):
-        rows_ = [(0, o, n, 0, 0, "k", False, None, [1.0] * 4) for n, o in enumerate(ids)]
+        rows_ = [(0, o, n, 0, 0, "k", False, None, [2.0, 1.0]) for n, o in enumerate(ids)]
         names = ["slice_ts", "order_id", "arrival_seq", "def_ord", "script_id", "slice_key", "own", "current", "args"]
         (found,) = replay.handleInputRows(("r", ""), iter([pd.DataFrame(rows_, columns=names)]), None)
         return found["order_id"].tolist()
