@@ -28,6 +28,7 @@ from tallyline.functions.step import Step
 from tallyline.operators.accumulate import IDENTITY, counted_orders, delivery_order, first_success
 from tallyline.operators.evaluate import argument_columns, route_and_evaluate
 from tallyline.operators.route import OVERRIDDEN, join_definitions, may_override
+from tallyline.operators.wide import families, wide_values
 from tallyline.session import stored
 from tallyline.sources.definitions import DefinitionSet
 
@@ -92,9 +93,26 @@ def running_slice_values(
     """The value of a slice after each counted order, in arrival order.
 
     Scans read the counted orders twice, so building this stores them first; scripts that are read order by order
-    need no job before the one that reads the result.
+    need no job before the one that reads the result.  Many definitions that route alike are read together (see
+    ``operators.wide``).
     """
     check_steps(definitions)
+    together = families(orders, definitions)
+    if not together:
+        return _result(union(_by_pairs(orders, definitions, segment, part)), definitions)
+    results = [wide_values(orders, definitions, together, part).select(*_RESULT)]
+    taken = [member[0] for family in together for member in family.members]
+    rest = definitions.table.where(~F.col("def_ord").isin(taken))
+    kinds = frozenset(FOLDS[r.fold] for r in rest.select("fold").distinct().collect())
+    if kinds:
+        left = definitions.size - len(taken)
+        others = definitions.with_table(rest, size=left, fold_kinds=kinds, fan_out=min(left, definitions.fan_out))
+        results.append(_result(union(_by_pairs(orders, others, segment, part)), others))
+    return union(results)
+
+
+def _by_pairs(orders: DataFrame, definitions: DefinitionSet, segment: int, part: int) -> list[DataFrame]:
+    """Running values from the pairs of orders and definitions."""
     carry = (*CARRIED, *argument_columns(definitions))
     kinds = definitions.fold_kinds
     results = []
@@ -108,7 +126,7 @@ def running_slice_values(
         results = counted_values(with_facts(winners, definitions), definitions, may_override(orders, definitions), segment, part)
     if "ordered" in kinds:
         results.append(_in_order(evaluated.where(F.col("fold") == ORDERED), definitions))
-    return _result(union(results), definitions)
+    return results
 
 
 def check_steps(definitions: DefinitionSet) -> None:

@@ -5,7 +5,8 @@ import random
 import pytest
 from helpers import definitions, message, orders, rows
 
-from tallyline.operators.fold import running_slice_values, segments_of
+from tallyline.operators.fold import _by_pairs, _result, running_slice_values, segments_of, union
+from tallyline.session import children, shared_dir
 
 
 def model(entries, step):
@@ -175,3 +176,50 @@ def test_slice_key_names_the_width(spark):
     known = definitions(spark, {"refName": "r", "sliceGranularity": "minute"})
     got = running_slice_values(orders(spark, known, [message("a", "E", 61_000)]), known)
     assert got.first().slice_key == "ind:r::MINUTE:60"
+
+
+WIDE_SCRIPTS = (
+    "current + amount * {n}",
+    "greatest(current, amount + {n})",
+    "least(current, amount - {n})",
+    "amount * {n}",
+    "current * 0.{n} + amount",
+    "if(current > {n}, amount, current + amount)",
+    "current + coalesce(amount, current / {n})",
+)
+WIDE_CAPPED = ("if(current < {n}, current + amount, null)", "nullif(current + amount, {n})", "if(current > {n}, amount, current + 1)")
+
+
+def many(texts, each):
+    common = {"dimensions": ["m"], "sliceGranularity": "HOUR"}
+    return [{"refName": f"r{i}_{n}", "accScript": t.format(n=n), **common} for i, t in enumerate(texts) for n in range(1, each + 1)]
+
+
+@pytest.mark.parametrize("scripts, each", [(WIDE_SCRIPTS, 10), (WIDE_CAPPED, 11)])
+def test_definitions_that_route_alike_are_read_together(spark, scripts, each):
+    """The same values as from pairs, with orders that come again, fail and bring their own value."""
+    entries = feed(5)
+    sent = texts(entries)
+    alone = [{"refName": "alone", "accScript": "current + amount"}, {"refName": "capped", "accScript": "if(current < 9, current + 1, null)"}]
+    known = definitions(spark, *many(scripts, each), *alone)
+    got = running_slice_values(orders(spark, known, sent), known, part=5)
+    one_by_one = _result(union(_by_pairs(orders(spark, known, sent), known, 1_000_000, 65_536)), known)
+    columns = ("ref_name", "dimension_key", "slice_ts", "order_id", "arrival_seq", "slice_key")
+    found, wanted = ({r[:-1]: r[-1] for r in rows(f, *columns, "running_value")} for f in (got, one_by_one))
+    assert found.keys() == wanted.keys() and len(found) > 1000
+    assert found == pytest.approx(wanted, rel=1e-12)
+
+
+def test_orders_travel_and_not_their_pairs(spark):
+    """40 scripts that add and 40 that may fail: what is stored and dealt are orders, once for each block."""
+    known = definitions(spark, *many(("current * 0.5 + amount * {n}", "if(current < {n}, current + amount, null)"), 40))
+    sent = orders(spark, known, [message(f"o{i}", "E", i, m="A", amount=1) for i in range(100)])
+    before = set(children(spark, shared_dir(spark)))
+    values = running_slice_values(sent, known)
+    made = [n for n in children(spark, shared_dir(spark)) if n not in before]
+    assert sum(spark.read.parquet(f"{shared_dir(spark)}/{n}").count() for n in made) == 200
+    plan = values._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "Exchange hashpartitioning(def_ord" not in plan
+    reading, fan_out, dealing = (plan.index(t) for t in ("MapInArrow", "Generate explode(sequence", "Exchange hashpartitioning(first"))
+    assert reading < fan_out < plan.index("Sort [first") < dealing
+    assert values.count() == 40 * 100 + sum(range(1, 41))
